@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import token_counts
+from . import license_scan, sentencepiece_codec, token_counts
 
 
 def queries() -> dict:
     return {
+        "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
         "op3_token_counts": token_counts.op3_token_counts,
+        "op7_license_scan": license_scan.op7_license_scan,
     }
 
 
