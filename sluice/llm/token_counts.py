@@ -32,10 +32,10 @@ class PrefixCounter:
         parts = [self.model.words(t) if t else [] for t in texts]
         words = set().union(*parts)
         known = {w: self.memo[w] for w in words & self.memo.keys()}
-        known |= self.model.prefix_counts(words - known.keys())
-        if len(self.memo) + len(known) > MEMO_WORDS:
-            self.memo = {}
-        self.memo.update((w, c) for w, c in known.items() if len(w) <= MEMO_CHARS)
+        fresh = self.model.prefix_counts(words - known.keys())
+        known |= fresh
+        if len(self.memo) < MEMO_WORDS:  # frequent words come early; later ones are worked out again
+            self.memo.update((w, c) for w, c in fresh.items() if len(w) <= MEMO_CHARS)
         return [(p, [known[w] for w in p]) for p in parts]
 
     def total(self, text: str) -> int:
