@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import license_scan, sentencepiece_codec, token_counts
+from . import license_scan, quality, sentencepiece_codec, token_counts, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
+        "op2_toxicity": toxicity.op2_toxicity,
         "op3_token_counts": token_counts.op3_token_counts,
+        "op4_quality": quality.op4_quality,
         "op7_license_scan": license_scan.op7_license_scan,
     }
 
