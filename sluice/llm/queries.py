@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, quality, sentencepiece_codec, token_counts, toxicity
+from . import decontaminate, license_scan, quality, sentencepiece_codec, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_quality": quality.op4_quality,
         "op7_license_scan": license_scan.op7_license_scan,
+        "op9_decontamination": decontaminate.op9_decontamination,
     }
 
 
