@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, quality, sentencepiece_codec, token_counts, toxicity
+from . import decontaminate, license_scan, near_dedup, quality, sentencepiece_codec, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_quality": quality.op4_quality,
+        "op5_near_dedup": near_dedup.op5_near_dedup,
         "op7_license_scan": license_scan.op7_license_scan,
         "op9_decontamination": decontaminate.op9_decontamination,
     }
