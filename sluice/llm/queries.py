@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, near_dedup, quality, sentencepiece_codec, token_counts, toxicity
+from . import decontaminate, embedding_dedup, html_extract, license_scan, near_dedup, quality, sentencepiece_codec, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_quality": quality.op4_quality,
         "op5_near_dedup": near_dedup.op5_near_dedup,
         "op7_license_scan": license_scan.op7_license_scan,
+        "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
         "op9_decontamination": decontaminate.op9_decontamination,
         "op10_html_extract": html_extract.op10_html_extract,
     }
