@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embedding_dedup, html_extract, license_scan, near_dedup, quality, sentencepiece_codec, token_counts, toxicity
+from . import decontaminate, embedding_dedup, html_extract, license_scan, near_dedup, quality, revisits, sentencepiece_codec, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_quality": quality.op4_quality,
         "op5_near_dedup": near_dedup.op5_near_dedup,
+        "op6_warc_revisits": revisits.op6_warc_revisits,
         "op7_license_scan": license_scan.op7_license_scan,
         "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
         "op9_decontamination": decontaminate.op9_decontamination,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc_revisits": revisits.ORACLE}
