@@ -20,9 +20,10 @@ from .common import table
 from .piece_model import DEFAULT_MODEL, load
 from .token_counts import chunks
 
-INDEX_CHARS = 400_000
-MEMO_WORDS = 150_000
-MEMO_CHARS = 48
+INDEX_CHARS = 500_000
+MEMO_WORDS = 250_000
+MEMO_PAIRS = 600_000
+SHORT = 48  # characters of a part that is relaxed with others and may be kept
 GAP, UNKNOWN, FIRST = 1, 2, 3  # codes of the gap between parts and of characters without pieces
 
 
@@ -44,15 +45,16 @@ class SuffixMatcher:
         self.low = np.array([coded[k] for k in order], f"<U{width + 1}")
         self.high = np.array([coded[k] + chr(0x10FFFF) for k in order], f"<U{width + 1}")
         self.width = width
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, list[int]] = {}
+        self.pair, self.pair_ok = np.array([-1], np.int64), np.zeros(1, bool)
 
     def edges(self, text: np.ndarray):
-        """All occurrences of all pieces in the coded text, sorted by start: starts, sizes, pieces."""
+        """All occurrences of all pieces in the coded text: starts, sizes, pieces."""
         n, width = len(text), self.width
         padded = np.concatenate([text, np.full(width + 1, GAP, np.uint32)])
         rank, span = padded[:n].astype(np.int64), 1
         while True:  # sort suffixes by their first `span` characters, then by twice as many
-            order = np.argsort(rank, kind="stable")
+            order = np.argsort(rank)
             if span >= width:
                 break
             step = np.concatenate([[0], np.cumsum(np.diff(rank[order]) != 0)])
@@ -67,65 +69,114 @@ class SuffixMatcher:
         hits = high - low
         which = np.repeat(np.arange(len(hits)), hits)
         place = np.arange(len(which)) - np.repeat(np.cumsum(hits) - hits, hits) + np.repeat(low, hits)
-        start = order[place]
-        by_start = np.argsort(start, kind="stable")
-        which = which[by_start]
-        return start[by_start], self.size[which], self.piece[which]
-
-    def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Token ids of each part."""
-        joined = "\x01".join(words)
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        text = self.code[points]
-        gaps = np.cumsum([len(w) + 1 for w in words[:-1]]).astype(np.int64) - 1
-        text[gaps] = GAP
-        start, size, piece = self.edges(text)
-        first = np.zeros(len(text) + 1, bool)
-        first[0] = True
-        first[gaps + 1] = True
-        # Relax the edges in order of their start: the last piece and where it begins, for each place.
+        return order[place], self.size[which], self.piece[which]
+
+    def fitting(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each pair (first << 20 | second) of pieces stands side by side unchanged."""
+        if not len(keys):
+            return np.zeros(0, bool)
+        distinct, where = np.unique(keys, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.pair, distinct), len(self.pair) - 1)
+        ok, known = self.pair_ok[place].copy(), self.pair[place] == distinct
+        fresh = distinct[~known]
+        if len(fresh):
+            fits = self.model.fits
+            ok[~known] = found = np.array([fits(k >> 20, k & 0xFFFFF) for k in fresh.tolist()], bool)
+            if len(self.pair) > MEMO_PAIRS:
+                self.pair, self.pair_ok = self.pair[:1], self.pair_ok[:1]
+            joined = np.concatenate([self.pair, fresh])
+            order = np.argsort(joined)
+            self.pair, self.pair_ok = joined[order], np.concatenate([self.pair_ok, found])[order]
+        return ok[where]
+
+    def relax(self, text, first, start, size, piece):
+        """The right last piece before each place (-1: a character by bytes) and where it begins.
+
+        Edges are sorted by their end's distance from the part's start and relaxed in that order,
+        the edges of one distance at once.
+        """
+        last, back = np.full(len(text) + 1, -2, np.int64), np.zeros(len(text) + 1, np.int64)
+        unknown = np.flatnonzero(text == UNKNOWN)
+        last[unknown + 1], back[unknown + 1] = -1, unknown
+        begin = np.maximum.accumulate(np.where(first[:-1], np.arange(len(text)), 0))
+        far = (start + size - begin[start]).astype(np.uint16)
+        order = np.argsort(far, kind="stable")
+        start, size, piece = start[order], size[order], piece[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(far[order])) + 1, [len(order)]])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            s, p = start[a:b], piece[a:b]
+            before = last[s]
+            good = first[s] | (before == -1)
+            check = np.flatnonzero(~good)
+            good[check] = self.fitting(before[check] << 20 | p[check])
+            at = np.flatnonzero(good)
+            end = s[at] + size[a:b][at]
+            last[end], back[end] = p[at], s[at]
+        return last, back
+
+    def relax_long(self, text, first, start, size, piece):
+        """The same edge by edge, for parts with many places."""
+        order = np.argsort(start, kind="stable")
+        start, end, piece = start[order], (start + size)[order], piece[order]
         last, back = [-2] * (len(text) + 1), [0] * (len(text) + 1)
-        at_first = first.tolist()
-        unknown = set(np.flatnonzero(text == UNKNOWN).tolist())
-        for place in unknown:
+        for place in np.flatnonzero(text == UNKNOWN).tolist():
             last[place + 1], back[place + 1] = -1, place
         pairs, fits = self.model.pairs, self.model.fits
-        for s, e, p in zip(start.tolist(), (start + size).tolist(), piece.tolist()):
+        for s, e, p, new in zip(start.tolist(), end.tolist(), piece.tolist(), first[start].tolist()):
             if last[e] != -2:
                 continue  # no second edge can be right
-            if not at_first[s]:
-                before = last[s]
-                if before >= 0:
-                    ok = pairs.get(before << 20 | p)
-                    if not (fits(before, p) if ok is None else ok):
-                        continue
-                elif before == -2:
-                    raise AssertionError("a prefix has no encoding")
+            if not new and last[s] >= 0:
+                ok = pairs.get(last[s] << 20 | p)
+                if not (fits(last[s], p) if ok is None else ok):
+                    continue
             last[e], back[e] = p, s
-        out, base = {}, 0
-        for word in words:
-            ids, at = [], base + len(word)
-            while at > base:
-                if last[at] >= 0:
-                    ids.append(last[at])
-                else:
-                    char = word[at - 1 - base].encode("utf-8", "surrogatepass")
-                    ids.extend(self.model.byte_ids[b] for b in reversed(char))
-                at = back[at]
-            out[word] = tuple(reversed(ids))
-            base += len(word) + 1
-        return out
+        return np.array(last), np.array(back)
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Token ids of each part; all are short, or all are long."""
+        points = np.frombuffer("\x01".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        text = self.code[points]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        text[ends[:-1]] = GAP
+        first = np.zeros(len(text) + 1, bool)
+        first[ends - sizes] = True
+        relax = self.relax if len(words[0]) <= SHORT else self.relax_long
+        last, back = relax(text, first, *self.edges(text))
+        if (last[1:][text != GAP] == -2).any():
+            raise AssertionError("a prefix has no encoding")
+        # Walk back from all ends at once; the places passed are where tokens end.
+        ends_token = np.zeros(len(text) + 1, bool)
+        at = ends
+        while len(at):
+            ends_token[at] = True
+            at = back[at]
+            at = at[~first[at]]
+        place = np.flatnonzero(ends_token)
+        token = last[place]
+        by_bytes = np.flatnonzero(token == -1)
+        ids = token.tolist()
+        counts = np.ones(len(place), np.int64)
+        for k in by_bytes.tolist():
+            raw = chr(points[place[k] - 1]).encode("utf-8", "surrogatepass")
+            ids[k] = [self.model.byte_ids[b] for b in raw]
+            counts[k] = len(raw)
+        if len(by_bytes):
+            ids = list(chain.from_iterable([x if isinstance(x, list) else (x,) for x in ids]))
+        upto = np.cumsum(counts)[np.searchsorted(place, ends)].tolist()
+        return [ids[a:b] for a, b in zip([0, *upto[:-1]], upto)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Token ids of each text."""
         parts = [self.model.words(t) if t else [] for t in texts]
         words = set().union(*parts)
         known = {w: self.memo[w] for w in words & self.memo.keys()}
-        fresh = sorted(words - known.keys())
-        for run in chunks(fresh, INDEX_CHARS):
-            known |= self.encode_words(run)
+        fresh = words - known.keys()
+        for some in ([w for w in fresh if len(w) <= SHORT], [w for w in fresh if len(w) > SHORT]):
+            for run in chunks(some, INDEX_CHARS):
+                known.update(zip(run, self.encode_words(run)))
         if len(self.memo) < MEMO_WORDS:  # frequent words come early; later ones are worked out again
-            self.memo.update((w, known[w]) for w in fresh if len(w) <= MEMO_CHARS)
+            self.memo.update((w, known[w]) for w in fresh if len(w) <= SHORT)
         return [list(chain.from_iterable([known[w] for w in p])) for p in parts]
 
 
