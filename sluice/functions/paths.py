@@ -115,6 +115,15 @@ def _json_child(above: Column, parsed: Column, step, owner: str) -> Column:
     return F.when(above["reason"].isNotNull(), above).otherwise(wrong.when(F.coalesce(found, F.lit(False)), own).otherwise(missing))
 
 
+def fixed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with further columns that are worked out exactly once.
+
+    A one-row generator: filters and joins above it are not pushed below, where they would repeat
+    the columns' expressions, and projections above it don't unfold them.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))) if columns else df
+
+
 class _Json:
     """Nodes of JSON roots, added to the frame one depth at a time."""
 
@@ -131,7 +140,7 @@ class _Json:
         for root, text in roots.items():
             self.nodes[root, ()] = name = self._name(root)
             layer[name] = _json_root(text)
-        self.df = self.df.withColumns(layer)
+        self.df = fixed(self.df, layer)
         depth = 0
         while any(len(p.steps) + p.wildcard > depth for p in paths):
             parse_layer, step_layer = {}, {}
@@ -151,10 +160,7 @@ class _Json:
                     form = "map" if isinstance(p.steps[depth], str) else "list"
                     self.nodes[p.root, p.steps[: depth + 1]] = name = self._name((p.root, p.steps[: depth + 1]))
                     step_layer[name] = _json_child(above, F.col(self.parsed[(*at, form)]), p.steps[depth], owner)
-            if parse_layer:
-                self.df = self.df.withColumns(parse_layer)
-            if step_layer:
-                self.df = self.df.withColumns(step_layer)
+            self.df = fixed(fixed(self.df, parse_layer), step_layer)
             depth += 1
 
     def node(self, p: Path) -> Column:
@@ -320,7 +326,7 @@ def extract(df: DataFrame, paths: dict[str, Path], formats: Formats = Formats(),
         if any(p.root == root for p in paths.values()):
             decoded = decode(F.col(column), fmt, **dict(options)) if not isinstance(df.schema[column].dataType, (T.StructType, T.MapType, T.ArrayType)) else F.col(column)
             payloads[root] = name = f"{taken}_{column}"
-            kept = kept.withColumn(name, decoded)
+            kept = fixed(kept, {name: decoded})
             if fmt.upper() == "JSON" and isinstance(kept.schema[name].dataType, T.StringType):
                 roots[root] = F.col(name)
     tree = _Json(kept, taken)
@@ -343,4 +349,4 @@ def extract(df: DataFrame, paths: dict[str, Path], formats: Formats = Formats(),
                 results[name] = F.struct(reason.isNull().alias("ok"), F.when(reason.isNull(), node["text"]).alias("text"), reason.alias("reason"), F.coalesce(node["message"], F.when(bad, F.lit(_complex(p)))).alias("message"))
         else:
             results[name] = _typed(F.col(payloads[p.root]), tree.df.schema[payloads[p.root]].dataType, p, non_scalar)
-    return tree.df.withColumns(results).select(*[F.col(f"`{c}`") for c in columns if c not in results], *results)
+    return fixed(tree.df.drop(*results), results).select(*[F.col(f"`{c}`") for c in columns if c not in results], *results)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import STRINGS, Formats, extract, parse
+from ..functions.paths import STRINGS, Formats, extract, fixed, parse
 from ..functions.text import words_of
 
 FAILURE = "struct<stage:string,reason:string,expression:string,message:string>"
@@ -46,8 +46,8 @@ def map_fields(df: DataFrame, fields: dict[str, str], discover: list[str] | str
         named = F.map_from_entries(F.array(*entries)) if entries else empty
     fields_ = reduce(overlay, [*found, named])
     failure = F.lit(None).cast(FAILURE) if skip_failed else _failure(expressions, "field")
-    out = out.withColumn("failure", failure)
-    return out.withColumn("fields", F.when(F.col("failure").isNull(), fields_)).drop(*paths)
+    out = fixed(out.drop("failure", "fields"), {"failure": failure, "fields": F.when(failure.isNull(), fields_)})
+    return out.drop(*paths)
 
 
 def overlay(low: Column, high: Column) -> Column:

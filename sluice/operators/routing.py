@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.paths import Formats, extract, parse
+from ..functions.paths import Formats, extract, fixed, parse
 from ..functions.text import words_of
 from .fields import FAILURE, _failure
 
@@ -101,9 +101,9 @@ def expand_templates(df: DataFrame, templates: list[str] | dict[str, list[str]],
         for k, ((name, _), value) in enumerate(zip(t.params, values)):
             parts += [F.lit(f"{',' if k else t.prefix + '-['}{name}="), F.coalesce(value, F.lit("null"))]
         names.append(F.when(mine, F.concat(*parts, F.lit("]"))))
-    out = out.withColumn("failure", F.coalesce(*failures))
     items = F.array_distinct(F.filter(F.array(*names), lambda n: n.isNotNull()))
-    return out.withColumn("items", F.when(F.col("failure").isNull(), items)).drop(*paths)
+    failure = F.coalesce(*failures)
+    return fixed(out.drop("failure", "items"), {"failure": failure, "items": F.when(failure.isNull(), items)}).drop(*paths)
 
 
 def canonical_item(text: Column) -> Column:
