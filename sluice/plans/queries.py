@@ -254,17 +254,17 @@ def _mapping(spark: SparkSession, sf_dir: str, regex: bool = False) -> DataFrame
     """Topics of order statuses with the items of two nations each."""
     n = load(spark, sf_dir, "nation").select("n_nationkey")
     status = F.when(F.col("n_nationkey") % 3 == 0, "F").when(F.col("n_nationkey") % 3 == 1, "O").otherwise("P" if not regex else "[OP]")
-    return n.select(F.concat(F.lit("orders_"), status).alias("topic"), F.concat(F.lit("item-"), F.col("n_nationkey").cast("string")).alias("item_ref")).where("item_ref <> 'item-0'")
+    return n.select(F.concat(F.lit("orders_"), status).alias("topic"), F.concat(F.lit("item-"), F.col("n_nationkey").cast("string")).alias("item_ref"))
 
 
 @query("d1_route_topics", """SELECT o_orderkey AS "offset", 'item-' || n_nationkey AS item_ref FROM orders JOIN nation
-ON o_orderstatus = CASE n_nationkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END WHERE n_nationkey <> 0""")
+ON o_orderstatus = CASE n_nationkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END""")
 def d1_route_topics(spark, sf_dir):
     return R.route_topics(order_records(spark, sf_dir).select("topic", "offset"), _mapping(spark, sf_dir)).select("offset", "item_ref")
 
 
 @query("d2_route_regex", """SELECT o_orderkey AS "offset", 'item-' || n_nationkey AS item_ref FROM orders JOIN nation
-ON regexp_full_match(o_orderstatus, CASE n_nationkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE '[OP]' END) WHERE n_nationkey <> 0""")
+ON regexp_full_match(o_orderstatus, CASE n_nationkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE '[OP]' END)""")
 def d2_route_regex(spark, sf_dir):
     return R.route_topics(order_records(spark, sf_dir).select("topic", "offset"), _mapping(spark, sf_dir, True), regex=True).select("offset", "item_ref")
 
@@ -309,15 +309,15 @@ def d7_match_templates(spark, sf_dir):
 
 
 def _event_subs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions of customers on event types, and on users."""
-    c = load(spark, sf_dir, "customer")
-    kind = F.element_at(F.array(*[F.lit(t) for t in ("click", "view", "purchase")]), (F.col("c_custkey") % 3 + 1).cast("int"))
-    item = F.when(F.col("c_custkey") % 2 == 0, F.format_string("events-[type=%s]", kind)).otherwise(F.format_string("user-[u=%s]", F.col("c_custkey").cast("string")))
-    return c.where("c_custkey < 30").select(F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("session"), item.alias("item"))
+    """A session for each nation, on an event type or on a user."""
+    n = load(spark, sf_dir, "nation")
+    kind = F.element_at(F.array(*[F.lit(t) for t in ("click", "view", "purchase")]), (F.col("n_nationkey") % 3 + 1).cast("int"))
+    item = F.when(F.col("n_nationkey") % 2 == 0, F.format_string("events-[type=%s]", kind)).otherwise(F.format_string("user-[u=%s]", F.col("n_nationkey").cast("string")))
+    return n.select(F.concat(F.lit("s"), F.col("n_nationkey").cast("string")).alias("session"), item.alias("item"))
 
 
-_SUBS = """subs AS (SELECT 's' || c_custkey AS session, CASE WHEN c_custkey % 2 = 0 THEN 'events-[type=' || ['click', 'view', 'purchase'][c_custkey % 3 + 1] || ']'
-ELSE 'user-[u=' || c_custkey || ']' END AS item FROM customer WHERE c_custkey < 30),
+_SUBS = """subs AS (SELECT 's' || n_nationkey AS session, CASE WHEN n_nationkey % 2 = 0 THEN 'events-[type=' || ['click', 'view', 'purchase'][n_nationkey % 3 + 1] || ']'
+ELSE 'user-[u=' || n_nationkey || ']' END AS item FROM nation),
 names AS (SELECT event_id, user_id, event_type, value, unnest(['events-[type=' || event_type || ']', 'user-[u=' || user_id || ']']) AS item FROM events)
 """
 EVENT_TEMPLATES = ["events-#{type=VALUE.event_type}", "user-#{u=KEY}", "events-#{type=VALUE['event_type']}"]
@@ -351,11 +351,12 @@ def d12_split_items(spark, sf_dir):
     return R.split_items(c, "wanted").select("c_custkey", "requested", F.col("canonical.item").alias("item"))
 
 
-@query("d13_admit", """SELECT c_custkey, CASE WHEN n_regionkey IS NULL THEN 'unknown_connection' WHEN n_regionkey = 0 THEN 'connection_disabled'
-WHEN n_regionkey = 1 AND c_mktsegment <> 'MACHINERY' THEN 'command_mode_required' END AS reason FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey < 20""")
+@query("d13_admit", """SELECT c_custkey, CASE WHEN r_regionkey IS NULL THEN 'unknown_connection' WHEN r_regionkey = 0 THEN 'connection_disabled'
+WHEN r_regionkey = 1 AND c_mktsegment <> 'MACHINERY' THEN 'command_mode_required' END AS reason FROM customer LEFT JOIN region ON c_nationkey % 7 = r_regionkey""")
 def d13_admit(spark, sf_dir):
-    subs = load(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("connection"), F.when(F.col("c_mktsegment") == "MACHINERY", "COMMAND").otherwise("MERGE").alias("mode"))
-    connections = load(spark, sf_dir, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").alias("connection"), (F.col("n_regionkey") != 0).alias("enabled"), (F.col("n_regionkey") == 1).alias("command_mode"))
+    mode = F.when(F.col("c_mktsegment") == "MACHINERY", "COMMAND").otherwise("MERGE")
+    subs = load(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") % 7).alias("connection"), mode.alias("mode"))
+    connections = load(spark, sf_dir, "region").select(F.col("r_regionkey").alias("connection"), (F.col("r_regionkey") != 0).alias("enabled"), (F.col("r_regionkey") == 1).alias("command_mode"))
     good, bad = R.admit(subs, connections)
     return good.select("c_custkey", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("c_custkey", "reason"))
 
@@ -398,10 +399,11 @@ def e1_ignore(spark, sf_dir):
     return fields_as(E.ignore_errors(_third_line(spark, sf_dir)), "third")
 
 
-@query("e2_force_unsubscribe", _LINES + """, bad AS (SELECT min((o_orderdate, o_custkey % 3, o_orderkey)) AS lim FROM o WHERE lines IS NULL OR len(lines) < 3)
-SELECT o_orderkey AS "offset" FROM o, bad WHERE len(lines) >= 3 AND (lim IS NULL OR (o_orderdate, o_custkey % 3, o_orderkey) < lim)""")
+@query("e2_force_unsubscribe", _LINES + """, bad AS (SELECT min((o_orderdate, o_custkey % 3, o_orderkey)) AS lim FROM o WHERE lines IS NULL)
+SELECT o_orderkey AS "offset" FROM o, bad WHERE lines IS NOT NULL AND (lim IS NULL OR (o_orderdate, o_custkey % 3, o_orderkey) < lim)""")
 def e2_force_unsubscribe(spark, sf_dir):
-    return E.force_unsubscribe(_third_line(spark, sf_dir), _event_subs(spark, sf_dir))[0].select("offset")
+    first = map_fields(order_records(spark, sf_dir), {"first": "#{VALUE.lines[0].l_partkey}"})
+    return E.force_unsubscribe(first, _event_subs(spark, sf_dir))[0].select("offset")
 
 
 @query("e3_dead_letters", _LINES + """SELECT o_orderkey AS "offset", 'field' AS stage, CASE WHEN lines IS NULL THEN 'null_object' ELSE 'index_out_of_bounds' END AS reason,
