@@ -241,7 +241,9 @@ def _typed(value: Column, kind: T.DataType, p: Path, non_scalar: bool) -> Column
             fields = F.create_map().cast(STRINGS)
         fields = F.coalesce(F.when(value.isNotNull(), fields), F.create_map().cast(STRINGS))
         return F.struct(failure.isNull().alias("ok"), F.when(failure.isNull(), fields).alias("fields"), failure["reason"].alias("reason"), failure["message"].alias("message"))
-    return F.struct(failure.isNull().alias("ok"), F.when(failure.isNull(), text_of(value, kind)).alias("text"), failure["reason"].alias("reason"), failure["message"].alias("message"))
+    # A whole payload of bytes reads as hexadecimal digits, bytes within a value as a list.
+    shown = F.hex(value) if isinstance(kind, T.BinaryType) and not p.steps else text_of(value, kind)
+    return F.struct(failure.isNull().alias("ok"), F.when(failure.isNull(), shown).alias("text"), failure["reason"].alias("reason"), failure["message"].alias("message"))
 
 
 def _complex(p: Path) -> str:

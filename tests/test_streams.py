@@ -144,6 +144,16 @@ def test_decoders(spark):
     assert df.select(D.decode(F.lit("ab").cast("binary"), "ROT")).first()[0] == "ba"
 
 
+def test_raw_bytes_read_as_digits(spark):
+    from sluice.functions.paths import Formats
+    from sluice.operators.fields import map_fields
+    from sluice.sources.envelope import as_envelope
+
+    df = as_envelope(spark.sql("select unhex('00FF') v"), "t", F.lit(None), F.col("v"))
+    row = map_fields(df, {"v": "#{VALUE}", "k": "#{KEY}"}, formats=Formats(value="BYTES")).first()
+    assert row["fields"] == {"v": "00FF", "k": None}
+
+
 def test_topic_options():
     assert topic_options(["a", "b", "x"], known_topics=["a", "b"])["subscribe"] == "a,b"
     assert topic_options(pattern=["a.*", "b"])["subscribePattern"] == "(?:a.*)|(?:b)"
