@@ -194,4 +194,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """The contaminated documents, one row each: doc_id, contaminated (true), items (comma-joined), cover."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.lit(True).alias("contaminated"), F.array_join(F.transform("item_ids", lambda i: i.cast("string")), ",").alias("items"), "cover")
