@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +14,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; only where it names none (tests) one of our own."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="sluice-")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder the cluster names.
+    """Cut lineage: ``df`` written as a table in the shared folder, and read again."""
+    path = f"{shared_folder(df.sparkSession)}/sluice-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    again = df.sparkSession.read.schema(df.schema).parquet(path)
+    again._written = path
+    return again
 
-    Only where ``spark.checkpoint.dir`` is unset (tests) is a folder of our own set.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sluice-checkpoint-"))
-    return df.checkpoint(eager=True)
+
+def release(df: DataFrame) -> None:
+    """Delete what ``cut`` wrote for a frame that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_name(df: DataFrame, name: str) -> str:
@@ -47,27 +64,33 @@ def components(edges: DataFrame, salts: int = 8, max_rounds: int = 60) -> DataFr
         wide = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         return pairs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")).join(wide, ["u", "s"])
 
+    def print_of(pairs: DataFrame):
+        row = pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
+        return row["n"], row["h"]
+
     edges = cut(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    if edges.isEmpty():
-        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    for _ in range(max_rounds):
+    before = print_of(edges)
+    for _ in range(max_rounds if before[0] else 0):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = minima(both).select("u", F.least("u", "m").alias("m"))
         large = attach(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = cut(large.where("u <> v").distinct())
         low = minima(large).select("u", "m")
         small = attach(large, low)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         small = cut(small.where("u <> v").distinct())
-        same = small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty()
-        edges = small
-        if same:
+        release(large)
+        release(edges)
+        edges, after = small, print_of(small)
+        if after == before:
             break
+        before = after
     else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        if before[0]:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     members = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.unionByName(roots)

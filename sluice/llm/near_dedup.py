@@ -9,8 +9,8 @@ exact multiset overlap.
 
 Within a bucket texts are first held against one pivot, in rounds; only texts of a bucket that
 are still in different components are then paired, so no link between components is lost and a
-large group of copies never gives all its pairs. With 40 bands of 6 a pair of similarity 0.8
-shares no band with probability (1 - 0.8^6)^40, about 5e-6.
+large group of copies never gives all its pairs. With 70 bands of 9 a pair of similarity 0.8
+shares no band with probability of about 2e-4, one of 0.85 with less than 1e-6.
 """
 
 from __future__ import annotations
@@ -23,17 +23,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, table
+from .common import components, cut, release, table
 from .token_counts import chunks
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 40, 6
+COMPONENTS, ROWS, DEALS = 315, 9, 2
+BANDS = DEALS * COMPONENTS // ROWS  # the signature's components are dealt into bands of 9 twice
 FIRST_BANDS = 8  # bands of the first pivot round; it settles most copies cheaply
+BROADCAST_PAIRS = 200_000  # pairs up to which the ids they name are sent to every executor
 CHUNK_CHARS = 2_000_000
+MEMO_TEXTS = 3_000  # sketches a worker keeps
 
 _WORDS = re.compile(r"\w+").findall
-_M = BANDS * ROWS
+_M = COMPONENTS
+_rng = np.random.default_rng(1)
+_DEALT = np.concatenate([_rng.permutation(COMPONENTS) for _ in range(DEALS)]).reshape(BANDS, ROWS)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -107,13 +112,24 @@ def signatures(owner: np.ndarray, shingle: np.ndarray, count: np.ndarray, texts:
     return sig.reshape(texts, m)
 
 
+def pack(shingle: np.ndarray, count: np.ndarray) -> bytes:
+    """A multiset as bytes: its size, distinct shingles in order, and counts if any is over 1."""
+    head = np.array([len(shingle)], np.uint64).tobytes() + shingle.tobytes()
+    return head + (count.astype(np.uint32).tobytes() if (count > 1).any() else b"")
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(packed, np.uint64, 1)[0])
+    rest = np.frombuffer(packed, np.uint32, offset=8 + 8 * n)
+    return np.frombuffer(packed, np.uint64, n, 8), rest if len(rest) else np.ones(n, np.uint32)
+
+
 def overlap(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two packed multisets."""
-    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    n, m = len(a) // 2, len(b) // 2
-    _, i, j = np.intersect1d(a[:n], b[:m], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[n:][i], b[m:][j]).sum())
-    union = int(a[n:].sum()) + int(b[m:].sum()) - both
+    (a, m), (b, n) = unpack(a), unpack(b)
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    both = int(np.minimum(m[i], n[j]).sum())
+    union = int(m.sum()) + int(n.sum()) - both
     return both / union if union else 0.0
 
 
@@ -121,29 +137,61 @@ def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("~"), text).alias("h2")]
 
 
-def sketch(texts: DataFrame) -> DataFrame:
-    """Of each row (id, text): id, n (shingles), bands (hash of each band), packed (the multiset)."""
+def sketch(rows: DataFrame) -> DataFrame:
+    """Of each row (doc_id, text, h1, h2): id, h1, h2, n (shingles), bands (hash of each band).
+
+    Of texts that a worker meets again only the first is worked out, up to a bound.
+    """
+
+    def run(batches):
+        memo: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            texts, done = batch.column(1).to_pylist(), 0
+            keys = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()))
+            for some in chunks(texts, CHUNK_CHARS):
+                mine = keys[done : done + len(some)]
+                fresh = {k: t for k, t in zip(mine, some) if k not in memo}
+                found = dict(zip(fresh, bands_of(list(fresh.values())))) if fresh else {}
+                rows_ = [found.get(k) or memo[k] for k in mine]
+                if len(memo) > MEMO_TEXTS:
+                    memo = {}
+                memo.update(found)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(np.concatenate([r[1] for r in rows_])))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(done, len(some)) for c in (0, 2, 3)), pa.array([r[0] for r in rows_], pa.int64()), lists],
+                    names=["id", "h1", "h2", "n", "bands"])
+                done += len(some)
+
+    return rows.select("doc_id", "text", "h1", "h2").mapInArrow(run, "id long, h1 long, h2 long, n long, bands array<long>")
+
+
+def bands_of(texts: list[str]) -> list[tuple[int, np.ndarray]]:
+    """Number of shingles and band hashes of each text."""
+    owner, shingle, count = shingles(texts)
+    sig = signatures(owner, shingle, count, len(texts))
+    bits = sig.view(np.uint64)[:, _DEALT]
+    band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(texts), BANDS)).copy()
+    with np.errstate(over="ignore"):
+        for k in range(ROWS):
+            band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, k])
+    n = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
+    return list(zip(n.tolist(), band.view(np.int64)))
+
+
+def multisets_of(rows: DataFrame) -> DataFrame:
+    """The packed multiset of each row (id, text)."""
 
     def run(batches):
         for batch in batches:
-            ids, all_texts, done = batch.column(0), batch.column(1).to_pylist(), 0
-            for some in chunks(all_texts, CHUNK_CHARS):
+            texts, done = batch.column(1).to_pylist(), 0
+            for some in chunks(texts, CHUNK_CHARS):
                 owner, shingle, count = shingles(some)
-                sig = signatures(owner, shingle, count, len(some))
-                bits = sig.view(np.uint64).reshape(len(some), BANDS, ROWS)
-                band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(some), BANDS)).copy()
-                with np.errstate(over="ignore"):
-                    for k in range(ROWS):
-                        band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, k])
                 cuts = np.searchsorted(owner, np.arange(len(some) + 1))
-                n = np.add.reduceat(np.append(count, 0), np.minimum(cuts[:-1], len(count))) * (np.diff(cuts) > 0)
-                packed = [shingle[a:b].tobytes() + count[a:b].astype(np.uint64).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(band.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([ids.slice(done, len(some)), pa.array(n, pa.int64()), lists, pa.array(packed, pa.binary())],
-                                                 names=["id", "n", "bands", "packed"])
+                packed = [pack(shingle[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(some)), pa.array(packed, pa.binary())], names=["id", "packed"])
                 done += len(some)
 
-    return texts.mapInArrow(run, "id long, n long, bands array<long>, packed binary").where("n > 0")
+    return rows.select("id", "text").mapInArrow(run, "id long, packed binary")
 
 
 def verified(pairs: DataFrame, multisets: DataFrame) -> DataFrame:
@@ -165,45 +213,62 @@ def _paired(pairs: DataFrame) -> DataFrame:
     return pairs.where((F.col("a") != F.col("b")) & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def links(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Verified pairs that join all components, and the components (node, component)."""
-    every = sketches.select("id", "n", F.posexplode("bands").alias("band", "hash"))
-    every = every.select("id", "n", "band", F.xxhash64("band", "hash").alias("key"))
-    many = every.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("p"), F.col("n").alias("m"))).alias("pivot")).where("c > 1")
-    many = cut(many.select("key", "c", "pivot.p", "pivot.m"))
-    buckets = cut(every.join(many, "key").select("key", "band", "id", "n", "p", "m"))
-    multisets = sketches.select("id", "packed")
-
-    def settle(edges: DataFrame):
-        found = components(edges)
-        return found.select(F.col("node").alias("id"), F.col("component").alias("comp"))
-
-    first = _paired(buckets.where(F.col("band") < FIRST_BANDS).select(F.col("p").alias("a"), F.col("id").alias("b"), "n", "m"))
-    edges = cut(verified(first, multisets))
-    comps = settle(edges)
-
-    def placed(rows: DataFrame, key: str, name: str) -> DataFrame:
-        """Rows with the component of ``key``: its own id where it has no links."""
-        mine = comps.select(F.col("id").alias("_node"), F.col("comp").alias("_comp"))
-        return rows.join(mine, F.col(key) == F.col("_node"), "left").withColumn(name, F.coalesce("_comp", key)).drop("_node", "_comp")
-
-    apart = placed(placed(buckets, "id", "comp"), "p", "pcomp").where("comp <> pcomp")
-    second = _paired(apart.select(F.col("p").alias("a"), F.col("id").alias("b"), "n", "m"))
-    second = second.join(first, ["a", "b"], "left_anti")
-    edges = cut(edges.unionByName(verified(second, multisets)))
-    comps = settle(edges)
-
-    # What still lies apart in a bucket: texts outside its largest component against all others.
-    open_keys = placed(placed(buckets, "id", "comp"), "p", "pcomp").where("comp <> pcomp").select("key").distinct()
-    members = cut(placed(buckets.join(open_keys, "key", "left_semi"), "id", "comp").select("key", "id", "n", "comp"))
-    main = members.groupBy("key", "comp").count().groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    rest = cut(members.join(main, "key").where("comp <> main").select("key", F.col("id").alias("a"), "n", F.col("comp").alias("acomp")))
-    other = members.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("comp").alias("bcomp"))
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are similar, by the multisets of the texts they name; ``pairs`` is a cut table."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if pairs.count() <= BROADCAST_PAIRS:
+        ids = F.broadcast(ids)
+    multisets = cut(multisets_of(texts.join(ids, "id", "left_semi")).dropDuplicates(["id"]))
+    good = cut(verified(pairs, multisets))
+    release(multisets)
+    return good
+
+
+def _crossing(members: DataFrame) -> DataFrame:
+    """Members (key, id, n, comp) of buckets with several components that lie outside the largest,
+    each with a pivot of the largest: p and its size m.
+
+    Buckets are reduced by aggregation alone; the pivot is a different member from bucket to bucket.
+    """
+    pivot = F.min(F.struct(F.xxhash64("id", "key").alias("o"), F.col("id").alias("p"), F.col("n").alias("m")))
+    parts = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), pivot.alias("pivot"))
+    main = parts.groupBy("key").agg(F.max_by(F.struct(F.col("comp").alias("main"), "pivot.p", "pivot.m"), F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    main = main.where("parts > 1").select("key", "top.main", "top.p", "top.m")
+    return members.join(main, "key").where("comp <> main").select("key", "id", "n", "comp", "p", "m")
+
+
+def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """Components (node, component) of the texts that are linked.
+
+    ``sketches``: id, n, bands of distinct texts; ``texts``: id, text of at least those.
+    """
+    def members(comps: DataFrame | None, bands: int) -> DataFrame:
+        """A row for each text and band: key, id, n, and the component so far."""
+        rows = sketches.withColumn("comp", F.col("id"))
+        if comps is not None:
+            rows = sketches.join(comps, F.col("id") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "id"))
+        rows = rows.select("id", "n", "comp", F.posexplode(F.slice("bands", 1, bands)).alias("band", "hash"))
+        return rows.select("id", "n", "comp", F.xxhash64("band", "hash").alias("key"))
+
+    def against_pivots(rows: DataFrame) -> DataFrame:
+        return cut(_paired(_crossing(rows).select(F.col("p").alias("a"), F.col("id").alias("b"), "n", "m")))
+
+    first = against_pivots(members(None, FIRST_BANDS))
+    edges = _verify(first, texts)
+    comps = cut(components(edges))
+    second = against_pivots(members(comps, BANDS))
+    edges = cut(edges.unionByName(_verify(second, texts)))
+    comps = cut(components(edges))
+    # What still lies apart: texts outside a bucket's largest component against all its others.
+    rows = members(comps, BANDS)
+    rest = cut(_crossing(rows).select("key", F.col("id").alias("a"), "n", F.col("comp").alias("acomp")))
+    other = rows.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("comp").alias("bcomp"))
     enough = F.least("n", "m") >= F.lit(SIMILARITY) * F.greatest("n", "m")
-    third = _paired(rest.join(other, "key").where((F.col("acomp") != F.col("bcomp")) & enough).select("a", "b", "n", "m"))
-    third = third.join(first.unionByName(second), ["a", "b"], "left_anti")
-    edges = cut(edges.unionByName(verified(third, multisets)))
-    return edges, settle(edges)
+    third = cut(_paired(rest.join(other, "key").where((F.col("acomp") != F.col("bcomp")) & enough).select("a", "b", "n", "m")))
+    more = _verify(third, texts)
+    for done in (first, second, third, rest, comps):
+        release(done)
+    return components(edges.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -215,14 +280,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     usable = F.col("doc_id").isNotNull() & (F.length(F.trim(F.coalesce("text", F.lit("")))) > 0)
-    keyed = rows.select("doc_id", usable.alias("usable"), *_text_key(F.col("text")))
-    classes = cut(keyed.where("usable").groupBy("h1", "h2").agg(F.min("doc_id").alias("id")))
-    chosen = classes.select("id").distinct()
-    texts = rows.where(usable).join(chosen, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
-    sketches = cut(sketch(texts.select(F.col("doc_id").alias("id"), "text")))
-    comps = links(sketches)[1]
-    final = classes.join(comps, "id", "left").select("h1", "h2", F.coalesce("comp", "id").alias("class_id"))
-    final = cut(final)
+    keyed = rows.select("doc_id", usable.alias("usable"), "text", *_text_key(F.col("text")))
+    distinct = sketch(keyed.where("usable")).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    distinct = cut(distinct)
+    texts = keyed.where("usable").select(F.col("doc_id").alias("id"), "text")
+    comps = links(distinct.where("n > 0").select("id", "n", "bands"), texts)
+    final = cut(distinct.select("h1", "h2", "id").join(comps, F.col("id") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "id").alias("class_id")))
+    release(distinct)
     joined = keyed.where("usable").join(final, ["h1", "h2"]).select("doc_id", "class_id")
     alone = keyed.where("not usable").select("doc_id", F.col("doc_id").alias("class_id"))
     return joined.unionByName(alone).select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
