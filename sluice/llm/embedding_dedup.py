@@ -7,7 +7,8 @@ double precision. A sample of queries is checked against brute force over all ve
 beams are widened until that recall audit passes.
 
 A query gives one count a shard and one link to each of the shard's own components that it hits,
-never all its pairs; those links have the same connected components as all pairs together.
+never all its pairs. Each node of a shard gives one link to its component's root besides, so the
+links have the same connected components as all pairs together.
 """
 
 from __future__ import annotations
@@ -188,9 +189,14 @@ def _build(key, rows):
 
 def _query(beam: int):
     def run(key, graphs, queries):
-        if graphs.empty or queries.empty:
-            return pd.DataFrame({"id": [], "linked": [], "other": []}).astype("int64")
+        none = pd.DataFrame({"id": [], "linked": [], "other": []}).astype("int64")
+        if graphs.empty or (queries.empty and key[2]):
+            return none
         graph = pickle.loads(graphs["graph"].iloc[0])
+        # Once a shard: what holds its own components together.
+        tree = none if key[2] else pd.DataFrame({"id": graph.ids, "linked": 0, "other": graph.ids[graph.part]}).query("id != other")
+        if queries.empty:
+            return tree
         ids = queries["id"].to_numpy()
         q, x, _ = graph.hits(_array(queries["vector"]), beam)
         other = graph.ids[x] != ids[q]
@@ -198,7 +204,7 @@ def _query(beam: int):
         linked = np.zeros(len(ids), np.int64)
         np.add.at(linked, q, graph.counts[x])
         reps = pd.DataFrame({"id": ids[q], "other": graph.ids[x], "part": graph.part[x]}).groupby(["id", "part"], as_index=False)["other"].min()
-        return pd.concat([pd.DataFrame({"id": ids, "linked": linked, "other": ids}), pd.DataFrame({"id": reps["id"], "linked": 0, "other": reps["other"]})])
+        return pd.concat([pd.DataFrame({"id": ids, "linked": linked, "other": ids}), pd.DataFrame({"id": reps["id"], "linked": 0, "other": reps["other"]}), tree])
 
     return run
 

@@ -120,6 +120,16 @@ def test_embeddings_equal_brute_force(spark):
     assert embedding_dedup.link_embeddings(df.limit(0)).count() == 0
 
 
+def test_a_chain_within_one_shard_is_one_component(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARDS", 1)
+    at = {1: 0, 3: 20, 4: 40, 2: 60, 9: 180}  # degrees: neighbours within 25.8 are linked
+    rows = [(k, [float(np.cos(np.radians(a))), float(np.sin(np.radians(a)))]) for k, a in at.items()]
+    found = {r["vec_id"]: r for r in embedding_dedup.link_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert {k: r["n_links"] for k, r in found.items()} == {1: 1, 3: 2, 4: 2, 2: 1, 9: 0}
+    assert {k: r["component_id"] for k, r in found.items()} == {1: 1, 3: 1, 4: 1, 2: 1, 9: 9}
+    assert {k for k, r in found.items() if r["kept"]} == {1, 9}
+
+
 def test_beams_widen_over_dense_groups():
     rng = np.random.default_rng(2)
     dense = rng.normal(size=32) + rng.normal(size=(400, 32)) * 0.05
