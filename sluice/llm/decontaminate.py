@@ -4,6 +4,7 @@ Numbers, names and units become typed placeholders, so that a question with othe
 the same template. Windows of template words are hashed and joined with the benchmark's; along
 each alignment of a document with an item the slot values must map one to one. A document is
 contaminated if windows of consistent alignments cover enough of an item, or hold a long run.
+Windows with few literal words count too, where all slots agree or the words are equal.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ _TOKENS = re.compile(r"\d(?:[\d.,]*\d)?|[^\W\d_]+|[.!?:\n]").findall
 _LITERAL, _TITLE, _END, _NUMBER, _UNIT, _BORDER = range(6)
 _SLOT = {_NUMBER: "<number>", _UNIT: "<unit>", _TITLE: "<name>"}
 _FACTOR = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
+_EXACT, _WEAK, _STRONG = range(3)
 
 
 def _hash(word: str) -> int:
@@ -68,9 +71,10 @@ class _Codes(dict):
 
 
 def canonical(texts: list[str]):
-    """Template words of all texts in a row: text number, hash, whether a slot, and the words.
+    """Template words of all texts in a row, once for each form, and the words.
 
-    A capitalised word is a name unless a sentence starts with it; neighbouring names are one slot.
+    A form has text number, hash, hash of the word itself, kind, and the word's place. A capitalised
+    word is a name unless a sentence starts with it; neighbouring names are one slot.
     """
     codes, owner, words = _Codes(), [], []
     flat = []
@@ -83,97 +87,148 @@ def canonical(texts: list[str]):
         owner.append(len(tokens) + 1)
     flat = np.array(flat, np.int64)
     owner = np.repeat(np.arange(len(texts)), owner)
-    kind = np.array(codes.kind)[flat]
-    value = np.array(codes.hash, np.uint64)[flat]
-    before = np.concatenate([[_BORDER], kind[:-1]])
-    kind = np.where((kind == _TITLE) & np.isin(before, (_END, _BORDER)), _LITERAL, kind)
-    for slot, name in _SLOT.items():
-        value[kind == slot] = _hash(name)
-    more = (kind == _TITLE) & (np.concatenate([[_BORDER], kind[:-1]]) == _TITLE)
-    keep = np.flatnonzero((kind != _END) & ~more)
-    return owner[keep], value[keep], kind[keep], keep, words
-
-
-def window_hashes(value: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the window starting at each template word, and whether it is one.
-
-    A window lies within one text and has more literal words than slots.
+    told = np.array(codes.kind)[flat]
+    plain = np.array(codes.hash, np.uint64)[flat]
+    title = told == _TITLE
+    starts = np.isin(np.concatenate([[_BORDER], told[:-1]]), (_END, _BORDER))
+    forms = []
+    for literal in (starts,):
+        kind = np.where(title & literal, _LITERAL, told)
+        value = plain.copy()
+        for slot, name in _SLOT.items():
+            value[kind == slot] = _hash(name)
+        name = kind == _TITLE
+        more = name & np.concatenate([[False], name[:-1]])
+        keep = np.flatnonzero((kind != _END) & ~more)
+        forms.append((owner[keep], value[keep], plain[keep], kind[keep], keep))
+    return forms, words
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor and of its inverse, n at least."""
+    if len(_POWERS[0]) < n:
+        for k, factor in enumerate((_FACTOR, pow(_FACTOR, -1, 1 << 64))):
+            steps = np.full(2 * n, factor, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.multiply.accumulate(steps)
+    return _POWERS[0], _POWERS[1]
+
+
+def _sums(value: np.ndarray) -> np.ndarray:
+    """Sums of the words' hashes, weighted by their place, up to each word."""
+    mixed = (value ^ (value >> np.uint64(29))) * _powers(len(value) + 1)[0][: len(value)]
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+
+
+def window_hashes(value: np.ndarray, plain: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the window starting at each template word, and how it is compared (-1: it is none).
+
+    A window lies within one text. With more literal words than slots it is ``_STRONG``. With fewer
+    it is ``_WEAK``, but ``_EXACT``, by its words instead of its template, if it is long or all slots.
     """
     n = len(value) - size + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    total = np.full(n, size, np.uint64)
-    literal, inside = np.zeros(n, np.int64), np.ones(n, bool)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            total = total * np.uint64(_FACTOR) + (value[k : k + n] ^ (value[k : k + n] >> np.uint64(29)))
-            literal += kind[k : k + n] == _LITERAL
-            inside &= kind[k : k + n] != _BORDER
-    return total, inside & (2 * literal > size)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    back = _powers(len(value) + 1)[1]
+    counts = [np.concatenate([[0], np.cumsum(kind == k)]) for k in (_LITERAL, _BORDER)]
+    literal, border = (c[size:] - c[:n] for c in counts)
+    few = 1 if size == WINDOW else size
+    mode = np.where(2 * literal > size, _STRONG, np.where(literal >= few, _WEAK, _EXACT))
+    mode[border > 0] = -1
+    sums = _sums(value)
+    hashes = (sums[size:] - sums[:n]) * back[:n]
+    exact = np.flatnonzero(mode == _EXACT)
+    if len(exact):
+        sums = _sums(plain)
+        hashes[exact] = (sums[exact + size] - sums[exact]) * back[exact]
+    return hashes, mode
 
 
 def windows(table_: DataFrame, key: str, wanted: np.ndarray | None) -> DataFrame:
-    """Template windows of each text: key, size, at, hash, template, slots.
+    """Windows of each text: key, form, mode, size, at, hash, template, slots.
 
     With ``wanted`` (sorted hashes) only those windows.
     """
 
     def run(batches):
+        maybe = None
+        if wanted is not None:
+            maybe = np.zeros(1 << 20, bool)
+            maybe[wanted >> np.uint64(44)] = True
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             done = 0
             for some in chunks(texts, CHUNK_CHARS):
-                owner, value, kind, where, words = canonical(some)
-                begins = np.searchsorted(owner, np.arange(len(some)))
-                out = {n: [] for n in ("key", "size", "at", "hash", "template", "slots")}
-                for size in (WINDOW, LONG_WINDOW):
-                    hashes, good = window_hashes(value, kind, size)
-                    if wanted is not None:
-                        place = np.minimum(np.searchsorted(wanted, hashes), max(0, len(wanted) - 1))
-                        good = good & (wanted[place] == hashes) if len(wanted) else good & False
-                    for i in np.flatnonzero(good).tolist():
-                        kinds = kind[i : i + size].tolist()
-                        text = [words[k] for k in where[i : i + size].tolist()]
-                        out["key"].append(keys[done + owner[i]])
-                        out["size"].append(size)
-                        out["at"].append(int(i - begins[owner[i]]))
-                        out["hash"].append(int(hashes[i].astype(np.int64)))
-                        out["template"].append(" ".join(_SLOT.get(k, w.lower()) for k, w in zip(kinds, text)))
-                        out["slots"].append([w.lower() for k, w in zip(kinds, text) if k in _SLOT])
+                forms, words = canonical(some)
+                out = {n: [] for n in ("key", "form", "mode", "size", "at", "hash", "template", "slots")}
+                for form, (owner, value, plain, kind, where) in enumerate(forms):
+                    begins = np.searchsorted(owner, np.arange(len(some)))
+                    for size in (WINDOW, LONG_WINDOW):
+                        hashes, mode = window_hashes(value, plain, kind, size)
+                        found = np.flatnonzero(mode >= 0 if maybe is None else (mode >= 0) & maybe[hashes >> np.uint64(44)])
+                        if wanted is not None and len(found):
+                            found = found[wanted[np.minimum(np.searchsorted(wanted, hashes[found]), len(wanted) - 1)] == hashes[found]]
+                        for i in found.tolist():
+                            exact = mode[i] == _EXACT
+                            kinds = kind[i : i + size].tolist()
+                            text = [words[k].lower() for k in where[i : i + size].tolist()]
+                            out["key"].append(keys[done + owner[i]])
+                            out["form"].append(form)
+                            out["mode"].append(int(mode[i]))
+                            out["size"].append(size)
+                            out["at"].append(int(i - begins[owner[i]]))
+                            out["hash"].append(int(hashes[i].astype(np.int64)))
+                            out["template"].append(" ".join(text if exact else [_SLOT.get(k, w) for k, w in zip(kinds, text)]))
+                            out["slots"].append([] if exact else [w for k, w in zip(kinds, text) if k in _SLOT])
                 done += len(some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["key"], pa.int64()), pa.array(out["size"], pa.int32()), pa.array(out["at"], pa.int64()),
-                     pa.array(out["hash"], pa.int64()), pa.array(out["template"], pa.string()), pa.array(out["slots"], pa.list_(pa.string()))],
+                    [pa.array(out["key"], pa.int64()), pa.array(out["form"], pa.int32()), pa.array(out["mode"], pa.int32()), pa.array(out["size"], pa.int32()),
+                     pa.array(out["at"], pa.int64()), pa.array(out["hash"], pa.int64()), pa.array(out["template"], pa.string()), pa.array(out["slots"], pa.list_(pa.string()))],
                     names=list(out))
 
     return table_.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "key long, size int, at long, hash long, template string, slots array<string>")
+        run, "key long, form int, mode int, size int, at long, hash long, template string, slots array<string>")
+
+
+def _one_to_one(pairs):
+    values = F.array_distinct(pairs)
+    return (F.size(values) == F.size(F.array_distinct(F.transform(values, lambda p: p["item_slots"])))) & (
+        F.size(values) == F.size(F.array_distinct(F.transform(values, lambda p: p["slots"]))))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold benchmark items: doc_id, item_ids (sorted), cover (largest share of an item).
 
-    Null ids are one more id; null texts hold nothing; items of fewer than five template words are
-    never found; repeated rows and items count once.
+    Null ids are one more id; null texts hold nothing; items of fewer than five template words are never
+    found; repeated rows and items count once. The share is of an item's windows with more literal
+    words than slots, or of all its windows, whichever is larger.
     """
     ours = cut(windows(benchmark.where("item_id is not null"), "item_id", None)
-               .select(F.col("key").alias("item_id"), "size", F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots")).distinct())
+               .select(F.col("key").alias("item_id"), "form", "mode", "size", F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots")).distinct())
     small = ours.count() <= BROADCAST_WINDOWS
     wanted = None
     if small:  # bounded: at most BROADCAST_WINDOWS numbers
         wanted = np.sort(np.array([r[0] for r in ours.select("hash").distinct().collect()], np.int64).astype(np.uint64))
     theirs = windows(docs.select("doc_id", "text"), "doc_id", wanted).withColumnRenamed("key", "doc_id")
-    pairs = theirs.join(F.broadcast(ours) if small else ours, ["hash", "size", "template"])
-    aligned = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set(F.struct("size", "item_at")).alias("found"),
-        F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots"))).alias("slots"))
-    values = F.array_distinct("slots")
-    one_to_one = (F.size(values) == F.size(F.array_distinct(F.transform(values, lambda p: p["item_slots"])))) & (
-        F.size(values) == F.size(F.array_distinct(F.transform(values, lambda p: p["slots"]))))
-    totals = ours.where(F.col("size") == WINDOW).groupBy("item_id").agg(F.countDistinct("item_at").alias("total"))
-    hit = (aligned.where(one_to_one).select("doc_id", "item_id", F.explode("found").alias("w")).groupBy("doc_id", "item_id")
-           .agg(F.countDistinct(F.when(F.col("w.size") == WINDOW, F.col("w.item_at"))).alias("n"), F.max("w.size").alias("longest")))
-    hit = hit.join(F.broadcast(totals) if small else totals, "item_id").withColumn("cover", F.col("n") / F.col("total"))
+    pairs = theirs.join(F.broadcast(ours) if small else ours, ["hash", "form", "mode", "size", "template"])
+    strong, both = F.col("mode") == _STRONG, F.arrays_zip("item_slots", "slots")
+    aligned = pairs.groupBy("doc_id", "item_id", "form", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+        F.collect_set(F.struct("mode", "size", "item_at")).alias("found"),
+        F.flatten(F.collect_set(F.when(strong, both))).alias("strong_slots"), F.flatten(F.collect_set(both)).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("mode") != _EXACT, F.split("template", " "))))).alias("words"))
+    # Templates of a single literal word say too little.
+    telling = F.size(F.filter("words", lambda w: ~w.startswith("<"))) >= 2
+    aligned = aligned.select("doc_id", "item_id", "form", "found", _one_to_one(F.col("strong_slots")).alias("strong_fits"), (_one_to_one(F.col("slots")) & telling).alias("fits"))
+    whole, mode = F.col("w.size") == WINDOW, F.col("w.mode")
+    counted = aligned.select("doc_id", "item_id", "form", "strong_fits", "fits", F.explode("found").alias("w"))
+    counted = counted.where(F.when(mode == _STRONG, F.col("strong_fits")).when(mode == _WEAK, F.col("fits")).otherwise(True))
+    totals = ours.where(F.col("size") == WINDOW).groupBy("item_id", "form").agg(
+        F.countDistinct("item_at").alias("total"), F.countDistinct(F.when(strong, F.col("item_at"))).alias("strong_total"))
+    hit = counted.groupBy("doc_id", "item_id", "form").agg(
+        F.countDistinct(F.when(whole, F.col("w.item_at"))).alias("n"), F.countDistinct(F.when(whole & (mode == _STRONG), F.col("w.item_at"))).alias("strong_n"),
+        F.max("w.size").alias("longest"))
+    hit = hit.join(F.broadcast(totals) if small else totals, ["item_id", "form"])
+    hit = hit.withColumn("cover", F.greatest(F.col("n") / F.col("total"), F.coalesce(F.col("strong_n") / F.nullif("strong_total", F.lit(0)), F.lit(0.0))))
     hit = hit.where((F.col("cover") >= LEAST_COVER) | (F.col("longest") == LONG_WINDOW))
     return hit.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("cover").alias("cover"))
 

@@ -171,6 +171,20 @@ def test_slots_must_map_one_to_one(spark):
     assert {r["doc_id"]: r["contaminated"] for r in decontaminate.report(docs, bench).collect()} == {1: True, 2: False}
 
 
+def found_in(spark, item, texts):
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r["doc_id"]: r["contaminated"] for r in decontaminate.report(docs, bench).collect()}
+    return [found[k] for k in range(len(texts))]
+
+
+def test_items_dense_in_slots_are_found(spark):
+    item = "Convert 5 km 300 m to cm"
+    texts = ["Before. " + item + " and more.", "Before. Convert 8 miles 20 yards to feet now.", "Convert 8 km 8 m to cm", "Run 5 km 300 m in rain", "5 km 300 m 7 cm 2"]
+    assert found_in(spark, item, texts) == [True, True, False, False, False]
+    numbers = "3 14 15 92 65 35 89"
+    assert found_in(spark, numbers, ["x " + numbers + " y", "2 71 82 81 84 59 45"]) == [True, False]
+
+
 def test_large_benchmarks_are_joined_by_shuffle(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
     small = sorted(map(str, decontaminate.report(docs, bench).collect()))
