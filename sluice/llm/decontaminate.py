@@ -4,7 +4,8 @@ Numbers, names and units become typed placeholders, so that a question with othe
 the same template. Windows of template words are hashed and joined with the benchmark's; along
 each alignment of a document with an item the slot values must map one to one. A document is
 contaminated if windows of consistent alignments cover enough of an item, or hold a long run.
-Windows with few literal words count too, where all slots agree or the words are equal.
+Windows with few literal words count too, where all slots agree or the words are equal. Whether a
+capitalised word is a name is told in three ways, and each is compared by itself.
 """
 
 from __future__ import annotations
@@ -34,6 +35,13 @@ UNITS = frozenset(
     "hour hours day days week weeks month months year years percent dollar dollars euro euros cent "
     "cents usd eur degree degrees kmh mph".split())
 
+# Function words that start sentences and aren't names.
+COMMON = frozenset(
+    "a an the this that these those he she it we you they i his her its our your their there here what which who whom "
+    "whose when where why how if is are was were do does did has have had can could should would not no and or but so "
+    "then for from in on at by to of with as after before while during each every all some how find "
+    "der die das ein eine und ist wie was wer wo im in le la les un une des et est que qui el los las una y es".split())
+
 _TOKENS = re.compile(r"\d(?:[\d.,]*\d)?|[^\W\d_]+|[.!?:\n]").findall
 _LITERAL, _TITLE, _END, _NUMBER, _UNIT, _BORDER = range(6)
 _SLOT = {_NUMBER: "<number>", _UNIT: "<unit>", _TITLE: "<name>"}
@@ -52,7 +60,7 @@ class _Codes(dict):
 
     def __init__(self):
         super().__init__()
-        self.kind, self.hash = [_BORDER], [_hash("\0")]
+        self.kind, self.hash, self.common = [_BORDER], [_hash("\0")], [False]
 
     def __missing__(self, token: str) -> int:
         first, rest = token[0], token[1:]
@@ -67,14 +75,17 @@ class _Codes(dict):
         code = self[token] = len(self.kind)
         self.kind.append(kind)
         self.hash.append(_hash(token.lower()))
+        self.common.append(token.lower() in COMMON)
         return code
 
 
 def canonical(texts: list[str]):
     """Template words of all texts in a row, once for each form, and the words.
 
-    A form has text number, hash, hash of the word itself, kind, and the word's place. A capitalised
-    word is a name unless a sentence starts with it; neighbouring names are one slot.
+    A form has text number, hash, hash of the word itself, kind, and the word's place. In the first
+    a capitalised word is a name unless a sentence starts with it, in the second unless it is a
+    function word, and in the third no word is (so case and punctuation don't matter).
+    Neighbouring names are one slot.
     """
     codes, owner, words = _Codes(), [], []
     flat = []
@@ -92,7 +103,7 @@ def canonical(texts: list[str]):
     title = told == _TITLE
     starts = np.isin(np.concatenate([[_BORDER], told[:-1]]), (_END, _BORDER))
     forms = []
-    for literal in (starts,):
+    for literal in (starts, np.array(codes.common)[flat], True):
         kind = np.where(title & literal, _LITERAL, told)
         value = plain.copy()
         for slot, name in _SLOT.items():
@@ -199,7 +210,7 @@ def _one_to_one(pairs):
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold benchmark items: doc_id, item_ids (sorted), cover (largest share of an item).
 
-    Null ids are one more id; null texts hold nothing; items of fewer than five template words are never
+    Null ids are one more id; null texts hold nothing; items of fewer than five words are never
     found; repeated rows and items count once. The share is of an item's windows with more literal
     words than slots, or of all its windows, whichever is larger.
     """

@@ -185,6 +185,16 @@ def test_items_dense_in_slots_are_found(spark):
     assert found_in(spark, numbers, ["x " + numbers + " y", "2 71 82 81 84 59 45"]) == [True, False]
 
 
+def test_names_at_sentence_starts_and_changed_case(spark):
+    item = "Tom has 5 red apples today. Tom eats 2 of them at once. Tom then gives 1 to his friend. Tom keeps what is left."
+    renamed = item.replace("Tom", "Ann").replace("5", "9").replace("2", "4").replace("1", "3")
+    other = renamed.replace("Ann eats", "Bob eats").replace("Ann keeps", "Eve keeps")
+    assert found_in(spark, item, [item, renamed, "Words. " + renamed + " Words.", renamed.replace(".", ""), other]) == [True, True, True, True, False]
+    names = "Who met Ann near Rome with Bob near Oslo with Eve near Bonn?"
+    assert found_in(spark, names, [names.lower(), names.upper(), "who left ann near rome for good"]) == [True, True, False]
+    assert found_in(spark, "What is the capital of France?", ["Paris is the capital of France."]) == [False]
+
+
 def test_large_benchmarks_are_joined_by_shuffle(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
     small = sorted(map(str, decontaminate.report(docs, bench).collect()))
