@@ -33,6 +33,20 @@ def test_cnn_learns_a_word():
     assert len(scorer.scores([None, "", "..."])) == 3
 
 
+def test_a_score_is_of_its_own_text_alone():
+    model = toxicity.Cnn.fresh()
+    texts = ["calm words of the day", "vile vile things", "", "x", "more calm words"]
+    alone = [toxicity.Scorer(model).scores([t])[0] for t in texts]
+    for k in range(len(texts)):
+        turned = texts[k:] + texts[:k]
+        assert list(toxicity.Scorer(model).scores(turned)) == pytest.approx(alone[k:] + alone[:k], abs=1e-6)
+    # The same in training: the pools of a batch are those of its texts alone.
+    seen = toxicity.np.random.default_rng(1).normal(size=(10, model.filters.shape[1])).astype("float32")
+    seen[[2, 3, 4, 7, 8, 9]] = 0
+    both, one = model.pool(seen, toxicity.np.array([0, 5]))[1][0], model.pool(seen[:5], toxicity.np.array([0]))[1][0]
+    assert list(both) == pytest.approx(list(one), abs=1e-6)
+
+
 def test_cnn_with_one_label_or_none():
     assert toxicity.Scorer(toxicity.fit([])).scores(["x"])[0] < 0.5
     assert toxicity.Scorer(toxicity.fit([(k, "a", 1) for k in range(20)])).scores(["x"])[0] > 0.5
