@@ -7,20 +7,27 @@ are thinned out. A component's least point is equal for two texts with exactly t
 Jaccard similarity as probability. Signatures are banded; pairs that share a band are verified by
 exact multiset overlap.
 
-Within a bucket texts are first held against one pivot, in rounds; only texts of a bucket that
-are still in different components are then paired, so no link between components is lost and a
-large group of copies never gives all its pairs. With 70 bands of 9 a pair of similarity 0.8
-shares no band with probability of about 2e-4, one of 0.85 with less than 1e-6.
+Within a bucket texts are first held against pivots: in the first round against the text that
+meets most others in its buckets (mostly the original of a group of copies), in the second against
+another text of the bucket's largest component. Texts of buckets that still hold several
+components are then paired by an exact prefix filter: a text's shingle occurrences are ordered by
+rarity, and two texts of sizes n and m can only reach the similarity if they share one of their
+``n - ceil(0.8 / 1.8 * (n + m)) + 1`` rarest. So texts that share no more than a common core never
+pair, no link between components is lost, and a large group of copies never gives all its pairs.
+With 70 bands of 9 a pair of similarity 0.8 shares no band with probability of about 2e-4, one of
+0.85 with less than 1e-6.
 """
 
 from __future__ import annotations
 
+import math
 import re
-import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, cut, release, table
@@ -30,14 +37,16 @@ SHINGLE = 5
 SIMILARITY = 0.8
 COMPONENTS, ROWS, DEALS = 315, 9, 2
 BANDS = DEALS * COMPONENTS // ROWS  # the signature's components are dealt into bands of 9 twice
-FIRST_BANDS = 8  # bands of the first pivot round; it settles most copies cheaply
-BROADCAST_PAIRS = 200_000  # pairs up to which the ids they name are sent to every executor
+BROADCAST_IDS = 400_000  # ids up to which a list of texts is sent to every executor
 CHUNK_CHARS = 2_000_000
 MEMO_TEXTS = 3_000  # sketches a worker keeps
+MEMO_WORDS = 200_000  # hashes of words a worker keeps
+POINTS = 1 << 16  # points worked out at once
 
 _WORDS = re.compile(r"\w+").findall
 _M = COMPONENTS
 _rng = np.random.default_rng(1)
+_PLACES = _rng.integers(0, 2**63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)  # a word's weight by its place in a shingle
 _DEALT = np.concatenate([_rng.permutation(COMPONENTS) for _ in range(DEALS)]).reshape(BANDS, ROWS)
 
 
@@ -51,64 +60,86 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
-        raw = word.encode("utf-8", "surrogatepass")
-        value = self[word] = zlib.crc32(raw) << 32 | zlib.crc32(b"~" + raw)
+        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value
 
 
+_known = _Hashes()
+
+
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text: text number, hash, count; sorted by both.
 
     A text of fewer than five words has one shingle, all its words; one without words has none.
     """
-    known = _Hashes()
+    if len(_known) > MEMO_WORDS:
+        _known.clear()
     words = [_WORDS(t.lower()) for t in texts]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.array([known[w] for some in words for w in some], np.uint64)
-    span = np.where(sizes >= SHINGLE, SHINGLE, sizes)
-    many = np.where(sizes > 0, sizes - span + 1, 0)
+    # Four more places, so that every word begins a window; those that leave their text aren't taken.
+    flat = np.zeros(int(sizes.sum()) + SHINGLE - 1, np.uint64)
+    flat[: len(flat) - SHINGLE + 1] = np.fromiter(map(_known.__getitem__, chain.from_iterable(words)), np.uint64, len(flat) - SHINGLE + 1)
     begin = np.cumsum(sizes) - sizes
+    many = np.where(sizes >= SHINGLE, sizes - SHINGLE + 1, np.minimum(sizes, 1))
+    cuts = np.concatenate([[0], np.cumsum(many)])
     owner = np.repeat(np.arange(len(texts)), many)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many) + begin[owner]
-    total = span[owner].astype(np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(SHINGLE):
-            inside = k < span[owner]
-            total = np.where(inside, _mix(total * np.uint64(0x9E3779B97F4A7C15) + flat[np.where(inside, at + k, 0)]) if len(flat) else total, total)
-    order = np.lexsort((total, owner))
-    owner, total = owner[order], total[order]
+        window = sum(flat[k : len(flat) - SHINGLE + 1 + k] * _PLACES[k] for k in range(SHINGLE))
+        total = window[np.arange(len(owner)) + (begin - cuts[:-1])[owner]]
+        for k in np.flatnonzero((sizes > 0) & (sizes < SHINGLE)):
+            total[cuts[k]] = (flat[begin[k] : begin[k] + sizes[k]] * _PLACES[: sizes[k]]).sum() + sizes[k].astype(np.uint64)
+    total = _mix(total)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        total[a:b].sort()
     new = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(total) != 0)])) if len(owner) else np.zeros(0, np.int64)
     return owner[new], total[new], np.diff(np.append(new, len(owner)))
 
 
 def signatures(owner: np.ndarray, shingle: np.ndarray, count: np.ndarray, texts: int, m: int = _M) -> np.ndarray:
-    """BagMinHash signature of each text, ``texts`` x ``m``; rows of texts without shingles are infinite."""
-    sig = np.full(texts * m, np.inf)
+    """BagMinHash signature of each text, ``texts`` x ``m``; rows of texts without shingles are infinite.
+
+    ``owner`` is in order. Texts are worked out in groups of about ``POINTS`` points; of each process
+    as many points are drawn at once as a text of so many processes is likely to need.
+    """
+    sig = np.full((texts, m), np.inf)
     # Blocks of levels of each shingle: [0, 1), [1, 2), [2, 4), [4, 8), ...
     blocks = np.ceil(np.log2(np.maximum(count, 1))).astype(np.int64) + 1
     of = np.repeat(np.arange(len(owner)), blocks)
     block = np.arange(len(of)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     low = np.where(block == 0, 0, 1 << np.maximum(block - 1, 0))
-    rate = np.maximum(low, 1)
-    doc, level = owner[of], count[of]
     with np.errstate(over="ignore"):
         seed = _mix(shingle[of] + block.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    x = np.zeros(len(of))
-    step = np.uint64(0)
+    doc, level = owner[of], count[of]
+    have = np.bincount(doc, minlength=texts)
+    drawn = 2 ** np.ceil(np.log2(np.maximum(1, m * (math.log(m) + 1) / np.maximum(have, 1)))).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(have)])
+    for k in np.unique(drawn[have > 0]).tolist():
+        mine = np.flatnonzero((drawn == k) & (have > 0))
+        for some in np.split(mine, np.flatnonzero(np.diff(np.cumsum(have[mine] * k) // POINTS)) + 1):
+            at = np.concatenate([np.arange(first[t], first[t + 1]) for t in some.tolist()])
+            sig[some] = _drawn(np.repeat(np.arange(len(some)), have[some]), seed[at], low[at], level[at], len(some), m, k)
+    return sig
+
+
+def _drawn(doc, seed, low, level, texts: int, m: int, k: int) -> np.ndarray:
+    """Signatures of one group of texts; ``k`` points of each process at first."""
+    sig = np.full(texts * m, np.inf)
+    x, rate, step = np.zeros(len(doc)), np.maximum(low, 1), 0
     while len(doc):
         with np.errstate(over="ignore"):
-            step += np.uint64(0x9E3779B97F4A7C15)
-            z = _mix(seed + step)
-            x = x - np.log(((z >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate
+            z = _mix(seed[:, None] + np.arange(step + 1, step + k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            gap = np.log(((z >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / -rate[:, None]
             z = _mix(z ^ np.uint64(0xA5A5A5A55A5A5A5A))
-        held = low + (((z >> np.uint64(32)).astype(np.float64) * 2.0**-32) * rate).astype(np.int64) < level
-        place = doc * m + (z & np.uint64(0xFFFFFFFF)).astype(np.int64) % m
-        np.minimum.at(sig, place[held], x[held])
-        live = np.unique(doc)
-        most = np.zeros(texts)
-        most[live] = sig.reshape(texts, m)[live].max(1)
+            place = (((z & np.uint64(0xFFFFFFFF)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
+        gap[:, 0] += x
+        points = np.cumsum(gap, axis=1)
+        held = low[:, None] + ((z >> np.uint64(32)).astype(np.float64) * 2.0**-32 * rate[:, None]).astype(np.int64) < level[:, None]
+        np.minimum.at(sig, (place + (doc * m)[:, None])[held], points[held])
+        most = sig.reshape(texts, m).max(1)
+        x = points[:, -1]
         on = x < most[doc]
         doc, seed, x, rate, low, level = doc[on], seed[on], x[on], rate[on], low[on], level[on]
+        step, k = step + k, max(1, k // 4, 2048 // max(1, len(doc)))  # few that are left: more at once
     return sig.reshape(texts, m)
 
 
@@ -170,7 +201,7 @@ def bands_of(texts: list[str]) -> list[tuple[int, np.ndarray]]:
     owner, shingle, count = shingles(texts)
     sig = signatures(owner, shingle, count, len(texts))
     bits = sig.view(np.uint64)[:, _DEALT]
-    band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(texts), BANDS)).copy()
+    band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(texts), BANDS)).copy()  # one hash for all bands: each begins with its number
     with np.errstate(over="ignore"):
         for k in range(ROWS):
             band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, k])
@@ -194,8 +225,27 @@ def multisets_of(rows: DataFrame) -> DataFrame:
     return rows.select("id", "text").mapInArrow(run, "id long, packed binary")
 
 
+def occurrences_of(multisets: DataFrame) -> DataFrame:
+    """Of each row (id, packed): id, n (size), token; a token is one occurrence of a shingle, so a multiset becomes a set."""
+
+    def run(batches):
+        for batch in batches:
+            lists = []
+            for packed in batch.column(1).to_pylist():
+                shingle, count = unpack(packed)
+                ordinal = np.arange(int(count.sum())) - np.repeat(np.cumsum(count, dtype=np.int64) - count, count)
+                with np.errstate(over="ignore"):
+                    lists.append(_mix(np.repeat(shingle, count) + ordinal.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                                             names=["id", "n", "tokens"])
+
+    return multisets.select("id", "packed").mapInArrow(run, "id long, n long, tokens array<long>").select("id", "n", F.explode("tokens").alias("token"))
+
+
 def verified(pairs: DataFrame, multisets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough."""
+    """The pairs (a, b) whose multisets overlap enough. ``a`` repeats, so its multiset joins last and isn't shuffled pair by pair."""
 
     def run(batches):
         for batch in batches:
@@ -204,37 +254,54 @@ def verified(pairs: DataFrame, multisets: DataFrame) -> DataFrame:
 
     left = multisets.select(F.col("id").alias("a"), F.col("packed").alias("pa"))
     right = multisets.select(F.col("id").alias("b"), F.col("packed").alias("pb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
-def _paired(pairs: DataFrame) -> DataFrame:
-    """Distinct ordered pairs whose sizes allow the similarity."""
-    enough = F.least("n", "m") >= F.lit(SIMILARITY) * F.greatest("n", "m")
-    return pairs.where((F.col("a") != F.col("b")) & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _enough(n: str, m: str) -> Column:
+    """Whether two sizes allow the similarity."""
+    return F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m)
+
+
+def _parts(rows: DataFrame, key: str) -> DataFrame:
+    """Of each ``key`` that holds several components: key, main (its largest), p and m (a text of that and its size).
+
+    Keys are reduced by aggregation alone. A text is chosen by a hash of its id, so one text stands for many keys.
+    """
+    one = F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("p"), F.col("n").alias("m")))
+    parts = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("c"), one.alias("one"))
+    top = F.max_by(F.struct(F.col("comp").alias("main"), "one.p", "one.m"), F.struct("c", "comp"))
+    return parts.groupBy(key).agg(top.alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select(key, "top.main", "top.p", "top.m")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are similar, by the multisets of the texts they name; ``pairs`` is a cut table."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    if pairs.count() <= BROADCAST_PAIRS:
-        ids = F.broadcast(ids)
-    multisets = cut(multisets_of(texts.join(ids, "id", "left_semi")).dropDuplicates(["id"]))
-    good = cut(verified(pairs, multisets))
-    release(multisets)
-    return good
+def shared_buckets(sketches: DataFrame) -> DataFrame:
+    """Members (key, id, n, c) of buckets of several texts; c is the bucket's size."""
+    rows = sketches.select("id", "n", F.explode("bands").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    return rows.join(sizes.hint("shuffle_hash"), "key")  # the smaller half of what a task reads; no sort
 
 
-def _crossing(members: DataFrame) -> DataFrame:
-    """Members (key, id, n, comp) of buckets with several components that lie outside the largest,
-    each with a pivot of the largest: p and its size m.
+def prefix_pairs(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components, of all of ``rows`` (id, comp), that can reach the similarity, by the prefix filter.
 
-    Buckets are reduced by aggregation alone; the pivot is a different member from bucket to bucket.
+    ``tokens``: id, n, token of all of ``rows``.
     """
-    pivot = F.min(F.struct(F.xxhash64("id", "key").alias("o"), F.col("id").alias("p"), F.col("n").alias("m")))
-    parts = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), pivot.alias("pivot"))
-    main = parts.groupBy("key").agg(F.max_by(F.struct(F.col("comp").alias("main"), "pivot.p", "pivot.m"), F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    main = main.where("parts > 1").select("key", "top.main", "top.p", "top.m")
-    return members.join(main, "key").where("comp <> main").select("key", "id", "n", "comp", "p", "m")
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    common = tokens.join(counts, "token")
+    # Tokens that only one text has come first; they match nothing, so only their number counts.
+    order = Window.partitionBy("id").orderBy("df", "token")
+    place = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("id")) + F.row_number().over(order)
+    ratio = F.lit((1 + SIMILARITY) / SIMILARITY)
+    most = F.floor((F.col("n") - place + 1) * ratio + 1e-9) - F.col("n")
+    prefix = common.select("id", "n", "token", most.alias("most")).where(F.col("most") >= F.lit(SIMILARITY) * F.col("n"))
+    prefix = cut(prefix.join(rows, "id"))
+    left = prefix.join(_parts(prefix, "token").select("token", "main"), "token").where("comp <> main")
+    left = left.select("token", F.col("id").alias("a"), "n", F.col("most").alias("amost"), F.col("comp").alias("acomp"))
+    right = prefix.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("most").alias("bmost"), F.col("comp").alias("bcomp"))
+    fits = (F.col("acomp") != F.col("bcomp")) & (F.col("amost") >= F.col("m")) & (F.col("bmost") >= F.col("n"))
+    pairs = left.join(right, "token").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = cut(pairs)
+    release(prefix)
+    return pairs
 
 
 def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
@@ -242,33 +309,48 @@ def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
 
     ``sketches``: id, n, bands of distinct texts; ``texts``: id, text of at least those.
     """
-    def members(comps: DataFrame | None, bands: int) -> DataFrame:
-        """A row for each text and band: key, id, n, and the component so far."""
-        rows = sketches.withColumn("comp", F.col("id"))
-        if comps is not None:
-            rows = sketches.join(comps, F.col("id") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "id"))
-        rows = rows.select("id", "n", "comp", F.posexplode(F.slice("bands", 1, bands)).alias("band", "hash"))
-        return rows.select("id", "n", "comp", F.xxhash64("band", "hash").alias("key"))
-
-    def against_pivots(rows: DataFrame) -> DataFrame:
-        return cut(_paired(_crossing(rows).select(F.col("p").alias("a"), F.col("id").alias("b"), "n", "m")))
-
-    first = against_pivots(members(None, FIRST_BANDS))
-    edges = _verify(first, texts)
-    comps = cut(components(edges))
-    second = against_pivots(members(comps, BANDS))
-    edges = cut(edges.unionByName(_verify(second, texts)))
-    comps = cut(components(edges))
-    # What still lies apart: texts outside a bucket's largest component against all its others.
-    rows = members(comps, BANDS)
-    rest = cut(_crossing(rows).select("key", F.col("id").alias("a"), "n", F.col("comp").alias("acomp")))
-    other = rows.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("comp").alias("bcomp"))
-    enough = F.least("n", "m") >= F.lit(SIMILARITY) * F.greatest("n", "m")
-    third = cut(_paired(rest.join(other, "key").where((F.col("acomp") != F.col("bcomp")) & enough).select("a", "b", "n", "m")))
-    more = _verify(third, texts)
-    for done in (first, second, third, rest, comps):
+    shared = cut(shared_buckets(sketches))
+    met = shared.groupBy("id").agg(F.sum("c").alias("met"))
+    members = cut(shared.join(met, "id").select("key", "id", "n", "met"))
+    release(shared)
+    ids = members.select("id").distinct()
+    few = ids.count() <= BROADCAST_IDS
+    multisets = cut(multisets_of(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")).dropDuplicates(["id"]))
+
+    def against(pivots: DataFrame, rows: DataFrame) -> DataFrame:
+        """Pairs of a pivot p and the other texts of its keys, once each."""
+        pairs = rows.join(pivots, "key").where((F.col("id") != F.col("p")) & _enough("n", "m"))
+        return pairs.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
+
+    def placed(comps: DataFrame) -> DataFrame:
+        """The members with their component so far."""
+        return cut(members.join(comps, F.col("id") == F.col("node"), "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp")))
+
+    most = F.max(F.struct("met", F.xxhash64("id").alias("o"), F.col("id").alias("p"), F.col("n").alias("m")))
+    pivots = members.groupBy("key").agg(most.alias("top")).select("key", "top.p", "top.m")
+    tried = cut(against(pivots, members))
+    edges = cut(verified(tried, multisets))
+    rows = placed(components(edges))
+
+    outside = rows.join(_parts(rows, "key"), "key").where("comp <> main")
+    again = outside.where((F.col("id") != F.col("p")) & _enough("n", "m")).select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
+    again = cut(again.join(tried, ["a", "b"], "left_anti"))
+    edges = cut(edges.unionByName(verified(again, multisets)))
+    release(rows)
+    rows = placed(components(edges))
+
+    # Texts of buckets that still hold several components: by the prefix filter.
+    apart = cut(rows.join(_parts(rows, "key").select("key"), "key", "left_semi").select("id", "comp").distinct())
+    release(rows)
+    wanted = apart.select("id")
+    kept = multisets.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+    tokens = cut(occurrences_of(kept))
+    third = prefix_pairs(apart, tokens)
+    edges = edges.unionByName(cut(verified(third, multisets)))
+    found = cut(components(edges))
+    for done in (members, multisets, tried, again, apart, tokens, third):
         release(done)
-    return components(edges.unionByName(more))
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
