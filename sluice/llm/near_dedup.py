@@ -7,9 +7,8 @@ are thinned out. A component's least point is equal for two texts with exactly t
 Jaccard similarity as probability. Signatures are banded; pairs that share a band are verified by
 exact multiset overlap.
 
-Within a bucket texts are first held against pivots: in the first round against the text that
-meets most others in its buckets (mostly the original of a group of copies), in the second against
-another text of the bucket's largest component. Texts of buckets that still hold several
+Within a bucket texts are first held against one pivot, the text that meets most others in its
+buckets (mostly the original of a group of copies). Texts of buckets that still hold several
 components are then paired by an exact prefix filter: a text's shingle occurrences are ordered by
 rarity, and two texts of sizes n and m can only reach the similarity if they share one of their
 ``n - ceil(0.8 / 1.8 * (n + m)) + 1`` rarest. So texts that share no more than a common core never
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, release, table
+from .common import components, cut, fresh_name, release, table
 from .token_counts import chunks
 
 SHINGLE = 5
@@ -257,20 +256,11 @@ def verified(pairs: DataFrame, multisets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
-def _enough(n: str, m: str) -> Column:
-    """Whether two sizes allow the similarity."""
-    return F.least(n, m) >= F.lit(SIMILARITY) * F.greatest(n, m)
-
-
 def _parts(rows: DataFrame, key: str) -> DataFrame:
-    """Of each ``key`` that holds several components: key, main (its largest), p and m (a text of that and its size).
-
-    Keys are reduced by aggregation alone. A text is chosen by a hash of its id, so one text stands for many keys.
-    """
-    one = F.min(F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("p"), F.col("n").alias("m")))
-    parts = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("c"), one.alias("one"))
-    top = F.max_by(F.struct(F.col("comp").alias("main"), "one.p", "one.m"), F.struct("c", "comp"))
-    return parts.groupBy(key).agg(top.alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select(key, "top.main", "top.p", "top.m")
+    """Each ``key`` that holds several components, and main, the largest of them; by aggregation alone."""
+    parts = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("c"))
+    whole = parts.groupBy(key).agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    return whole.where("parts > 1").select(key, "main")
 
 
 def shared_buckets(sketches: DataFrame) -> DataFrame:
@@ -294,7 +284,7 @@ def prefix_pairs(rows: DataFrame, tokens: DataFrame) -> DataFrame:
     most = F.floor((F.col("n") - place + 1) * ratio + 1e-9) - F.col("n")
     prefix = common.select("id", "n", "token", most.alias("most")).where(F.col("most") >= F.lit(SIMILARITY) * F.col("n"))
     prefix = cut(prefix.join(rows, "id"))
-    left = prefix.join(_parts(prefix, "token").select("token", "main"), "token").where("comp <> main")
+    left = prefix.join(_parts(prefix, "token"), "token").where("comp <> main")
     left = left.select("token", F.col("id").alias("a"), "n", F.col("most").alias("amost"), F.col("comp").alias("acomp"))
     right = prefix.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("most").alias("bmost"), F.col("comp").alias("bcomp"))
     fits = (F.col("acomp") != F.col("bcomp")) & (F.col("amost") >= F.col("m")) & (F.col("bmost") >= F.col("n"))
@@ -317,38 +307,25 @@ def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
     few = ids.count() <= BROADCAST_IDS
     multisets = cut(multisets_of(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")).dropDuplicates(["id"]))
 
-    def against(pivots: DataFrame, rows: DataFrame) -> DataFrame:
-        """Pairs of a pivot p and the other texts of its keys, once each."""
-        pairs = rows.join(pivots, "key").where((F.col("id") != F.col("p")) & _enough("n", "m"))
-        return pairs.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
-
-    def placed(comps: DataFrame) -> DataFrame:
-        """The members with their component so far."""
-        return cut(members.join(comps, F.col("id") == F.col("node"), "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp")))
-
     most = F.max(F.struct("met", F.xxhash64("id").alias("o"), F.col("id").alias("p"), F.col("n").alias("m")))
     pivots = members.groupBy("key").agg(most.alias("top")).select("key", "top.p", "top.m")
-    tried = cut(against(pivots, members))
+    enough = F.least("n", "m") >= F.lit(SIMILARITY) * F.greatest("n", "m")
+    tried = members.join(pivots, "key").where((F.col("id") != F.col("p")) & enough)
+    tried = cut(tried.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct())
     edges = cut(verified(tried, multisets))
-    rows = placed(components(edges))
-
-    outside = rows.join(_parts(rows, "key"), "key").where("comp <> main")
-    again = outside.where((F.col("id") != F.col("p")) & _enough("n", "m")).select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
-    again = cut(again.join(tried, ["a", "b"], "left_anti"))
-    edges = cut(edges.unionByName(verified(again, multisets)))
-    release(rows)
-    rows = placed(components(edges))
+    comps = components(edges)
+    rows = cut(members.join(comps, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("comp")))
 
     # Texts of buckets that still hold several components: by the prefix filter.
-    apart = cut(rows.join(_parts(rows, "key").select("key"), "key", "left_semi").select("id", "comp").distinct())
+    apart = cut(rows.join(_parts(rows, "key"), "key", "left_semi").select("id", "comp").distinct())
     release(rows)
     wanted = apart.select("id")
     kept = multisets.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
     tokens = cut(occurrences_of(kept))
     third = prefix_pairs(apart, tokens)
-    edges = edges.unionByName(cut(verified(third, multisets)))
-    found = cut(components(edges))
-    for done in (members, multisets, tried, again, apart, tokens, third):
+    more = cut(verified(third, multisets))
+    found = cut(components(edges.unionByName(more)))
+    for done in (members, multisets, tried, edges, apart, tokens, third, more):
         release(done)
     return found
 
@@ -358,7 +335,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts are of one class if they are equal or linked by similarities of at least 0.8. Null and
     blank texts are each a class of their own, so are rows with a null doc_id (class_id null, kept).
-    Repeated rows are of one class and are all kept or all dropped. An empty table gives no rows.
+    Repeated rows are of one class and are all kept or all dropped; different texts under one doc_id
+    count as one document. An empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     usable = F.col("doc_id").isNotNull() & (F.length(F.trim(F.coalesce("text", F.lit("")))) > 0)
@@ -375,9 +353,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first of their class, with all their columns."""
-    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    """The rows of ``docs`` that are the first of their class, with all their columns; edge cases as in ``near_duplicates``."""
+    gone = fresh_name(docs, "gone")
+    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(dropped, docs["doc_id"].cast("long") == F.col(gone), "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,6 +82,40 @@ def test_group_of_near_copies_and_edge_rows(spark):
     assert near_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def edited(rnd, base, edits):
+    words = base.copy()
+    for i in rnd.sample(range(len(base)), edits):
+        words[i] = f"new{rnd.random()}"
+    return " ".join(words)
+
+
+def prefix_pairs_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    comps = spark.createDataFrame([(k, k) for k in range(len(texts))], "id long, comp long")
+    found = near_dedup.prefix_pairs(comps, near_dedup.occurrences_of(near_dedup.multisets_of(rows)))
+    return {(r["a"], r["b"]) for r in found.collect()}
+
+
+def test_prefix_filter_loses_no_pair_and_skips_a_common_core(spark):
+    rnd = random.Random(5)
+    bases = [[f"w{rnd.randrange(40)}" for _ in range(rnd.choice([6, 30, 60, 61]))] for _ in range(4)]
+    texts = [edited(rnd, b, k) for b in bases for k in (0, 0, 1, 1, 1, 2, 3)] + ["a b c d e " * 10, "a b c d e " * 11, "one two"]
+    sets = [multiset(t) for t in texts]
+    similar_pairs = {(a, b) for b in range(len(texts)) for a in range(b) if similar(sets[a], sets[b]) >= 0.8}
+    assert len(similar_pairs) > 20 and similar_pairs <= prefix_pairs_of(spark, texts)
+    # A group just below the similarity, doubled: what is paired doesn't grow with the square.
+    base = [f"w{k}" for k in range(60)]
+    once, twice = (len(prefix_pairs_of(spark, [edited(rnd, base, 2) for _ in range(n)])) for n in (200, 400))
+    assert once < 200 and twice < 400
+
+
+def test_near_duplicates_with_clashing_columns(spark):
+    text = "one text of at least five words"
+    df = spark.createDataFrame([(1, text, 5, "x"), (2, text, 6, "y"), (3, "quite another text of some words", None, "z")], "doc_id long, text string, gone int, _dropped string")
+    kept = near_dedup.keep_one(df)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {1, 3}
+
+
 def test_signatures_estimate_weighted_similarity():
     rnd = random.Random(1)
     base = [f"w{rnd.randrange(60)}" for _ in range(300)]
