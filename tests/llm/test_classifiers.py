@@ -1,6 +1,8 @@
 """Toxicity, quality, licence and page operators."""
 
 import html
+import random
+import time
 import re
 import zlib
 
@@ -147,3 +149,62 @@ def test_long_page_and_minimum_cut():
     edges = [(0, 1, 1.0), (1, 2, 1.0)]
     assert html_extract.minimum_cut([3, -1, 3], edges) == [True, True, True]
     assert html_extract.minimum_cut([3, -5, 3], edges) == [True, False, True]
+
+
+LONG = "A sentence of the article that is long enough to be told from menus, adverts and notices. " * 3
+
+
+@pytest.mark.parametrize("page, kept", [
+    (f'<body><div class="layout no-sidebar"><article><p>{LONG}</p></article></div></body>', [LONG]),
+    (f'<form id="aspnetForm"><article><p>{LONG}</p></article></form>', [LONG]),
+    (f'<div class="sidebar-layout"><article><p>{LONG}</p></article><div class="sidebar"><a href=x>more</a></div></div>', [LONG]),
+    (f'<article><p>{LONG}</p><p class="related-work">Related work is this.</p><h2 id="search">Search</h2><p>{LONG}</p></article>', [LONG, "Related work is this.", "Search", LONG]),
+    (f'<article><p>{LONG}</p><section id="discussion"><h2>Discussion</h2><p>{LONG}</p></section></article>', [LONG, "Discussion", LONG]),
+    (f'<article><p>{LONG}</p><p>Let <math><mi>x</mi> = <mn>1</mn></math> be.</p><svg><text>icon</text></svg></article>', [LONG, "Let x = 1 be."]),
+    (f'<article><p>{LONG}</p><object>unclosed <p>{LONG}</p></article>', [LONG, "unclosed", LONG]),
+    (f'<article><p>{LONG}</p><div class="comments"><p>{LONG}</p></div></article><div id="comments"><article class="comment"><p>{LONG}</p></article></div>', [LONG]),
+    (f'<body><div id="menu"><a href=x>One</a><a href=y>Two</a></div><div class="text-wrap sidebar"><p>{LONG}</p><p>{LONG}</p></div><div class="footer">(c)</div></body>', [LONG, LONG]),
+    (f'<aside><article><p>{LONG}</p></article></aside><main><p>{LONG}</p></main>', [LONG]),
+])
+def test_articles_are_not_lost(page, kept):
+    assert html_extract.main_text(page) == "\n".join(" ".join(x.split()) for x in kept)
+
+
+def test_minimum_cut_equals_exhaustive_search():
+    rnd = random.Random(7)
+    for _ in range(40):
+        n = 12
+        lean = [rnd.uniform(-3, 3) for _ in range(n)]
+        edges = [(*rnd.sample(range(n), 2), rnd.uniform(0, 2)) for _ in range(20)]
+
+        def cost(side):
+            return sum(-x if (x < 0) == s and s else x if x > 0 and not s else 0 for x, s in zip(lean, side)) + sum(c for a, b, c in edges if side[a] != side[b])
+
+        best = min(cost([bool(k >> i & 1) for i in range(n)]) for k in range(1 << n))
+        assert abs(cost(html_extract.minimum_cut(lean, edges)) - best) < 1e-6
+
+
+def test_long_and_deep_pages_take_linear_time():
+    began = time.perf_counter()
+    pairs = "".join(f"<p>{LONG}</p><p><a href=x>link {k}</a></p>" for k in range(10_000))
+    assert html_extract.main_text(f"<body>{pairs}</body>").count("\n") >= 9_999
+    assert html_extract.main_text("<div>" * 20_000 + LONG) == " ".join(LONG.split())
+    assert time.perf_counter() - began < 20
+
+
+def test_pages_without_rows_ids_or_distinct_names(spark):
+    html_ = f"<article><p>{LONG}</p></article>"
+    rows = [(1, "u", html_, "x", 7), (1, "u", html_, "x", 7), (None, None, html_, "y", 8), (2, "v", None, None, None), (3, "w", "", "z", 9), (4, "t", "no markup at all, but a sentence of some length.", "z", 9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    found = sorted((r["page_id"] or 0, r["url"], r["text"], r["n_chars"]) for r in html_extract.extract_text(df).collect())
+    text = " ".join(LONG.split())
+    assert found == sorted([(0, None, text, len(text)), (1, "u", text, len(text)), (1, "u", text, len(text)), (2, "v", "", 0), (3, "w", "", 0), (4, "t", rows[-1][2], len(rows[-1][2]))])
+    assert html_extract.extract_text(df.limit(0)).count() == 0
+
+
+def test_block_classifier_learns_from_the_sample():
+    rnd = random.Random(2)
+    rows = [([1.0, rnd.uniform(-1, 0), 1.0, 0.0, 0.0], 0) for _ in range(50)] + [([1.0, rnd.uniform(0, 2), 0.0, 1.0, 0.0], 1) for _ in range(50)]
+    w = html_extract.fit(rows)
+    assert html_extract.fit([]) == html_extract.PRIOR
+    assert all((sum(a * b for a, b in zip(w, x)) > 0) == (y == 1) for x, y in rows)
