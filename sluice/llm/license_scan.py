@@ -1,9 +1,10 @@
 """Licence scans with a positional index of licence templates and rare-token look-ups.
 
-Document frequencies of the licence words are counted over all documents; each template is filed
-under its key phrase's word of highest IDF. A file's own licence words are looked up there, the
-postings give the places where a template would start, its words are held against the file's
-words by relative position, and the mandatory key phrase must stand there in full.
+Document frequencies of the licence words are counted over all documents. Each template's words
+are posted with their places, the key phrase's word of highest IDF first. A file's own licence
+words of highest IDF are looked up; the postings of a template's key words are intersected by
+relative position, rarest first, which leaves the places where the mandatory key phrase stands in
+full; there the other words are held against the file by relative position.
 """
 
 from __future__ import annotations
@@ -54,6 +55,15 @@ TEMPLATES = [
     _template("agpl", "gnu affero general public license", "affero general public license"),
     _template("mpl-2.0", "mozilla public license version 2 0", "mozilla public license"),
     _template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
+    _template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+              "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+              "and or sell copies of the software and to permit persons to whom the software is furnished to do so", "sublicense and or sell copies of the software"),
+    _template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above "
+              "copyright notice and this permission notice appear in all copies", "for any purpose with or without fee is hereby granted"),
+    _template("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+              "without specific prior written permission", "endorse or promote products derived from this software"),
+    _template("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain "
+              "a copy of the license at", "you may not use this file except in compliance with the license"),
     _template("proprietary", "all rights reserved unauthorized copying is strictly prohibited", "unauthorized copying"),
 ]
 
@@ -99,49 +109,58 @@ class Scanner:
     """Finds the templates' places in texts."""
 
     def __init__(self, idf: dict[str, float], templates=TEMPLATES):
-        self.idf, self.templates = idf, templates
-        self.postings: dict[bytes, list[tuple[Template, int]]] = {}
+        self.idf = {w.encode(): x for w, x in idf.items()}
+        self.words = {t: [(w.encode(), k) for k, w in enumerate(t.words)] for t in templates}
+        self.keys = {t: sorted(self.words[t][t.key_at : t.key_at + len(t.key)], key=lambda p: -self.idf[p[0]]) for t in templates}
+        self.under: dict[bytes, list[Template]] = {}  # a file without a template's rarest key word can't hold it
         for t in templates:
-            rare = max(range(len(t.key)), key=lambda k: (idf[t.key[k]], -k))
-            self.postings.setdefault(t.key[rare].encode(), []).append((t, t.key_at + rare))
-        self.finder = _finder([w.decode() for w in self.postings])
-        self.rarest_first = sorted(self.postings, key=lambda w: -idf[w.decode()])
+            self.under.setdefault(self.keys[t][0][0], []).append(t)
+        self.rare = _finder([w.decode() for w in self.under])
+        self.finders: dict[frozenset, re.Pattern] = {}
+
+    def places(self, raw: bytes, starts: np.ndarray, rare: frozenset) -> dict[bytes, np.ndarray]:
+        """Word numbers of each word of the templates that are posted under the words ``rare``."""
+        if rare not in self.finders:
+            self.finders[rare] = _finder({w.decode() for r in rare for t in self.under[r] for w, _ in self.words[t]})
+        offsets: dict[bytes, list[int]] = {}
+        for m in self.finders[rare].finditer(raw):
+            offsets.setdefault(m.group(), []).append(m.start())
+        return {w: np.searchsorted(starts, o) for w, o in offsets.items()}
+
+    def begins(self, template: Template, places: dict[bytes, np.ndarray]) -> np.ndarray:
+        """Where the template would begin so that its whole key phrase stands in its place."""
+        found = None
+        for word, at in self.keys[template]:
+            if word not in places:
+                return np.zeros(0, np.int64)
+            found = places[word] - at if found is None else np.intersect1d(found, places[word] - at, assume_unique=True)
+            if not len(found):
+                break
+        return found
 
     def scan(self, text: str | None):
-        """n_words, starts of the base phrases by label, share of the best place by label."""
+        """n_words, starts of the base phrases, their labels, share of the best place by label."""
         raw = (text or "").encode("utf-8", "surrogatepass").lower()
         if not raw:
             return 0, [], set(), {}
         starts = word_starts(np.frombuffer(raw, np.uint8))
-        hits: dict[bytes, list[int]] = {}
-        for m in self.finder.finditer(raw):
-            hits.setdefault(m.group(), []).append(m.start())
-        places, base, shares, words = [], set(), {}, len(starts)
-
-        def word(k: int) -> str:
-            return finder.match(raw, int(starts[k])).group().decode("utf-8", "surrogatepass") if 0 <= k < words else ""
-
-        finder = _ANY_WORD
-        for rare in self.rarest_first if hits else ():
-            for offset in hits.get(rare, ()):
-                at = int(np.searchsorted(starts, offset))
-                for template, back in self.postings[rare]:
-                    begin = at - back
-                    key_at = begin + template.key_at
-                    if any(word(key_at + k) != w for k, w in enumerate(template.key)):
-                        continue
-                    idf = [self.idf[w] for w in template.words]
-                    share = sum(x for k, x in enumerate(idf) if word(begin + k) == template.words[k]) / sum(idf)
-                    if share < LEAST_SHARE:
-                        continue
-                    shares[template.label] = max(share, shares.get(template.label, 0.0))
+        mine = frozenset(self.rare.findall(raw))
+        bases, base, shares = [], set(), {}
+        places = self.places(raw, starts, mine) if mine else {}
+        for rare in sorted(mine, key=lambda w: (-self.idf[w], w)):
+            for template in self.under[rare]:
+                begins = self.begins(template, places)
+                if not len(begins):
+                    continue
+                total = sum(self.idf[w] for w, _ in self.words[template])
+                share = sum(self.idf[w] * np.isin(begins + k, places.get(w, ())) for w, k in self.words[template]) / total
+                good = share >= LEAST_SHARE
+                if good.any():
+                    shares[template.label] = max(float(share.max()), shares.get(template.label, 0.0))
                     if template.base:
-                        places.append(begin)
+                        bases += begins[good].tolist()
                         base.add(template.label)
-        return words, places, base, shares
-
-
-_ANY_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+        return len(starts), bases, base, shares
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -150,7 +169,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     doc_id, n_words, n_base (all places of base phrases), first_word and last_word (smallest and
     largest start, else null), base_labels, labels (base ones and the templates'; distinct, sorted,
     comma-joined, empty if none), score (share of the best-matched template, 0 if none).
-    Null text counts as empty; other columns are ignored; repeated rows give repeated results.
+    Null text counts as empty; null ids stay null; other columns are ignored; repeated rows give
+    repeated results; an empty table gives no rows.
     """
     df, n = document_frequencies(docs, templates)
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1e-6 for t in templates for w in t.words}

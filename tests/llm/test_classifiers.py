@@ -1,6 +1,7 @@
 """Toxicity, quality, licence and page operators."""
 
 import html
+import math
 import random
 import time
 import re
@@ -208,3 +209,40 @@ def test_block_classifier_learns_from_the_sample():
     w = html_extract.fit(rows)
     assert html_extract.fit([]) == html_extract.PRIOR
     assert all((sum(a * b for a, b in zip(w, x)) > 0) == (y == 1) for x, y in rows)
+
+
+def naive_scan(text, idf):
+    """Labels and score of a text, by trying every template at every place."""
+    words, shares = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")), {}
+    for t in license_scan.TEMPLATES:
+        for begin in range(-len(t.words), len(words)):
+            at = lambda k: words[begin + k] if 0 <= begin + k < len(words) else None
+            if all(at(t.key_at + k) == w for k, w in enumerate(t.key)):
+                share = sum(idf[w] for k, w in enumerate(t.words) if at(k) == w) / sum(idf[w] for w in t.words)
+                if share >= license_scan.LEAST_SHARE:
+                    shares[t.label] = max(share, shares.get(t.label, 0))
+    return ",".join(sorted(shares)), max(shares.values(), default=0.0)
+
+
+def test_licence_labels_and_scores_equal_brute_force(spark):
+    rnd = random.Random(11)
+    texts = [None, "", "x " * 30_000 + "all rights reserved"]
+    for _ in range(120):
+        words = []
+        for _ in range(rnd.randrange(1, 5)):
+            t = rnd.choice(license_scan.TEMPLATES)
+            some = list(t.words[rnd.randrange(3) :])
+            for _ in range(rnd.randrange(3)):
+                some[rnd.randrange(len(some))] = rnd.choice(["the", "license", "other"])
+            words += some + ["and"] * rnd.randrange(3)
+        texts.append(rnd.choice([" ", ", ", "\n"]).join(words).title())
+    df = spark.createDataFrame([(k, t, "clash", 1.0) for k, t in enumerate(texts)] * 2, "doc_id long, text string, labels string, score double")
+    count, n = license_scan.document_frequencies(df)
+    seen = [set(WORD.findall((t or "").lower())) for t in texts * 2]
+    assert n == len(texts) * 2 and all(count.get(w, 0) == sum(w in s for s in seen) for t in license_scan.TEMPLATES for w in t.words)
+    idf = {w: math.log((n + 1) / (count.get(w, 0) + 1)) + 1e-6 for t in license_scan.TEMPLATES for w in t.words}
+    found = license_scan.scan_licenses(df).collect()
+    assert len(found) == 2 * len(texts)
+    for r in found:
+        labels, score = naive_scan(texts[r["doc_id"]], idf)
+        assert r["labels"] == labels and abs(r["score"] - score) < 1e-9
