@@ -7,6 +7,7 @@ import time
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +247,71 @@ def test_licence_labels_and_scores_equal_brute_force(spark):
     for r in found:
         labels, score = naive_scan(texts[r["doc_id"]], idf)
         assert r["labels"] == labels and abs(r["score"] - score) < 1e-9
+
+
+def test_toxicity_scores_equal_a_naive_forward_pass():
+    rnd = random.Random(4)
+    model = toxicity.Cnn.fresh(5)
+    model.bias = np.random.default_rng(1).normal(0, 0.2, len(model.bias)).astype(np.float32)
+    model.thresholds = {"*": 0.1, "en": -0.2}
+    texts = [" ".join(f"w{rnd.randrange(200)}" for _ in range(n)) for n in (1, 2, 3, 40, 3000)] + ["the and of is to in that it", "", "x" * 5000]
+    scores = toxicity.Scorer(model).scores([*texts, None, texts[3]])
+    for text, score in zip(texts, scores):
+        words = toxicity._WORDS(text.lower())
+        seen = np.zeros((len(words) + toxicity.PAD + 1, toxicity.DIMS))
+        for k, w in enumerate(words):
+            seen[k] = model.rows[np.array(toxicity.features(w))].astype(float).mean(0)
+        pooled = []
+        for i, width in enumerate(toxicity.WIDTHS):
+            slots = [s for s, (w, _) in enumerate(toxicity._SLOTS) if w == width]
+            for f in range(toxicity.FILTERS):
+                at = [model.bias[i * toxicity.FILTERS + f] + sum(seen[k + o] @ model.filters[:, s * toxicity.FILTERS + f] for o, s in enumerate(slots)) for k in range(len(words) + 1)] if len(words) < 50 else None
+                pooled.append(max(at) if at else None)
+        if None in pooled:
+            continue
+        spoken = np.array([toxicity.speaks(w) for w in words] or [[0] * len(toxicity.LANGUAGES)]).sum(0)
+        code = toxicity.LANGUAGES[int(spoken.argmax())] if spoken.any() else "*"
+        logit = sum(max(p, 0) * o for p, o in zip(pooled, model.out)) + model.shift - model.thresholds.get(code, model.thresholds["*"])
+        assert abs(score - 1 / (1 + math.exp(-logit))) < 1e-4
+    assert scores[-2] == scores[6] and scores[-1] == scores[3]  # null is empty; the same text has the same score anywhere
+
+
+def test_toxicity_keeps_repeated_rows_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a text", 0.5, 9), (1, "a text", 0.5, 9), (None, None, None, None)], "doc_id long, text string, score double, predicted int")
+    model = toxicity.fit([])
+    assert toxicity.score_toxicity(df, model).count() == 3
+    assert toxicity.drop_toxic(df, model).columns == df.columns
+
+
+def test_quality_posteriors_equal_a_naive_aggregation(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels)
+    rows = [(r["doc_id"], r["source"] or "", r["lang"] or "", r["odds"]) for r in docs.select("doc_id", "source", "lang", quality.evidence(docs, model).alias("odds")).collect()]
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+
+    def strength(groups):  # (n, s, parent's mean)
+        total = sum(n for n, _, _ in groups)
+        within = sum(n * m * (1 - m) for n, _, m in groups) / total
+        between = sum(n * (s / n - m) ** 2 for n, s, m in groups) / total - within * len(groups) / total
+        return min(max(within / max(between, 1e-9) - 1, 2.0), 1e6)
+
+    hosts, paths = {}, {}
+    for _, source, lang, odds in rows:
+        host, path = source.split("/")[0], f"{source}/{lang}"
+        for where, key in ((hosts, host), (paths, (host, path))):
+            n, s = where.get(key, (0, 0.0))
+            where[key] = (n + 1, s + sigmoid(odds))
+    overall = (sum(s for _, s in hosts.values()) + 1) / (len(rows) + 2)
+    alpha = strength([(n, s, overall) for n, s in hosts.values()])
+    host_mean = {h: (s + alpha * overall) / (n + alpha) for h, (n, s) in hosts.items()}
+    beta = strength([(n, s, host_mean[h]) for (h, _), (n, s) in paths.items()])
+    path_mean = {p: (s + beta * host_mean[h]) / (n + beta) for (h, p), (n, s) in paths.items()}
+    want = {d: sigmoid(odds + logit(path_mean[f"{source}/{lang}"]) - logit(overall)) for d, source, lang, odds in rows}
+    found = {r["doc_id"]: r["quality"] for r in quality.score_quality(docs, model).collect()}
+    assert found.keys() == want.keys() and all(abs(found[d] - want[d]) < 1e-6 for d in want)
+    # On labels the classifier hasn't seen.
+    held = [(found[r["doc_id"]] >= 0.5) == (r["quality"] == 1) for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 and r["doc_id"] in found]
+    assert len(held) > 10 and sum(held) >= 0.93 * len(held)
