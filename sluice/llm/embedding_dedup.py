@@ -2,9 +2,10 @@
 
 Equal vectors are collapsed first. Distinct vectors are dealt to shards by hash and each shard
 builds its own layered graph. Every vector is then searched in every shard, in blocks; where hits
-fill a query's beam the beam is widened for that query. Candidates are verified by the cosine in
-double precision. A sample of queries is checked against brute force over all vectors, and all
-beams are widened until that recall audit passes.
+fill a query's beam the beam is widened for that query, and where a dense neighbourhood fills that
+too, the query is held against the whole shard by blocked matrix products. Candidates are verified
+by the cosine in double precision. A sample of queries that have links is checked against brute
+force over all vectors, and all beams are widened until that recall audit passes.
 
 A query gives one count a shard and one link to each of the shard's own components that it hits,
 never all its pairs. Each node of a shard gives one link to its component's root besides, so the
@@ -14,20 +15,24 @@ links have the same connected components as all pairs together.
 from __future__ import annotations
 
 import pickle
+import warnings
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, table
+from .common import components, cut, release, table
 
 COSINE = 0.9
 SHARDS, SHARD_ROWS = 12, 20_000  # shards at least, and distinct vectors of a shard about at most
 BLOCK = 1024  # queries searched at once
 GROUP = 8192  # queries that one copy of a shard's graph is sent to
 DEGREE, MOST_DEGREE, BUILD_BEAM, BEAM = 12, 32, 32, 32
-AUDIT, RECALL, WIDENINGS = 300, 0.97, 4
+MOST_BEAM = 4  # times the beam up to which it is widened for one query
+DENSE = 128  # queries held against a whole shard at once
+DRAWN, AUDIT, RECALL, WIDENINGS = 2_000, 300, 0.97, 4  # queries tried by brute force; those with links are audited, up to AUDIT
+LEAST_LINKS = 100  # true links below which the audit says little and a warning is given
 
 
 def search(vectors, links, entry, queries, beam: int):
@@ -128,9 +133,21 @@ class Graph:
         self.layers = [build_layer(self.unit[m]) for m in self.members]
         # Components of the shard's own links: hits of one component are one link.
         self.part = np.arange(len(ids))
-        for a, b in zip(*(x.tolist() for x in self.hits(vectors, BEAM)[:2])):
-            self.part[self.root(a)] = self.root(b)
-        self.part = np.array([self.root(k) for k in range(len(ids))])
+        for lo in range(0, len(ids), BLOCK):
+            rows, nodes, _, dense = self.block_hits(vectors[lo : lo + BLOCK], BEAM)
+            apart = self.part[rows + lo] != self.part[nodes]
+            for a, b in zip((rows + lo)[apart].tolist(), nodes[apart]):
+                self.merge(a, b)
+            for some, mask in self.held_against(vectors[lo : lo + BLOCK], dense):
+                for a, hit in zip((some + lo).tolist(), mask):
+                    self.merge(a, np.flatnonzero(hit))
+
+    def merge(self, a: int, others) -> None:
+        """Join the components of a node and others."""
+        parts = self.part[others]
+        if (parts != self.part[a]).any():
+            parts = np.union1d(parts, self.part[a])
+            self.part[np.isin(self.part, parts)] = parts[0]
 
     def __getstate__(self):
         """What is sent out: single precision where that is exact, and nothing that can be worked out again."""
@@ -144,37 +161,61 @@ class Graph:
         self.norm = np.sqrt(np.einsum("nd,nd->n", self.raw, self.raw))
         self.unit = (self.raw / self.norm[:, None]).astype(np.float32)
 
-    def root(self, k: int) -> int:
-        while self.part[k] != k:
-            self.part[k] = self.part[self.part[k]]
-            k = self.part[k]
-        return k
-
-    def hits(self, queries, beam: int):
-        """Pairs (query, node, cosine) of at least ``COSINE``, block by block."""
-        found = [(q + lo, x, c) for lo in range(0, len(queries), BLOCK) for q, x, c in [self.block_hits(queries[lo : lo + BLOCK], beam)]]
-        return tuple(np.concatenate(c) for c in zip(*found))
-
     def block_hits(self, queries, beam: int):
-        """The same of one block; full beams are widened."""
+        """Pairs (query, node, cosine) of at least ``COSINE``, and the queries whose hits fill even the widest beam."""
         norm = np.sqrt(np.einsum("nd,nd->n", queries, queries))
         unit = (queries / norm[:, None]).astype(np.float32)
         entry = np.zeros(len(queries), np.int64)
         for k in range(len(self.layers) - 1, 0, -1):
             found = search(self.unit[self.members[k]], self.layers[k], entry, unit, 4)[0][:, 0]
             entry = np.searchsorted(self.members[k - 1], self.members[k][found])
-        open_, out = np.arange(len(queries)), []
-        while len(open_):
+        open_, out, most = np.arange(len(queries)), [], MOST_BEAM * beam
+        while len(open_) and beam <= most:
             ids, near = search(self.unit, self.layers[0], entry[open_], unit[open_], beam)
             full = near[:, -1] >= COSINE - 1e-3
-            full &= beam < len(self.ids)
             row, col = np.nonzero((near >= COSINE - 1e-3) & (ids >= 0) & ~full[:, None])
             q, x = open_[row], ids[row, col]
             cosine = np.einsum("nd,nd->n", queries[q], self.raw[x]) / (norm[q] * self.norm[x])
             good = cosine >= COSINE
             out.append((q[good], x[good], cosine[good]))
-            open_, beam = open_[full], min(2 * beam, len(self.ids))
-        return tuple(np.concatenate(c) for c in zip(*out))
+            open_, beam = open_[full], 2 * beam
+        return (*(np.concatenate(c) for c in zip(*out)), open_)
+
+    def hits(self, queries, beam: int):
+        """All pairs (query, node, cosine) of few queries."""
+        q, x, cosine, dense = self.block_hits(queries, beam)
+        more = [(some[row], col) for some, mask in self.held_against(queries, dense) for row, col in [np.nonzero(mask)]]
+        q, x = (np.concatenate([head, *(m[k] for m in more)]) for k, head in enumerate((q, x)))
+        return q, x, np.einsum("nd,nd->n", queries[q], self.raw[x]) / (np.linalg.norm(queries[q], axis=1) * self.norm[x])
+
+    def held_against(self, queries, which):
+        """Runs of the queries ``which`` with a mask of the nodes of the whole shard that they link with."""
+        for lo in range(0, len(which), DENSE):
+            some = which[lo : lo + DENSE]
+            asked = queries[some]
+            cosine = (asked @ self.raw.T) / np.outer(np.sqrt(np.einsum("nd,nd->n", asked, asked)), self.norm)
+            yield some, cosine >= COSINE
+
+    def answers(self, ids, queries, beam: int):
+        """Of a block of queries: linked vectors of each (itself left out), and (query, node) once for each of the shard's components it hits."""
+        linked, ends = np.zeros(len(ids), np.int64), []
+        q, x, _, dense = self.block_hits(queries, beam)
+        other = self.ids[x] != ids[q]
+        q, x = q[other], x[other]
+        np.add.at(linked, q, self.counts[x])
+        order = np.lexsort((x, self.part[x], q))
+        q, x = q[order], x[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(q) != 0) | (np.diff(self.part[x]) != 0)])) if len(q) else np.zeros(0, np.int64)
+        ends.append((q[new], x[new]))
+        by_part = np.argsort(self.part, kind="stable")
+        cuts = np.flatnonzero(np.diff(self.part[by_part], prepend=-1))
+        for some, mask in self.held_against(queries, dense):
+            mask &= self.ids[None] != ids[some][:, None]
+            linked[some] = mask @ self.counts
+            first = np.minimum.reduceat(np.where(mask[:, by_part], by_part[None], len(self.ids)), cuts, axis=1)
+            row, col = np.nonzero(first < len(self.ids))
+            ends.append((some[row], first[row, col]))
+        return linked, np.concatenate([e[0] for e in ends]), np.concatenate([e[1] for e in ends])
 
 
 def _array(column) -> np.ndarray:
@@ -197,18 +238,23 @@ def _query(beam: int):
         tree = none if key[2] else pd.DataFrame({"id": graph.ids, "linked": 0, "other": graph.ids[graph.part]}).query("id != other")
         if queries.empty:
             return tree
-        ids = queries["id"].to_numpy()
-        q, x, _ = graph.hits(_array(queries["vector"]), beam)
-        other = graph.ids[x] != ids[q]
-        q, x = q[other], x[other]
-        linked = np.zeros(len(ids), np.int64)
-        np.add.at(linked, q, graph.counts[x])
-        reps = pd.DataFrame({"id": ids[q], "other": graph.ids[x], "part": graph.part[x]}).groupby(["id", "part"], as_index=False)["other"].min()
-        return pd.concat([pd.DataFrame({"id": ids, "linked": linked, "other": ids}), pd.DataFrame({"id": reps["id"], "linked": 0, "other": reps["other"]}), tree])
+        ids, vectors, out = queries["id"].to_numpy(), _array(queries["vector"]), [tree]
+        for lo in range(0, len(ids), BLOCK):
+            mine = ids[lo : lo + BLOCK]
+            linked, q, x = graph.answers(mine, vectors[lo : lo + BLOCK], beam)
+            some = linked > 0
+            out += [pd.DataFrame({"id": mine[some], "linked": linked[some], "other": mine[some]}), pd.DataFrame({"id": mine[q], "linked": 0, "other": graph.ids[x]})]
+        return pd.concat([none, *(x for x in out if x is not None)])
 
     return run
 
 
+def passes(seen: dict[int, int], truth: dict[int, int]) -> bool:
+    """Whether audited queries found enough of their links: all links together, and a query's own on average."""
+    found = {k: min(seen.get(k, 0), n) for k, n in truth.items()}
+    return not truth or (sum(found.values()) >= RECALL * sum(truth.values()) and sum(found[k] / n for k, n in truth.items()) >= RECALL * len(truth))
+
+
 def link_distinct(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of distinct vectors (id, count, vector): (id, linked) and the links (a, b) that join components."""
     dims = {r["dim"]: r["n"] for r in distinct.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -222,32 +268,40 @@ def link_distinct(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
     tasks = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     queries = placed.select("id", "vector", "dim", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
                             F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    sample = (placed.orderBy(F.xxhash64("id", F.lit(2))).limit(AUDIT).select("id", "vector", "dim").collect())  # AUDIT rows at most
+    sample = (placed.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(DRAWN).select("id", "vector", "dim").collect())  # DRAWN rows at most
 
     def brute(batches):
         groups = {d: (np.array([r["id"] for r in sample if r["dim"] == d]), np.array([r["vector"] for r in sample if r["dim"] == d], np.float64)) for d in {r["dim"] for r in sample}}
         for rows in batches:
-            for d, some in rows.groupby(rows["vector"].str.len()):
+            for d, whole in rows.groupby(rows["vector"].str.len()):
                 if d not in groups:
                     continue
                 ids, asked = groups[d]
-                v = _array(some["vector"])
-                cosine = (asked @ v.T) / np.outer(np.linalg.norm(asked, axis=1), np.linalg.norm(v, axis=1))
-                hit = (cosine >= COSINE) & (ids[:, None] != some["id"].to_numpy()[None])
-                yield pd.DataFrame({"id": ids, "linked": (hit * some["count"].to_numpy()[None]).sum(1)})
+                lengths, hits = np.linalg.norm(asked, axis=1), np.zeros(len(ids), np.int64)
+                for lo in range(0, len(whole), BLOCK):
+                    some = whole.iloc[lo : lo + BLOCK]
+                    v = _array(some["vector"])
+                    cosine = (asked @ v.T) / np.outer(lengths, np.linalg.norm(v, axis=1))
+                    hit = (cosine >= COSINE) & (ids[:, None] != some["id"].to_numpy()[None])
+                    hits += hit @ some["count"].to_numpy()
+                yield pd.DataFrame({"id": ids[hits > 0], "linked": hits[hits > 0]})
 
     truth = distinct.select("id", "count", "vector").mapInPandas(brute, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("truth"))
-    truth = {r["id"]: r["truth"] for r in truth.collect()}  # one row per audited query
+    truth = {r["id"]: r["truth"] for r in truth.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(AUDIT).collect()}  # queries that have links
+    if sum(truth.values()) < LEAST_LINKS:
+        warnings.warn(f"recall is audited on {sum(truth.values())} links only: {len(sample)} vectors have no more", stacklevel=2)
     beam = BEAM
     for _ in range(WIDENINGS):
         found = cut(tasks.groupBy("dim", "shard", "block").cogroup(queries.groupBy("dim", "shard", "block"))
                     .applyInPandas(_query(beam), "id long, linked long, other long"))
         seen = {r["id"]: r["linked"] for r in found.where(F.col("id").isin(list(truth))).groupBy("id").agg(F.sum("linked").alias("linked")).collect()}
-        if sum(min(seen.get(k, 0), n) for k, n in truth.items()) >= RECALL * sum(truth.values()):
+        if passes(seen, truth):
             break
+        release(found)
         beam *= 4
     else:
         raise RuntimeError(f"recall stays below {RECALL} with beams of {beam // 4}")
+    release(graphs)
     return found.groupBy("id").agg(F.sum("linked").alias("linked")), found.where("id <> other").select(F.col("id").alias("a"), F.col("other").alias("b"))
 
 

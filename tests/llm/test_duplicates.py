@@ -174,6 +174,29 @@ def test_beams_widen_over_dense_groups():
     assert len(q) >= 0.97 * (unit @ unit.T >= 0.9).sum()
 
 
+def test_dense_groups_are_counted_in_bounded_memory():
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=24)
+    vectors = np.concatenate([centre + rng.normal(size=(2000, 24)) * 0.06, -centre + rng.normal(size=(300, 24)) * 0.3, rng.normal(size=(200, 24))])
+    counts = rng.integers(1, 4, len(vectors))
+    graph = embedding_dedup.Graph(np.arange(len(vectors)), counts, vectors)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    link = unit @ unit.T >= 0.9
+    np.fill_diagonal(link, False)
+    linked, q, x = graph.answers(np.arange(1000, 2500), vectors[1000:], 32)
+    want = link[1000:] @ counts
+    assert np.minimum(linked, want).sum() >= 0.97 * want.sum() and (linked <= want).all()
+    assert (linked[:1000] == want[:1000]).all()  # the dense group, exactly
+    assert len(q) < 3 * 1500 and link[q + 1000, x].all()
+    assert len(set(graph.part[:2000].tolist())) == 1
+
+
+def test_audit_counts_queries_of_few_links_too():
+    truth = {0: 10_000, **{k: 1 for k in range(1, 100)}}
+    assert embedding_dedup.passes(truth, truth) and embedding_dedup.passes({}, {})
+    assert not embedding_dedup.passes({0: 10_000}, truth)
+
+
 BENCH = [(1, "A train covers 120 km in 3 hours near Lyon and then stops; how far does the train run in 7 hours at that speed?"), (2, "short one here"), (3, None)]
 
 
