@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,14 +35,21 @@ def _signed(value: Column, bits: int) -> Column:
     return F.when(number >= 1 << (bits - 1), number - (1 << bits)).otherwise(number)
 
 
-def _ieee(kind: str, returns: T.DataType) -> Callable[[Column], Column]:
-    @F.pandas_udf(returns)
-    def read(values: pd.Series) -> pd.Series:
-        there = values.notna()
-        numbers = np.frombuffer(b"".join(values[there]), kind).astype("f8")
-        return pd.Series(numbers, index=values.index[there]).reindex(values.index)
-
-    return read
+def _ieee(value: Column, exponent_bits: int, mantissa_bits: int) -> Column:
+    """A big-endian IEEE-754 number as a double; every step is exact."""
+    digits = F.hex(value)
+    half = F.conv(F.substring(digits, 1, 8), 16, 10).cast("bigint")  # the first 32 bits
+    rest = mantissa_bits - (31 - exponent_bits)  # mantissa bits that follow them
+    low = F.conv(F.substring(digits, 9, 8), 16, 10).cast("bigint") if rest else F.lit(0).cast("bigint")
+    top = (half % (1 << (31 - exponent_bits))).cast("bigint")
+    mantissa = (top * F.lit(1 << rest) + low).cast("double")
+    exponent = F.floor(half / (1 << (31 - exponent_bits))).cast("bigint") % (1 << exponent_bits)
+    bias, most = (1 << (exponent_bits - 1)) - 1, (1 << exponent_bits) - 1
+    special = F.when(mantissa == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
+    small = mantissa * F.lit(2.0 ** (1 - bias - mantissa_bits))
+    usual = (mantissa * F.lit(2.0**-mantissa_bits) + 1) * F.pow(F.lit(2.0), (exponent - bias).cast("double"))
+    size = F.when(exponent == most, special).when(exponent == 0, small).otherwise(usual)
+    return F.when(half >= 1 << 31, -size).otherwise(size)
 
 
 def kvp(value: Column, pair_separator: str = ",", key_value_separator: str = "=") -> Column:
@@ -78,9 +83,9 @@ def decode(value: Column, fmt: str, **options) -> Column:
         bits, to = {"INTEGER": (32, "int"), "LONG": (64, "bigint"), "SHORT": (16, "smallint")}[fmt]
         return _fixed(value, bits // 8, _signed(value, bits), fmt).cast(to)
     if fmt == "DOUBLE":
-        return _ieee(">f8", T.DoubleType())(_fixed(value, 8, value, fmt))
+        return _fixed(value, 8, _ieee(value, 11, 52), fmt)
     if fmt == "FLOAT":
-        return _ieee(">f4", T.FloatType())(_fixed(value, 4, value, fmt))
+        return _fixed(value, 4, _ieee(value, 8, 23), fmt).cast("float")
     if fmt == "BOOLEAN":
         return F.when(value.isNull(), None).when(F.hex(value).isin("00", "01"), F.hex(value) == "01").otherwise(F.raise_error(F.lit("BOOLEAN needs one byte, 0 or 1")))
     if fmt in ("BYTE_ARRAY", "BYTE_BUFFER", "BYTES"):

@@ -316,6 +316,13 @@ class Formats:
     value_options: tuple = ()
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """``stem`` with as many underscores before it as no column of ``df`` begins with, whatever the case."""
+    while any(c.lower().startswith(stem.lower()) for c in df.columns):
+        stem = "_" + stem
+    return stem
+
+
 def extract(df: DataFrame, paths: dict[str, Path], formats: Formats = Formats(), non_scalar: bool = False) -> DataFrame:
     """``df`` (an envelope) with one result column for each path."""
     taken = "_x"

@@ -48,26 +48,59 @@ def snapshot_control(df: DataFrame) -> DataFrame:
     return df.withColumn("event_kind", F.when(command == "CS", "clear_snapshot").when(command == "EOS", "end_of_snapshot").otherwise("update"))
 
 
-def tag_snapshot(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER) -> DataFrame:
+def _with_before(df: DataFrame, before: DataFrame | None, on: list[str], name: str) -> DataFrame:
+    """``df`` with the boolean ``name``: whether its ``on`` columns stand in ``before``."""
+    if before is None:
+        return df.withColumn(name, F.lit(False))
+    there = before.select(*[F.col(c).alias(f"_b_{c}") for c in on], F.lit(True).alias(name)).distinct()
+    match = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in on]
+    return df.join(there, match, "left").drop(*[f"_b_{c}" for c in on]).withColumn(name, F.coalesce(name, F.lit(False)))
+
+
+def _switch() -> Column:
+    """What a row makes of its item's snapshot: begun (true), ended (false), or nothing."""
+    return F.when(F.col("fields")["command"] == "CS", True).when(F.col("fields")["command"] == "EOS", False)
+
+
+def tag_snapshot(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, ended: DataFrame | None = None) -> DataFrame:
     """``is_snapshot`` of each row: from the start or a CS until after an EOS, by item in order.
 
-    Order across partitions is that of ``order``; a one-partition topic is exact.
+    Order across partitions is that of ``order``; a one-partition topic is exact. ``ended`` names
+    the keys whose snapshot had ended before the first row.
     """
-    switch = F.when(F.col("fields")["command"] == "CS", True).when(F.col("fields")["command"] == "EOS", False)
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("is_snapshot", F.coalesce(F.last(switch, ignorenulls=True).over(w), F.lit(True)))
+    begun = _with_before(df, ended, list(keys), "_ended")
+    return begun.withColumn("is_snapshot", F.coalesce(F.last(_switch(), ignorenulls=True).over(w), ~F.col("_ended"))).drop("_ended")
+
 
+def ended_snapshots(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, ended: DataFrame | None = None) -> DataFrame:
+    """The keys whose snapshot has ended after the last row; reduced before the shuffle."""
+    last = df.select(*keys, F.struct(*order).alias("_at"), _switch().alias("_switch")).where("_switch is not null").groupBy(*keys).agg(F.max_by("_switch", "_at").alias("_switch"))
+    return _carried(last, ended, list(keys), ~F.col("_switch"))
 
-def auto_command(df: DataFrame, tombstone: Column, track_keys: bool = False, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER) -> DataFrame:
+
+def _carried(last: DataFrame, before: DataFrame | None, on: list[str], holds: Column) -> DataFrame:
+    """The keys that hold by their last row, and those of ``before`` that had no row."""
+    now = last.where(holds).select(*on)
+    if before is None:
+        return now
+    seen = last.select(*[F.col(c).alias(f"_b_{c}") for c in on])
+    return now.unionByName(before.select(*on).join(seen, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in on], "left_anti"))
+
+
+def auto_command(df: DataFrame, tombstone: Column, track_keys: bool = False, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, live: DataFrame | None = None) -> DataFrame:
     """Commands from payloads: a record adds, a tombstone deletes and keeps only its key.
 
-    With ``track_keys`` a key seen since its last deletion is updated instead of added.
+    With ``track_keys`` a key seen since its last deletion is updated instead of added; ``live``
+    has those (``keys`` and key) that were seen before the first row.
     """
     check = df.withColumn("_gone", tombstone).withColumn("_key", F.col("fields")["key"])
     command = F.lit("ADD")
     if track_keys:
         before = Window.partitionBy(*keys, "_key").orderBy(*order).rowsBetween(-1, -1)
-        check = check.withColumn("_seen", F.coalesce(~F.last("_gone").over(before), F.lit(False)))
+        known = live.withColumnRenamed("key", "_key") if live is not None else None
+        check = _with_before(check, known, [*keys, "_key"], "_live")
+        check = check.withColumn("_seen", F.coalesce(~F.last("_gone").over(before), F.col("_live"))).drop("_live")
         command = F.when(F.col("_seen"), "UPDATE").otherwise("ADD")
     added = overlay(F.col("fields"), F.create_map(F.lit("command"), command))
     deleted = F.create_map(F.lit("key"), F.col("_key"), F.lit("command"), F.lit("DELETE"))
@@ -75,6 +108,13 @@ def auto_command(df: DataFrame, tombstone: Column, track_keys: bool = False, key
     return out.drop("_gone", "_key", *(["_seen"] if track_keys else []))
 
 
+def live_keys(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, live: DataFrame | None = None) -> DataFrame:
+    """The keys (``keys`` and key) not deleted after the last row of a change stream; reduced before the shuffle."""
+    last = df.select(*keys, F.col("fields")["key"].alias("key"), F.struct(*order).alias("_at"), F.col("fields")["command"].alias("_command"))
+    last = last.where(F.col("_command").isin(*CHANGES)).groupBy(*keys, "key").agg(F.max_by("_command", "_at").alias("_command"))
+    return _carried(last, live, [*keys, "key"], F.col("_command") != "DELETE")
+
+
 def materialize_board(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER) -> DataFrame:
     """The table of each item after all changes: rows after its last CS, the last of each key, deleted ones gone."""
     position = F.struct(*order)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import STRINGS, Formats, extract, fixed, parse
+from ..functions.paths import STRINGS, Formats, extract, fixed, parse, unused
 from ..functions.text import words_of
 
 FAILURE = "struct<stage:string,reason:string,expression:string,message:string>"
@@ -33,14 +33,15 @@ def map_fields(df: DataFrame, fields: dict[str, str], discover: list[str] | str
         raise ValueError("no fields")
     if any(not n.strip() for n in fields):
         raise ValueError("blank field name")
-    paths = {f"_f{k}": parse(e) for k, e in enumerate(fields.values())} | {f"_d{k}": parse(e, wildcard=True) for k, e in enumerate(stars)}
+    one, star = unused(df, "_f"), unused(df, "_d")
+    paths = {f"{one}{k}": parse(e) for k, e in enumerate(fields.values())} | {f"{star}{k}": parse(e, wildcard=True) for k, e in enumerate(stars)}
     expressions = dict(zip(paths, [*fields.values(), *stars]))
     out = extract(df, paths, formats, map_non_scalar)
     empty = F.create_map().cast(STRINGS)
-    found = [F.coalesce(F.col(f"_d{k}")["fields"], empty) for k in range(len(stars))]
-    entries = [F.struct(F.lit(n).alias("key"), F.col(f"_f{k}")["text"].alias("value")) for k, n in enumerate(fields)]
+    found = [F.coalesce(F.col(f"{star}{k}")["fields"], empty) for k in range(len(stars))]
+    entries = [F.struct(F.lit(n).alias("key"), F.col(f"{one}{k}")["text"].alias("value")) for k, n in enumerate(fields)]
     if skip_failed:
-        pairs = F.filter(F.array(*[F.struct(F.col(f"_f{k}")["ok"].alias("ok"), e.alias("entry")) for k, e in enumerate(entries)]), lambda p: p["ok"]) if entries else None
+        pairs = F.filter(F.array(*[F.struct(F.col(f"{one}{k}")["ok"].alias("ok"), e.alias("entry")) for k, e in enumerate(entries)]), lambda p: p["ok"]) if entries else None
         named = F.map_from_entries(F.transform(pairs, lambda p: p["entry"])) if entries else empty
     else:
         named = F.map_from_entries(F.array(*entries)) if entries else empty

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.paths import Formats, extract, fixed, parse
+from ..functions.paths import Formats, extract, fixed, parse, unused
 from ..functions.text import words_of
 from .fields import FAILURE, _failure
 
@@ -77,11 +77,11 @@ def expand_templates(df: DataFrame, templates: list[str] | dict[str, list[str]],
     """
     by_topic = templates if isinstance(templates, dict) else {None: templates}
     parsed = {text: parse_template(text) for some in by_topic.values() for text in some}
-    paths, place = {}, {}
+    paths, place, stem = {}, {}, unused(df, "_t")
     for t in parsed.values():
         for _, path in t.params:
             if path not in place:
-                place[path] = f"_t{len(place)}"
+                place[path] = f"{stem}{len(place)}"
                 paths[place[path]] = parse("#{" + path + "}")
     out = extract(df, paths, formats)
     names, failures = [], [F.lit(None).cast(FAILURE)]

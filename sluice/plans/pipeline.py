@@ -7,10 +7,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.decode import is_tombstone
+from ..functions.decode import is_tombstone, split_decodable
 from ..functions.paths import Formats
-from ..operators.command import auto_command, check_command_fields, enforce_command, snapshot_control, tag_snapshot
-from ..operators.errors import apply_policy, error_rows
+from ..operators.command import auto_command, check_command_fields, ended_snapshots, enforce_command, live_keys, snapshot_control, tag_snapshot
+from ..operators.errors import error_rows
 from ..operators.fields import map_fields
 from ..operators.routing import expand_templates, route
 
@@ -28,8 +28,12 @@ class Spec:
     evaluate_fields: str = "routed"  # or "always": unrouted records' bad fields are errors too
     command: str | None = None  # "auto" or "enforce"
     track_keys: bool = False
+    on_decode_error: str = "fail"  # or "dead_letter": payloads that don't decode are errors like others
+    schemas: dict | None = None  # JSON schemas by payload column
 
     def __post_init__(self):
+        if self.on_decode_error not in ("fail", "dead_letter"):
+            raise ValueError(f"on_decode_error {self.on_decode_error!r}")
         if self.evaluate_fields not in ("routed", "always"):
             raise ValueError(f"evaluate_fields {self.evaluate_fields!r}")
         if self.command:
@@ -39,9 +43,41 @@ class Spec:
 def process(records: DataFrame, subs: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
     """Updates (one row per record and subscription, with ``failure`` null) and error rows.
 
+    Records whose payloads don't decode stop the query, or are errors by ``on_decode_error``.
     Records whose templates fail give no updates. With ``routed`` fields are evaluated after the
     join, so that records nobody wants raise nothing; with ``always`` before it.
     """
+    return _process(records, subs, spec, None)[:2]
+
+
+class Changes:
+    """``process`` over micro-batches: takes what command mode keeps between them, and returns it as it is afterwards.
+
+    What is kept (session, item, key): in ``enforce`` mode the items whose snapshot has ended, in
+    ``auto`` mode with ``track_keys`` the keys that are there; else nothing.
+    """
+
+    KEPT = "session string, item string, key string"
+
+    def __init__(self, subs: DataFrame, spec: Spec):
+        self.subs, self.spec = subs, spec
+
+    def __call__(self, records: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        return _process(records, self.subs, self.spec, before)
+
+
+def _decoded(records: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame | None]:
+    """Records whose binary payloads decode, and the others as error rows (none if they stop the query)."""
+    sides = {c: f for c, f in (("key", spec.formats.key), ("value", spec.formats.value)) if dict(records.dtypes)[c] in ("binary", "string")}
+    good, bad = split_decodable(records, sides, spec.on_decode_error, spec.schemas)
+    if spec.on_decode_error == "fail":
+        return good, None
+    none = F.lit(None).cast("string")
+    return good, bad.select(*records.columns, "stage", F.lit("malformed").alias("reason"), none.alias("expression"), "message")
+
+
+def _process(records: DataFrame, subs: DataFrame, spec: Spec, before: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    records, undecoded = _decoded(records, spec)
     expanded = expand_templates(records, spec.templates, spec.formats)
     template_errors = error_rows(expanded)
     good = expanded.where("failure is null").drop("failure")
@@ -56,18 +92,23 @@ def process(records: DataFrame, subs: DataFrame, spec: Spec) -> tuple[DataFrame,
         field_errors = error_rows(mapped).select(*template_errors.columns).dropDuplicates(["topic", "partition", "offset"])
         routed = mapped.where("failure is null").drop("failure")
     errors = template_errors.unionByName(field_errors.select(*template_errors.columns))
+    if undecoded is not None:
+        errors = errors.unionByName(undecoded.select(*template_errors.columns))
+    keys, after = tuple(c for c in ("session", "item") if c in routed.columns), None
+    if routed.isStreaming and (spec.command == "enforce" or spec.track_keys):
+        raise ValueError("command mode keeps state between records: run it by stream_updates(records, Changes(subs, spec), ...)")
     if spec.command == "auto":
-        routed = auto_command(routed, is_tombstone(F.col("value"), spec.formats.value), spec.track_keys)
+        routed = auto_command(routed, is_tombstone(F.col("value"), spec.formats.value), spec.track_keys, keys, live=before)
+        if spec.track_keys:
+            after = live_keys(routed, keys, live=before)
     if spec.command == "enforce":
         routed, rejected = enforce_command(routed)
-        routed = tag_snapshot(snapshot_control(routed)) if not routed.isStreaming else snapshot_control(routed)
+        after = ended_snapshots(routed, keys, ended=before).withColumn("key", F.lit(None).cast("string"))
+        routed = tag_snapshot(snapshot_control(routed), keys, ended=before)
         none = F.lit(None).cast("string")
         errors = errors.unionByName(rejected.select(*[c for c in template_errors.columns if c not in ("stage", "reason", "expression", "message")], "stage", "reason", none.alias("expression"), F.lit("command discarded").alias("message")))
     else:
         routed = routed.withColumn("event_kind", F.lit("update")).withColumn("is_snapshot", F.lit(False))
-    return routed, errors
-
-
-def run_policy(mapped: DataFrame, on_error: str, **rest):
-    """The error policy over a frame with ``failure``."""
-    return apply_policy(mapped, on_error, **rest)
+    if after is not None and "session" not in keys:
+        after = after.withColumn("session", F.lit(None).cast("string"))
+    return routed, errors, after.select("session", "item", "key") if after is not None else None

@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.command import ORDER
+from ..operators.errors import POLICIES
 from .envelope import ENVELOPE
 
 UPDATE_COLUMNS = ["session", "item", "event_kind", "is_snapshot", "fields", "topic", "partition", "offset", "timestamp"]
@@ -51,33 +54,76 @@ def read_files(spark: SparkSession, path: str, stream: bool = True, max_files_pe
     return reader.load(path)
 
 
-def write_updates(updates: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
+def _write(df: DataFrame, path: str, fmt: str, mode: str, batch_id: int | None) -> None:
+    """Append, or with ``batch_id`` fill that batch's own folder anew, so that a replayed batch changes nothing."""
+    if batch_id is None:
+        df.write.format(fmt).mode(mode).save(path)
+    else:
+        df.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
+def write_updates(updates: DataFrame, path: str, fmt: str = "parquet", mode: str = "append", batch_id: int | None = None) -> None:
     """Write a batch's update events, one row per record and subscriber."""
-    updates.select(*[c for c in UPDATE_COLUMNS if c in updates.columns]).write.format(fmt).mode(mode).save(path)
+    _write(updates.select(*[c for c in UPDATE_COLUMNS if c in updates.columns]), path, fmt, mode, batch_id)
 
 
-def write_dead_letters(errors: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
+def write_dead_letters(errors: DataFrame, path: str, fmt: str = "parquet", mode: str = "append", batch_id: int | None = None) -> None:
     """Write a batch's bad records with what was wrong with them."""
-    errors.write.format(fmt).mode(mode).save(path)
+    _write(errors, path, fmt, mode, batch_id)
+
 
+def _first_error(errors: DataFrame):
+    """Position and message of the first bad record; null if there is none."""
+    row = errors.agg(F.min(F.struct(F.struct(*ORDER).alias("at"), "message")).alias("first")).first()
+    return row["first"]
 
-def stream_updates(records: DataFrame, process: Callable[[DataFrame], tuple[DataFrame, DataFrame]], updates_path: str,
-                   checkpoint: str, dead_letter_path: str | None = None, on_error: str = "terminate", **trigger):
-    """Run ``process`` (records -> updates, errors) on each micro-batch and write both sides.
 
-    ``terminate`` stops the query at a batch with errors; ``dead_letter`` needs a path.
+def stream_updates(records: DataFrame, process: Callable, updates_path: str, checkpoint: str, dead_letter_path: str | None = None,
+                   on_error: str = "terminate", subs: DataFrame | None = None, **trigger):
+    """Run ``process`` on each micro-batch and write both sides, by batch id: a replayed batch changes nothing.
+
+    ``process`` maps records to (updates, errors), or with an attribute ``KEPT`` (records, what was
+    kept) to (updates, errors, what to keep); that is written beside the checkpoint, batch by batch.
+    ``terminate`` stops the query at a batch with errors before anything of it is written; ``ignore``
+    leaves bad records out; ``dead_letter`` needs a path; ``force_unsubscribe`` needs ``subs``: it
+    writes the updates before the first bad record and one unsubscription an item, then stops.
     """
+    if on_error not in POLICIES:
+        raise ValueError(f"unknown policy {on_error!r}")
     if on_error == "dead_letter" and not dead_letter_path:
         raise ValueError("dead_letter needs a sink")
-
-    def write(batch: DataFrame, _: int) -> None:
-        updates, errors = process(batch)
-        if on_error == "terminate":
-            first = errors.limit(1).collect()
+    if on_error == "force_unsubscribe" and subs is None:
+        raise ValueError("force_unsubscribe needs the subscriptions")
+    kept, stateful = f"{checkpoint.rstrip('/')}-kept", hasattr(process, "KEPT")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # decoded for updates, errors and what is kept
+        try:
+            after = None
+            if stateful:
+                before = batch.sparkSession.read.schema(process.KEPT).parquet(f"{kept}/{batch_id - 1}") if batch_id else None
+                updates, errors, after = process(batch, before)
+                if after is None and before is not None:
+                    after = before
+            else:
+                updates, errors = process(batch)
+            first = _first_error(errors) if on_error in ("terminate", "force_unsubscribe") else None
+            if first and on_error == "terminate":
+                raise RuntimeError(f"record failed: {first['message']}")
+            if first:
+                at = first["at"]
+                updates = updates.where(F.struct(*ORDER) < F.struct(*[F.lit(at[c]).cast(updates.schema[c].dataType).alias(c) for c in ORDER]))
+                gone = subs.select(*[c for c in ("session", "item") if c in subs.columns]).distinct().withColumn("event_kind", F.lit("unsubscribed"))
+                updates = updates.select(*[c for c in UPDATE_COLUMNS if c in updates.columns]).unionByName(gone, allowMissingColumns=True)
+            if on_error == "dead_letter":
+                write_dead_letters(errors, dead_letter_path, batch_id=batch_id)
+            write_updates(updates, updates_path, batch_id=batch_id)
+            if stateful:
+                left = after if after is not None else batch.sparkSession.createDataFrame([], process.KEPT)
+                left.write.mode("overwrite").parquet(f"{kept}/{batch_id}")
             if first:
-                raise RuntimeError(f"record failed: {first[0]['message']}")
-        elif on_error == "dead_letter":
-            write_dead_letters(errors, dead_letter_path)
-        write_updates(updates, updates_path)
+                raise RuntimeError(f"record failed, items were unsubscribed: {first['message']}")
+        finally:
+            batch.unpersist()
 
     return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -178,3 +178,110 @@ def test_stream_with_dead_letters(spark, tmp_path):
     assert [r["reason"] for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["field_not_found"]
     with pytest.raises(ValueError):
         stream_updates(read_files(spark, str(tmp_path / "in")), lambda df: (df, df), "x", "y", None, "dead_letter")
+
+
+def envelope_of(spark, rows, path):
+    from pathlib import Path
+
+    from sluice.sources.envelope import as_envelope
+
+    frame = as_envelope(spark.createDataFrame(rows, "o long, k string, v string"), "t", F.col("k"), F.col("v"), offset=F.col("o"), timestamp=F.timestamp_seconds("o"))
+    n = len(list(Path(path).glob("*"))) if Path(path).exists() else 0
+    frame.repartition(1).write.parquet(f"{path}/{n}")
+    return frame
+
+
+ENFORCED = [("ADD", "a"), ("EOS", "snapshot"), ("UPDATE", "a"), ("ADD", "b"), ("NOPE", "b"), ("CS", "snapshot"), ("ADD", "c"), ("EOS", "snapshot"), ("DELETE", "c")]
+AUTO = [("a", "1"), ("b", "1"), ("a", "2"), ("a", None), ("b", "2"), ("a", "3")]
+
+
+@pytest.mark.parametrize("mode", ["enforce", "auto"])
+def test_command_mode_in_batches_equals_one_batch(spark, tmp_path, mode):
+    from sluice.functions.paths import Formats
+    from sluice.plans.pipeline import Changes, Spec, process
+
+    subs = spark.createDataFrame([("s1", "i"), ("s2", "i")], "session string, item string")
+    if mode == "enforce":
+        rows = [(k, "x", json.dumps({"command": c, "key": key})) for k, (c, key) in enumerate(ENFORCED)]
+        spec = Spec(["i"], {"key": "#{VALUE.key}", "command": "#{VALUE.command}"}, command="enforce")
+    else:
+        rows = [(k, key, v) for k, (key, v) in enumerate(AUTO)]
+        spec = Spec(["i"], {"key": "#{KEY}", "v": "#{VALUE}"}, command="auto", track_keys=True, formats=Formats(value="STRING"))
+    source, whole = str(tmp_path / "in"), None
+    for some in (rows[:2], rows[2:5], rows[5:6], rows[6:]):
+        if some:
+            frame = envelope_of(spark, some, source)
+            whole = frame if whole is None else whole.unionByName(frame)
+            q = stream_updates(read_files(spark, f"{source}/*"), Changes(subs, spec), str(tmp_path / "out"), str(tmp_path / "cp"), on_error="ignore")
+            q.awaitTermination(120)
+            assert q.exception() is None
+    shown = ["session", "offset", "event_kind", "is_snapshot", "fields"]
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.select("batch_id").distinct().count() >= 3
+    key = lambda r: (r["session"], r["offset"], r["event_kind"], r["is_snapshot"], sorted(r["fields"].items(), key=str))
+    assert sorted(map(key, found.select(*shown).collect())) == sorted(map(key, process(whole, subs, spec)[0].select(*shown).collect()))
+    with pytest.raises(ValueError):
+        process(read_files(spark, f"{source}/*"), subs, spec)
+
+
+def test_stream_policies(spark, tmp_path):
+    from sluice.plans.pipeline import Spec, process
+
+    subs = spark.createDataFrame([("s", "i-[t=a]")], "session string, item string")
+    envelope_of(spark, [(1, "k", '{"t":"a","v":1}'), (2, "k", '{"t":"a"}'), (3, "k", '{"t":"a","v":3}')], str(tmp_path / "in"))
+    spec = Spec(["i-#{t=VALUE.t}"], {"v": "#{VALUE.v}"})
+    run = lambda name, **rest: stream_updates(read_files(spark, str(tmp_path / "in" / "0")), lambda df: process(df, subs, spec), str(tmp_path / name), str(tmp_path / f"cp-{name}"), **rest)
+    for bad in ({"on_error": "dead_leter"}, {"on_error": "force_unsubscribe"}, {"on_error": "dead_letter"}):
+        with pytest.raises(ValueError):
+            run("bad", **bad)
+    for again in (1, 2):  # a replayed batch changes nothing
+        q = run("gone", on_error="force_unsubscribe", subs=subs)
+        with pytest.raises(Exception, match="unsubscribed"):
+            q.awaitTermination(120)
+        rows = spark.read.parquet(str(tmp_path / "gone")).collect()
+        assert sorted((r["event_kind"], r["offset"] or 0) for r in rows) == [("unsubscribed", 0), ("update", 1)], again
+    with pytest.raises(Exception, match="record failed"):
+        run("stop", on_error="terminate").awaitTermination(120)
+    assert not (tmp_path / "stop").exists()
+    q = run("left", on_error="ignore")
+    q.awaitTermination(120)
+    assert sorted(r["offset"] for r in spark.read.parquet(str(tmp_path / "left")).collect()) == [1, 3]
+
+
+def test_payloads_that_do_not_decode(spark, tmp_path):
+    from sluice.plans.pipeline import Spec, process
+
+    subs = spark.createDataFrame([("s", "i")], "session string, item string")
+    frame = envelope_of(spark, [(1, "k", '{"v":1}'), (2, "k", '{"v":'), (3, "k", '{"w":1}')], str(tmp_path / "in"))
+    with pytest.raises(Exception, match="malformed JSON"):
+        process(frame, subs, Spec(["i"], {"v": "#{VALUE.v}"}))[0].collect()
+    updates, errors = process(frame, subs, Spec(["i"], {"v": "#{VALUE.v}"}, on_decode_error="dead_letter"))
+    assert [r["offset"] for r in updates.collect()] == [1]
+    assert sorted((r["offset"], r["stage"], r["reason"]) for r in errors.collect()) == [(2, "decode", "malformed"), (3, "field", "field_not_found")]
+    with pytest.raises(ValueError):
+        Spec(["i"], {"v": "#{VALUE.v}"}, on_decode_error="ignore")
+
+
+def test_columns_named_like_helpers_stay(spark):
+    from sluice.operators.fields import map_fields
+    from sluice.operators.routing import expand_templates
+    from sluice.sources.envelope import as_envelope
+
+    df = as_envelope(spark.createDataFrame([('{"v":1}',)], "v string"), "t", F.lit("k"), F.col("v")).withColumns({c: F.lit(c) for c in ("_f0", "_d0", "_t0", "_F1")})
+    for out in (map_fields(df, {"v": "#{VALUE.v}"}, "#{VALUE.*}"), expand_templates(df, ["i-#{v=VALUE.v}"])):
+        row = out.first()
+        assert (row["_f0"], row["_d0"], row["_t0"], row["_F1"]) == ("_f0", "_d0", "_t0", "_F1")
+
+
+def test_floating_payloads_are_exact(spark):
+    import struct
+
+    values = [0.0, -0.0, 1.0, -2.5, 3.141592653589793, 1e308, 5e-324, 2.2250738585072014e-308, -1e-310, float("inf"), float("-inf"), float("nan"), 0.1]
+    singles = [0.0, -0.0, 1.5, -3.25, 3.4e38, 1e-45, 1.1754944e-38, float("inf"), float("nan"), 0.1]
+    df = spark.createDataFrame([(struct.pack(">d", v), "d") for v in values] + [(struct.pack(">f", v), "f") for v in singles] + [(None, "d")], "b binary, k string")
+    for kind, fmt, given in (("d", "DOUBLE", values), ("f", "FLOAT", singles)):
+        found = [r[0] for r in df.where(F.col("k") == kind).select(D.decode(F.col("b"), fmt)).collect()]
+        for x, y in zip(given, found):
+            want = x if fmt == "DOUBLE" else struct.unpack(">f", struct.pack(">f", x))[0]
+            assert struct.pack(">d", want) == struct.pack(">d", y) or (math.isnan(want) and math.isnan(y)), (want, y)
+    assert found and df.where("b is null").select(D.decode(F.col("b"), "DOUBLE")).first()[0] is None
