@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import decode as D
@@ -137,7 +137,7 @@ def b6_b11_scalars(spark, sf_dir):
                     D.decode(F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(F.col("event_id").cast("string"), 12, "0")).cast("binary"), "UUID").alias("u"))
 
 
-@query("b8_floating")
+@query("b8_floating", "SELECT event_id, 1 + event_id * pow(2.0, -52) AS d, CAST(1 + event_id * pow(2.0, -23) AS FLOAT) AS f FROM events")
 def b8_floating(spark, sf_dir):
     e = load(spark, sf_dir, "events")
     bits = F.unhex(F.lpad(F.hex(F.col("event_id") + F.lit(4607182418800017408)), 16, "0"))
@@ -181,6 +181,19 @@ def c7_c10_other_formats(spark, sf_dir):
     return fields_as(E.succeeded(out), "t", "u")
 
 
+@query("c7_c8_typed_values", """SELECT event_id AS "offset", event_type AS kind, '[' || list_aggregate(list_transform(string_split(event_type, ''), lambda c: CAST(ascii(c) AS VARCHAR)), 'string_agg', ', ') || ']' AS fixed,
+'n' || user_id AS numbered, CAST(event_id % 7 AS VARCHAR) AS second, CAST(user_id % 2 = 1 AS VARCHAR) AS flag, 'b' || event_type AS by_flag FROM events""")
+def c7_c8_typed_values(spark, sf_dir):
+    e = load(spark, sf_dir, "events")
+    value = F.struct(
+        F.col("event_type").alias("kind"), F.col("event_type").cast("binary").alias("fixed"), F.create_map(F.lit(7), F.concat(F.lit("n"), F.col("user_id").cast("string"))).alias("numbered"),
+        F.array(F.struct(F.lit(0).cast("long").alias("v")), F.struct((F.col("event_id") % 7).alias("v"))).alias("lines"), (F.col("user_id") % 2 == 1).alias("flag"),
+        F.create_map(F.lit(True), F.concat(F.lit("b"), "event_type")).alias("by_flag"))
+    records = read_structured(e, F.lit("events"), F.col("user_id"), value, partition=F.lit(0), offset=F.col("event_id"), timestamp=F.col("ts"))
+    paths = {"kind": "#{VALUE.kind}", "fixed": "#{VALUE.fixed}", "numbered": "#{VALUE.numbered['7']}", "second": "#{VALUE.lines[1].v}", "flag": "#{VALUE.flag}", "by_flag": "#{VALUE.by_flag['true']}"}
+    return fields_as(E.succeeded(map_fields(records, paths, formats=Formats(value="STRUCT"))), *paths)
+
+
 @query("c11_c13_headers", """SELECT event_id AS "offset", CAST(event_id AS VARCHAR) AS id, event_type AS first_type, CAST(user_id AS VARCHAR) AS second_type, CAST(event_id AS VARCHAR) AS at1 FROM events""")
 def c11_c13_headers(spark, sf_dir):
     out = map_fields(event_records(spark, sf_dir, headers=F.expr(EVENT_HEADERS)), {"id": "#{HEADERS.id}", "first_type": "#{HEADERS.type[0]}", "second_type": "#{HEADERS['type'][1]}", "at1": "#{HEADERS[1]}"})
@@ -417,6 +430,18 @@ def e4_terminate(spark, sf_dir):
     return fields_as(E.terminate_on_error(map_fields(event_records(spark, sf_dir), {"v": "#{VALUE.value}"})), "v")
 
 
+@query("e4_stops", _LINES + "SELECT count(*) AS failed, TRUE AS stopped FROM o WHERE coalesce(len(lines), 0) < 3")
+def e4_stops(spark, sf_dir):
+    """The policy stops a run over all orders, some of which have no third line."""
+    mapped = map_fields(order_records(spark, sf_dir), {"third": "#{VALUE.lines[2].l_partkey}"})
+    stopped = False
+    try:
+        E.terminate_on_error(mapped).write.format("noop").mode("overwrite").save()
+    except Exception as error:
+        stopped = "USER_RAISED_EXCEPTION" in str(error) and "index [2]" in str(error)  # the policy stopped it, nothing else
+    return E.error_rows(mapped).agg(F.count(F.lit(1)).alias("failed")).withColumn("stopped", F.lit(stopped))
+
+
 # -- change streams ------------------------------------------------------------------------------
 
 
@@ -489,6 +514,12 @@ def f9_sorted_board(spark, sf_dir):
     return C.sorted_board(C.materialize_board(_commands(spark, sf_dir)), "v").select("item", "key", F.col("fields")["v"].alias("v"))
 
 
+@query("f9_board_places", "SELECT item, key, row_number() OVER (PARTITION BY item ORDER BY v NULLS FIRST, key) AS place FROM (" + _BOARD + ")")
+def f9_board_places(spark, sf_dir):
+    rows = C.sorted_board(C.materialize_board(_commands(spark, sf_dir)), "v").select("item", "key", F.monotonically_increasing_id().alias("at"))
+    return rows.select("item", "key", _place("item").cast("long").alias("place"))
+
+
 # -- order and positions -------------------------------------------------------------------------
 
 
@@ -502,6 +533,28 @@ def g2_key_order(spark, sf_dir):
     return G.ordered(event_records(spark, sf_dir).select("key", "partition", "offset"), "key").select("offset", F.col("key").cast("string").alias("k"))
 
 
+def _place(*lane: str) -> Column:
+    """Place of a row within its lane, in the order in which it is delivered (column ``at``)."""
+    return F.row_number().over(Window.partitionBy(*lane).orderBy("at"))
+
+
+@query("g1_partition_places", """SELECT event_id AS "offset", row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS place FROM events""")
+def g1_partition_places(spark, sf_dir):
+    rows = G.ordered(event_records(spark, sf_dir).select("topic", "partition", "offset")).withColumn("at", F.monotonically_increasing_id())
+    return rows.select("offset", _place("topic", "partition").cast("long").alias("place"))
+
+
+@query("g2_key_places", """SELECT event_id AS "offset", row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events""")
+def g2_key_places(spark, sf_dir):
+    rows = G.ordered(event_records(spark, sf_dir).select("key", "partition", "offset"), "key").withColumn("at", F.monotonically_increasing_id())
+    return rows.select("offset", _place("key").cast("long").alias("place"))
+
+
+@query("g3_no_order", """SELECT event_id AS "offset" FROM events""")
+def g3_no_order(spark, sf_dir):
+    return G.ordered(event_records(spark, sf_dir).select("topic", "partition", "offset"), "none").select("offset")
+
+
 @query("g4_next_offsets", """SELECT 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", max(event_id) + 1 AS next_offset FROM events GROUP BY 2""")
 def g4_next_offsets(spark, sf_dir):
     return G.next_offsets(event_records(spark, sf_dir).select("topic", "partition", "offset"))
@@ -595,11 +648,17 @@ def h15_format(spark, sf_dir):
     return load(spark, sf_dir, "orders").select("o_orderkey", H.format_metric(F.col("o_totalprice"), 5, "EUR").alias("shown"))
 
 
-@query("h17_record_rates")
+_RECEIVED = """e AS (SELECT 'received' AS series, ts FROM events UNION ALL SELECT 'processed', ts FROM (""" + ORACLES["d8_d9_route"] + """) q JOIN events ON event_id = q."offset"),
+c AS (SELECT series, floor(epoch_us(ts) / 3600000000) + 1 AS k, count(*) AS n FROM e GROUP BY 1, 2),
+h AS (SELECT series, unnest(generate_series(CAST(min(k) AS BIGINT), CAST(max(k) AS BIGINT))) AS k FROM c GROUP BY 1),
+s AS (SELECT h.series, to_timestamp(h.k * 3600) AT TIME ZONE 'UTC' AS ts, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY h.series ORDER BY h.k) AS DOUBLE) AS value FROM h LEFT JOIN c ON h.series = c.series AND h.k = c.k)"""
+
+
+@query("h17_record_rates", (ORACLES["h10_rate"].replace(", 6) AS rate FROM", ", 6) AS rate, " + ORACLES["h11_irate"].split("SELECT g.series, g.t, ")[1].split(" FROM g LEFT JOIN")[0] + " FROM")).replace(_SAMPLES, _RECEIVED))
 def h17_record_rates(spark, sf_dir):
     r = event_records(spark, sf_dir)
     updates, _ = process(r, _event_subs(spark, sf_dir), Spec(EVENT_TEMPLATES, {"v": "#{VALUE.value}"}))
-    return plain_times(H.record_rates(r, updates, 3600, 6 * 3600, 3600), "t")
+    return plain_times(H.record_rates(r, updates, 3600, 6 * 3600, 3600), "t").select("series", "t", F.round("rate", 6).alias("rate"), F.round("irate", 6).alias("irate"))
 
 
 # -- functions and hooks -------------------------------------------------------------------------
