@@ -90,12 +90,12 @@ def _json_root(text: Column) -> Column:
     return _node(kind, plain)
 
 
-def _json_child(above: Column, parsed: Column, step, owner: str) -> Column:
-    """One step down from a node; ``parsed`` is its object or array as strings."""
-    kind, text = above["kind"], above["text"]
+def _json_child(above: Column, parsed: Column, types: Column, step, owner: str) -> Column:
+    """One step down from a node; ``parsed`` is its object or array as strings, ``types`` as variants."""
+    kind = above["kind"]
     if isinstance(step, str):
         child = F.element_at(parsed, F.lit(step))
-        typed = F.to_json(F.element_at(F.from_json(text, T.MapType(T.StringType(), T.VariantType())), F.lit(step)))
+        typed = F.element_at(types, F.lit(step))
         found = F.map_contains_key(parsed, F.lit(step))
         missing = _failed("field_not_found", f"Field [{step}] not found")
         wrong = (F.when(kind == "null", _failed("null_object", f"Cannot retrieve field [{step}] from a null object"))
@@ -103,15 +103,16 @@ def _json_child(above: Column, parsed: Column, step, owner: str) -> Column:
                  .when(kind == "array", _failed("array_object", f"Cannot retrieve field [{step}] from an array object")))
     else:
         child = F.get(parsed, step)
-        typed = F.to_json(F.get(F.from_json(text, T.ArrayType(T.VariantType())), step))
+        typed = F.get(types, step)
         found = F.size(parsed) > step
         missing = _failed("index_out_of_bounds", f"Field not found at index [{step}]")
         wrong = (F.when(kind == "null", _failed("null_object", f"Cannot retrieve index [{step}] from a null object"))
                  .when(kind == "scalar", _failed("not_indexed", f"Field [{owner}] is not indexed"))
                  .when(kind == "object", _failed("non_array_object", f"Cannot retrieve index [{step}] from a non-array object")))
-    # Only text that looks like an object or array needs its type looked up.
+    # Text that looks like an object or array is one, unless its type says otherwise.
     looks = child.startswith("{") | child.startswith("[")
-    own = _node(F.when(child.isNull(), "null").when(~looks, "scalar").otherwise(_kind(typed)), child)
+    named = F.create_map(F.lit("{"), F.lit("object"), F.lit("["), F.lit("array"))
+    own = _node(F.when(child.isNull(), "null").when(~looks, "scalar").otherwise(F.coalesce(F.element_at(named, F.substring(F.coalesce(F.to_json(typed), child), 1, 1)), F.lit("scalar"))), child)
     return F.when(above["reason"].isNotNull(), above).otherwise(wrong.when(F.coalesce(found, F.lit(False)), own).otherwise(missing))
 
 
@@ -128,7 +129,7 @@ class _Json:
     """Nodes of JSON roots, added to the frame one depth at a time."""
 
     def __init__(self, df: DataFrame, taken: str):
-        self.df, self.taken, self.nodes, self.parsed = df, taken, {}, {}
+        self.df, self.taken, self.nodes, self.parsed, self.types = df, taken, {}, {}, {}
         self.order: list[tuple] = []
 
     def _name(self, key) -> str:
@@ -155,11 +156,18 @@ class _Json:
                         kind, schema = ("object", STRINGS) if form == "map" else ("array", T.ArrayType(T.StringType()))
                         self.parsed[(*at, form)] = name = self._name((at, form))
                         parse_layer[name] = F.when(above["kind"] == kind, F.from_json(above["text"], schema))
+                    if not ends and (*at, form) not in self.types:
+                        # One typed parse for all children, where a string in the text may look like an object or array:
+                        # its quote then stands right before the brace, bracket or escape.
+                        kind, schema = ("object", T.MapType(T.StringType(), T.VariantType())) if form == "map" else ("array", T.ArrayType(T.VariantType()))
+                        self.types[(*at, form)] = name = self._name((at, form, "types"))
+                        alike = above["text"].contains('"{') | above["text"].contains('"[') | above["text"].contains('"\\u')
+                        parse_layer[name] = F.when((above["kind"] == kind) & alike, F.from_json(above["text"], schema))
                 if not ends and (p.root, p.steps[: depth + 1]) not in self.nodes:
                     owner = Path("", p.root, p.steps[:depth]).name
                     form = "map" if isinstance(p.steps[depth], str) else "list"
                     self.nodes[p.root, p.steps[: depth + 1]] = name = self._name((p.root, p.steps[: depth + 1]))
-                    step_layer[name] = _json_child(above, F.col(self.parsed[(*at, form)]), p.steps[depth], owner)
+                    step_layer[name] = _json_child(above, F.col(self.parsed[(*at, form)]), F.col(self.types[(*at, form)]), p.steps[depth], owner)
             self.df = fixed(fixed(self.df, parse_layer), step_layer)
             depth += 1
 

@@ -118,3 +118,14 @@ def test_skip_failed(joe):
 def test_paths_with_a_common_start_parse_it_once(joe):
     plan = extract(joe, {"a": parse("#{VALUE.name}"), "b": parse("#{VALUE.number}"), "c": parse("#{VALUE.like}")})._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(MapType(StringType,StringType,true)") + plan.count("from_json(MapType(StringType,StringType") <= 2
+
+
+def test_strings_that_look_like_objects_are_scalars(spark):
+    values = ['{"a":"{\\"b\\":1}","c":{"b":2}}', '{"a":"[1]","c":{"b":2}}', '{"a":"\\u007b\\"b\\":1}","c":{"b":2}}', '{"a": [ "{", {"b":3} ],"c":{"b":"[x"}}', '{ "a" : "x", "c" : { "b" : "{}" } }']
+    df = as_envelope(spark.createDataFrame(list(enumerate(values)), "o long, v string"), "t", F.lit("k"), F.col("v"), offset=F.col("o"))
+    rows = map_fields(df, {"a": "#{VALUE.a}"}).orderBy("offset").collect()
+    assert [r["fields"]["a"] if r["fields"] else r["failure"]["reason"] for r in rows] == ['{"b":1}', "[1]", '{"b":1}', "non_scalar", "x"]
+    rows = map_fields(df, {"b": "#{VALUE.c.b}"}).orderBy("offset").collect()
+    assert [r["fields"]["b"] for r in rows] == ["2", "2", "2", "[x", "{}"]
+    rows = map_fields(df, {"b": "#{VALUE.a.b}"}).orderBy("offset").collect()
+    assert [r["failure"]["reason"] for r in rows] == ["scalar_object"] * 3 + ["array_object", "scalar_object"]
