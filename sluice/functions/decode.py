@@ -110,48 +110,96 @@ def is_tombstone(value: Column, fmt: str = "JSON") -> Column:
     return value.isNull() | (F.octet_length(value) == 0) if fmt.upper() in STRUCTURED else value.isNull()
 
 
-_JSON_TYPES = {"string": '"', "object": "{", "array": "["}
+_JSON_TYPES = {"string": r'^"', "object": r"^\{", "array": r"^\[", "integer": r"^-?\d+(\.0+)?$", "number": r"^-?\d", "boolean": "^(true|false)$", "null": "^null$"}
+_NOTES = {"$schema", "$id", "title", "description"}
+_BOUNDS = {
+    "minimum": ("number", lambda x, bound: x >= bound), "maximum": ("number", lambda x, bound: x <= bound),
+    "exclusiveMinimum": ("number", lambda x, bound: x > bound), "exclusiveMaximum": ("number", lambda x, bound: x < bound),
+    "minLength": ("string", lambda x, bound: F.char_length(x) >= bound), "maxLength": ("string", lambda x, bound: F.char_length(x) <= bound),
+    "pattern": ("string", lambda x, bound: x.rlike(bound)),
+    "minItems": ("array", lambda x, bound: F.array_size(x) >= bound), "maxItems": ("array", lambda x, bound: F.array_size(x) <= bound),
+}
+_KEYWORDS = {"type", "enum", "properties", "required", "additionalProperties", "items", *_BOUNDS, *_NOTES}
+
+
+def _equals(value: Column, raw: Column, wanted) -> Column:
+    """Whether a variant (``raw``: as JSON) is one given value of an ``enum``."""
+    if wanted is None or isinstance(wanted, bool):
+        return raw == {None: "null", True: "true", False: "false"}[wanted]
+    if isinstance(wanted, str):
+        return raw.rlike(_JSON_TYPES["string"]) & (F.try_variant_get(value, "$", "string") == wanted)
+    if isinstance(wanted, (int, float)):
+        return raw.rlike(_JSON_TYPES["number"]) & (F.try_variant_get(value, "$", "double") == float(wanted))
+    raise ValueError(f"enum value {wanted!r} isn't supported")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _first(checks: list[Column]) -> Column:
+    return F.coalesce(F.lit(None).cast("string"), *checks)
+
+
+def _value_reason(value: Column, rule: dict, name: str) -> Column:
+    """Why a variant breaks a rule (null: it doesn't). Bounds hold for values of their type only."""
+    if set(rule) - _KEYWORDS:
+        raise ValueError(f"schema keywords of {name} that aren't supported: {sorted(set(rule) - _KEYWORDS)}")
+    kinds = [rule["type"]] if isinstance(rule.get("type"), str) else rule.get("type", [])
+    if set(kinds) - set(_JSON_TYPES):
+        raise ValueError(f"type {rule['type']} of {name} isn't supported")
+
+    def checked(v: Column, raw: Column) -> Column:
+        checks = []
+        if kinds:
+            fits = F.coalesce(raw.rlike("|".join(_JSON_TYPES[k] for k in kinds)), F.lit(False))
+            checks.append(F.when(~fits, F.lit(f"type: {name}")))
+        if "enum" in rule:
+            one = F.lit(False)
+            for wanted in rule["enum"]:
+                one = one | F.coalesce(_equals(v, raw, wanted), F.lit(False))
+            checks.append(F.when(~one, F.lit(f"enum: {name}")))
+        for kind, to in (("number", "double"), ("string", "string"), ("array", "array<variant>"), ("object", "map<string,variant>")):
+            def within(x: Column, kind=kind) -> list[Column]:
+                some = [F.when(~holds(x, rule[keyword]), F.lit(f"{keyword}: {name}")) for keyword, (of, holds) in _BOUNDS.items() if of == kind and keyword in rule]
+                if kind == "array" and rule.get("items"):
+                    some.append(F.get(F.filter(F.transform(x, lambda item: _value_reason(item, rule["items"], f"{name}[]")), lambda r: r.isNotNull()), 0))
+                return some + (_member_checks(x, rule, f"{name}.") if kind == "object" else [])
+
+            if within(F.lit(None)):
+                checks.append(F.when(raw.rlike(_JSON_TYPES[kind]), _let(F.try_variant_get(v, "$", to), lambda x: _first(within(x)))))
+        return _first(checks)
+
+    return _let(value, lambda v: _let(F.to_json(v), lambda raw: checked(v, raw)))
+
+
+def _member_checks(members: Column, rule: dict, owner: str) -> list[Column]:
+    """Why the members of an object (a map of variants) break a rule: a column a check."""
+    more = rule.get("additionalProperties", True)
+    if not isinstance(more, bool):
+        raise ValueError("additionalProperties by a schema isn't supported")
+    checks = [F.when(~F.map_contains_key(members, F.lit(n)), F.lit(f"required: {owner}{n}")) for n in rule.get("required", [])]
+    for n, inner in rule.get("properties", {}).items():
+        checks.append(F.when(F.map_contains_key(members, F.lit(n)), _value_reason(F.element_at(members, F.lit(n)), inner, f"{owner}{n}")))
+    if more is False:
+        others = F.array_except(F.map_keys(members), F.array(*[F.lit(n) for n in rule.get("properties", {})]).cast("array<string>"))
+        checks.append(F.when(F.array_size(others) > 0, F.concat(F.lit(f"additional: {owner}"), F.get(others, 0))))
+    return checks
 
 
 def json_schema_violation(text: Column, schema: dict) -> Column:
-    """Why a JSON object breaks a flat schema (null: it doesn't).
+    """Why a JSON object breaks a schema (null: it doesn't), with the place: ``type: lines[].part``.
 
-    Understood: ``type: object``, ``properties`` with ``type`` and ``enum``, ``required`` and
-    ``additionalProperties: false``; any other keyword is refused while the plan is built.
+    Understood at any depth: ``type`` (one or several), ``enum`` of plain values, ``properties``,
+    ``required``, ``additionalProperties`` true or false, ``items`` by one schema, and bounds of
+    numbers, lengths and patterns of strings, and sizes of arrays. Other keywords are refused while
+    the plan is built. The whole payload must be an object.
     """
-    known = {"type", "properties", "required", "additionalProperties", "$schema", "$id", "title", "description"}
-    if set(schema) - known or schema.get("type", "object") != "object":
-        raise ValueError(f"schema keywords that aren't supported: {sorted(set(schema) - known) or schema['type']}")
-    fields = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    kinds = F.from_json(text, T.MapType(T.StringType(), T.VariantType()))
-    checks = [F.when(fields.isNull(), F.lit("not an object"))]
-    for name in schema.get("required", []):
-        checks.append(F.when(~F.map_contains_key(fields, F.lit(name)), F.lit(f"required: {name}")))
-    for name, rule in schema.get("properties", {}).items():
-        if set(rule) - {"type", "enum", "description", "title"}:
-            raise ValueError(f"schema keywords of {name} that aren't supported: {sorted(set(rule) - {'type', 'enum'})}")
-        there = F.map_contains_key(fields, F.lit(name))
-        raw = F.to_json(F.element_at(kinds, name))
-        kind = rule.get("type")
-        if kind in _JSON_TYPES:
-            fits = F.coalesce(raw.startswith(_JSON_TYPES[kind]), F.lit(False))
-        elif kind == "integer":
-            fits = F.coalesce(raw.rlike(r"^-?\d+(\.0+)?$"), F.lit(False))
-        elif kind == "number":
-            fits = F.coalesce(raw.rlike(r"^-?\d"), F.lit(False))
-        elif kind == "boolean":
-            fits = F.coalesce(raw.isin("true", "false"), F.lit(False))
-        elif kind is None:
-            fits = F.lit(True)
-        else:
-            raise ValueError(f"type {kind} of {name} isn't supported")
-        checks.append(F.when(there & ~fits, F.lit(f"type: {name}")))
-        if "enum" in rule:
-            checks.append(F.when(there & ~F.coalesce(F.element_at(fields, name).isin([str(x) for x in rule["enum"]]), F.lit(False)), F.lit(f"enum: {name}")))
-    if schema.get("additionalProperties", True) is False:
-        more = F.array_except(F.map_keys(fields), F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>"))
-        checks.append(F.when(F.size(more) > 0, F.concat(F.lit("additional: "), F.get(more, 0))))
-    return F.when(text.isNotNull(), F.coalesce(*checks))
+    if set(schema) - _KEYWORDS or schema.get("type", "object") != "object":
+        raise ValueError(f"schema keywords that aren't supported: {sorted(set(schema) - _KEYWORDS) or schema['type']}")
+    return F.when(text.isNotNull(), _let(F.from_json(text, T.MapType(T.StringType(), T.VariantType())),
+                                         lambda members: _first([F.when(members.isNull(), F.lit("not an object")), *_member_checks(members, schema, "")])))
 
 
 def decode_failure(df: DataFrame, sides: dict[str, str], schemas: dict[str, dict] | None = None) -> Column:

@@ -147,11 +147,20 @@ def match_templates(subs: DataFrame, templates: list[str], column: str = "item_t
 
 
 def route(df: DataFrame, subs: DataFrame) -> DataFrame:
-    """A row per record and subscription whose canonical name is one of the record's ``items``."""
+    """A row per record and subscription whose canonical name is one of the record's ``items``.
+
+    Subscriptions with ``from_time`` and ``to_time`` (null: open) get the records of that time only,
+    by ``timestamp``: from the first on, up to but without the second.
+    """
     names = df.where("items is not null").withColumn("item", F.explode("items"))
     # Not nullable, so that no null check is pushed below the projection that decodes the record.
     names = names.withColumn("item", F.coalesce("item", F.lit(""))).drop("items")
-    return names.join(sized(subs), "item")
+    if not {"from_time", "to_time"} <= set(subs.columns):
+        return names.join(sized(subs), "item")
+    begin, end = unused(names, "_from"), unused(names, "_to")
+    timed = subs.withColumnsRenamed({"from_time": begin, "to_time": end})
+    within = (F.col(begin).isNull() | (F.col("timestamp") >= F.col(begin))) & (F.col(end).isNull() | (F.col("timestamp") < F.col(end)))
+    return names.join(sized(timed), "item").where(within).drop(begin, end)
 
 
 def _by_item(df: DataFrame, subs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -198,10 +207,13 @@ def active_subscriptions(log: DataFrame, order: str = "seq", keys: tuple[str, ..
     return last.where(F.col("_last")["action"] == "subscribe").select(*keys, "_last.*")
 
 
-def subscription_intervals(log: DataFrame, order: str = "seq") -> DataFrame:
-    """From where to where each subscription of a log stands: item, from_seq, to_seq (null: open)."""
-    w = Window.partitionBy("item").orderBy(order)
-    return log.withColumn("to_seq", F.lead(order).over(w)).where("action = 'subscribe'").withColumnRenamed(order, "from_seq").drop("action")
+def subscription_intervals(log: DataFrame, order: str = "seq", keys: tuple[str, ...] = ("item",), names: tuple[str, str] = ("from_seq", "to_seq")) -> DataFrame:
+    """From where to where each subscription of a log stands: keys, from_seq, to_seq (null: open).
+
+    With an ``order`` that is a time and the names ``from_time`` and ``to_time`` it is what ``route`` takes.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    return log.withColumn(names[1], F.lead(order).over(w)).where("action = 'subscribe'").withColumnRenamed(order, names[0]).drop("action")
 
 
 def items_by_session(log: DataFrame, order: str = "seq") -> DataFrame:

@@ -115,6 +115,15 @@ def b2_json_schema(spark, sf_dir):
     return event_records(spark, sf_dir).select("offset", D.json_schema_violation(D.decode(F.col("value"), "JSON"), schema).alias("violation"))
 
 
+@query("b2_nested_schema", _LINES + """SELECT o_orderkey AS "offset", CASE WHEN lines IS NULL THEN 'type: lines' WHEN len(lines) > 5 THEN 'maxItems: lines'
+WHEN len(list_filter(lines, lambda x: x.p > 1500)) > 0 THEN 'maximum: lines[].l_partkey' WHEN o_orderpriority LIKE '5%' THEN 'pattern: info.o_orderpriority' END AS violation FROM o""")
+def b2_nested_schema(spark, sf_dir):
+    line = {"type": "object", "required": ["l_partkey"], "properties": {"l_partkey": {"type": "integer", "maximum": 1500}, "l_linenumber": {"minimum": 1}, "l_suppkey": {"type": ["integer", "null"]}}, "additionalProperties": False}
+    schema = {"required": ["o_orderkey"], "properties": {"lines": {"type": "array", "minItems": 1, "maxItems": 5, "items": line},
+                                                         "info": {"type": "object", "properties": {"o_orderpriority": {"type": "string", "minLength": 3, "pattern": "^[1-4]-"}}}}}
+    return order_records(spark, sf_dir).select("offset", D.json_schema_violation(D.decode(F.col("value"), "JSON"), schema).alias("violation"))
+
+
 @query("b5_kvp", """SELECT event_id, event_type AS t, CAST(user_id AS VARCHAR) AS u, '' AS novalue, '2' AS dup, 4 AS n FROM events""")
 def b5_kvp(spark, sf_dir):
     e = load(spark, sf_dir, "events")
@@ -389,6 +398,18 @@ def d14_active(spark, sf_dir):
     return R.active_subscriptions(_log(spark, sf_dir), "seq", ("session", "item")).select("session", "item")
 
 
+@query("d14_in_time", "WITH " + _SUBS + """SELECT event_id AS "offset", session, item FROM names JOIN subs USING (item) JOIN (SELECT event_id, ts FROM events) USING (event_id)
+WHERE ts >= TIMESTAMP '2024-01-01' + to_days(CAST(substr(session, 2) AS INTEGER)) AND (session = 's0' OR ts < TIMESTAMP '2024-01-03' + to_days(2 * CAST(substr(session, 2) AS INTEGER)))""")
+def d14_in_time(spark, sf_dir):
+    """Session n subscribes n days after New Year and leaves later; the first stays. Records before and after aren't for it."""
+    asked = _event_subs(spark, sf_dir).withColumn("n", F.substring("session", 2, 9).cast("int"))
+    day, start = 86400, 1704067200
+    log = asked.select("session", "item", F.lit("subscribe").alias("action"), F.timestamp_seconds(start + F.col("n") * day).alias("at")).unionByName(
+        asked.where("n > 0").select("session", "item", F.lit("unsubscribe").alias("action"), F.timestamp_seconds(start + 2 * day + F.col("n") * 2 * day).alias("at")))
+    subs = R.subscription_intervals(log, "at", ("session", "item"), ("from_time", "to_time"))
+    return R.route(R.expand_templates(event_records(spark, sf_dir), EVENT_TEMPLATES), subs).select("offset", "session", "item")
+
+
 @query("d15_items_by_session", f"""SELECT session, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT session, item, arg_max(action, seq) AS action FROM ({_LOG}) GROUP BY 1, 2)
 WHERE action = 'subscribe' GROUP BY 1""")
 def d15_items_by_session(spark, sf_dir):

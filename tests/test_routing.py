@@ -107,3 +107,13 @@ def test_policies(spark, record):
         E.apply_policy(bad, "dead_letter")
     with pytest.raises(Exception, match="zz"):
         E.apply_policy(bad, "terminate")[0].collect()
+
+
+def test_subscriptions_get_the_records_of_their_time(spark):
+    df = spark.createDataFrame([(k, k, ["a", "b"]) for k in range(6)], "offset int, s int, items array<string>").withColumn("timestamp", F.timestamp_seconds("s"))
+    log = [("x", "a", "subscribe", 2), ("x", "a", "unsubscribe", 4), ("x", "a", "subscribe", 5), ("y", "a", "subscribe", 0), ("x", "b", "unsubscribe", 1)]
+    frame = spark.createDataFrame(log, ["session", "item", "action", "at"]).withColumn("at", F.timestamp_seconds("at"))
+    subs = R.subscription_intervals(frame, "at", ("session", "item"), ("from_time", "to_time"))
+    routed = R.route(df, subs)
+    assert routed.columns == ["item", "offset", "s", "timestamp", "session"]
+    assert sorted((r["session"], r["offset"]) for r in routed.collect()) == [("x", 2), ("x", 3), ("x", 5), *[("y", k) for k in range(6)]]

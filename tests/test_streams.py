@@ -285,3 +285,21 @@ def test_floating_payloads_are_exact(spark):
             want = x if fmt == "DOUBLE" else struct.unpack(">f", struct.pack(">f", x))[0]
             assert struct.pack(">d", want) == struct.pack(">d", y) or (math.isnan(want) and math.isnan(y)), (want, y)
     assert found and df.where("b is null").select(D.decode(F.col("b"), "DOUBLE")).first()[0] is None
+
+
+def test_nested_schemas(spark):
+    line = {"type": "object", "required": ["p"], "properties": {"p": {"type": "integer", "minimum": 1, "exclusiveMaximum": 10}}, "additionalProperties": False}
+    schema = {"properties": {"lines": {"type": "array", "minItems": 1, "maxItems": 2, "items": line}, "name": {"type": ["string", "null"], "maxLength": 3, "pattern": "^a"},
+                             "sub": {"required": ["deep"], "properties": {"deep": {"properties": {"x": {"enum": [True, 2, "s", None]}}}}}}}
+    cases = {
+        '{"lines":[{"p":1},{"p":9}],"name":"abc","sub":{"deep":{"x":2}}}': None, '{"name":null}': None, '{"name":7}': "type: name", '{"name":"abcd"}': "maxLength: name", '{"name":"b"}': "pattern: name",
+        '{"lines":{}}': "type: lines", '{"lines":[]}': "minItems: lines", '{"lines":[{"p":1},{"p":1},{"p":1}]}': "maxItems: lines", '{"lines":[{"p":1},{"p":10}]}': "exclusiveMaximum: lines[].p",
+        '{"lines":[{"p":0}]}': "minimum: lines[].p", '{"lines":[{}]}': "required: lines[].p", '{"lines":[{"p":1,"q":2}]}': "additional: lines[].q", '{"lines":[3]}': "type: lines[]", '{"lines":[{"p":"1"}]}': "type: lines[].p",
+        '{"sub":{}}': "required: sub.deep", '{"sub":{"deep":{"x":"t"}}}': "enum: sub.deep.x", '{"sub":{"deep":{"x":true}}}': None, '{"sub":{"deep":{"x":null}}}': None, '{"sub":{"deep":{"x":"2"}}}': "enum: sub.deep.x",
+        "[1]": "not an object", '"x"': "not an object", "{": "not an object", "{}": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], ["t"]).select("t", D.json_schema_violation(F.col("t"), schema).alias("v")).collect()
+    assert {r["t"]: r["v"] for r in rows} == cases
+    for refused in ({"oneOf": []}, {"properties": {"a": {"not": {}}}}, {"properties": {"a": {"type": "date"}}}, {"type": "array"}, {"additionalProperties": {}}):
+        with pytest.raises(ValueError):
+            D.json_schema_violation(F.col("t"), refused)
