@@ -19,6 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("executors can't read the driver's folders: set spark.checkpoint.dir to a shared one")
     return _own_folder()
 
 
@@ -38,8 +40,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 def release(df: DataFrame) -> None:
     """Delete what ``cut`` wrote for a frame that nothing reads any more."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    remove(df.sparkSession, df._written)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate rows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_name(df: DataFrame, name: str) -> str:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, fresh_name, table
 from .token_counts import chunks
 
 WINDOW = 5  # template words
@@ -245,9 +245,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id isn't contaminated, with all their columns."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("_found_id"))
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("_found_id")), "left_anti")
+    """The rows of ``docs`` whose doc_id isn't contaminated, with all their columns, whatever their names.
+
+    Rows of one doc_id, and those with a null one, go or stay together; rows with a null or empty
+    text are clean by themselves; repeated rows stay repeated; an empty table stays empty, and an
+    empty benchmark leaves all rows.
+    """
+    name = fresh_name(docs, "found_id")
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias(name))
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col(name)), "left_anti")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fresh_name, table
 
 BUCKET_SECONDS = 4096
 
@@ -84,9 +84,10 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
 
 def with_payload(resolved: DataFrame, records: DataFrame) -> DataFrame:
     """Resolved records with the payload of the record they take it from, as column ``payload``."""
-    source = records.select(F.col("record_id").cast("long").alias("_from"), "payload")
+    begin = fresh_name(resolved, "from_record")
+    source = records.select(F.col("record_id").cast("long").alias(begin), "payload")
     taken = F.when(F.col("status") == "full", F.col("record_id")).otherwise(F.col("refers_to"))
-    return resolved.join(source, taken == F.col("_from"), "left").drop("_from")
+    return resolved.join(source, taken == F.col(begin), "left").drop(begin)
 
 
 def page_records(pages: DataFrame) -> DataFrame:

@@ -3,10 +3,11 @@
 import datetime as dt
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sluice.llm import queries, revisits
+from sluice.llm import common, queries, revisits
 
 
 def test_registered():
@@ -68,3 +69,39 @@ def test_pipeline_stages(spark, tmp_path):
     assert docs.columns == ["doc_id", "n_tokens", "ids", "round_trip"] and left > 50
     whole = corpus_pipeline.run(spark, sf)
     assert sorted(r["doc_id"] for r in whole.collect()) == sorted(r["doc_id"] for r in docs.collect())
+
+
+def test_pipeline_on_empty_tables_and_edge_rows(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["_found_id", "_dropped", "path_key", "score", "component", "label"]
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (2, None, "xx", "s", None), (None, "a " * 30_000, None, "s", 3)], docs.schema)
+    longest = docs.where("text is not null").orderBy(F.length("text").desc()).limit(1)
+    tables = {"empty": docs.limit(0), "edge": docs.unionByName(odd).unionByName(longest).unionByName(longest.withColumn("doc_id", F.lit(None).cast("long")))}
+    for which, rows in tables.items():
+        folder = str(tmp_path / which)
+        rows.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)]).write.parquet(f"{folder}/documents.parquet")
+        for other in ("labels", "benchmark"):
+            spark.read.parquet(f"{sf}/{other}.parquet").write.parquet(f"{folder}/{other}.parquet")
+        left = spark.read.parquet(f"{folder}/documents.parquet")
+        columns = left.columns
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, left, folder).write.parquet(f"{folder}/{name}")
+            before, left = left.count(), spark.read.parquet(f"{folder}/{name}")
+            assert left.count() <= before and (k == 4 or left.columns == columns)
+            if name == "near_dedup":
+                assert left.where("doc_id is not null").select("doc_id", "text").distinct().groupBy("text").count().where("count > 1 and text > ''").count() == 0
+        assert (left.count() == 0) == (which == "empty")
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_no_machine_local_folders_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_folder(Session)
