@@ -1,19 +1,20 @@
 """The corpus pipeline: the stages that turn ``documents`` into token sequences.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
-DataFrame; all but the last return the columns of ``documents``. Between stages the rows are
-written as Parquet and read again.
+DataFrame; all but the last return the columns of ``documents``, further ones included, whatever
+their names. Between stages the rows are written as Parquet and read again. An empty table stays
+empty; a text that is null counts as empty; rows with null ids and repeated rows go through every
+stage like others. Near-dedup keeps all rows with a null id, and all rows of the doc_id it keeps.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm import decontaminate, near_dedup, quality, sentencepiece_codec, toxicity
-from sluice.llm.common import table
+from sluice.llm.common import remove, shared_folder, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +56,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each but the last returns is written in the shared folder."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sluice-pipeline-")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        path = f"{shared}/pipeline-{uuid.uuid4().hex}-{name}"
+        path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)  # the next stage's rows are written: nothing reads these again
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
