@@ -276,6 +276,18 @@ def test_toxicity_scores_equal_a_naive_forward_pass():
     assert scores[-2] == scores[6] and scores[-1] == scores[3]  # null is empty; the same text has the same score anywhere
 
 
+def test_a_text_has_one_score_in_any_batch():
+    rnd = random.Random(11)
+    model = toxicity.Cnn.fresh(3)
+    text = " ".join(f"w{rnd.randrange(50)}" for _ in range(30))
+    found = set()
+    for k in range(40):
+        others = [" ".join(f"v{rnd.randrange(900)}" for _ in range(rnd.randrange(1, 400))) for _ in range(k)]
+        at = rnd.randrange(k + 1)
+        found.add(float(toxicity.Scorer(model).scores([*others[:at], text, *others[at:]])[at]))
+    assert len(found) == 1
+
+
 def test_toxicity_keeps_repeated_rows_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a text", 0.5, 9), (1, "a text", 0.5, 9), (None, None, None, None)], "doc_id long, text string, score double, predicted int")
     model = toxicity.fit([])
