@@ -11,7 +11,7 @@ from sluice.llm import common, queries, revisits
 
 
 def test_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_revisits_equal_sql(spark):
