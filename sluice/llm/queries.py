@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embedding_dedup, html_extract, license_scan, near_dedup, quality, quality_rules, revisits, sentencepiece_codec, token_counts, toxicity
+from . import collocations, decontaminate, embedding_dedup, html_extract, license_scan, near_dedup, periodic_runs, quality, quality_rules, revisits, sentencepiece_codec, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -17,9 +17,11 @@ def queries() -> dict:
         "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
         "op9_decontamination": decontaminate.op9_decontamination,
         "op10_html_extract": html_extract.op10_html_extract,
+        "op11_periodic_runs": periodic_runs.op11_periodic_runs,
         "op12_quality_rules": quality_rules.op12_quality_rules,
+        "op13_collocations": collocations.op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc_revisits": revisits.ORACLE, "op12_quality_rules": quality_rules.ORACLE}
+    return {"op6_warc_revisits": revisits.ORACLE, "op12_quality_rules": quality_rules.ORACLE, "op13_collocations": collocations.ORACLE}
