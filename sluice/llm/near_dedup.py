@@ -297,15 +297,17 @@ def prefix_pairs(rows: DataFrame, tokens: DataFrame) -> DataFrame:
 def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Components (node, component) of the texts that are linked.
 
-    ``sketches``: id, n, bands of distinct texts; ``texts``: id, text of at least those.
+    ``sketches``: id, h1, h2, n, bands of distinct texts; ``texts``: h1, h2, text of at least those.
     """
     shared = cut(shared_buckets(sketches))
     met = shared.groupBy("id").agg(F.sum("c").alias("met"))
     members = cut(shared.join(met, "id").select("key", "id", "n", "met"))
     release(shared)
-    ids = members.select("id").distinct()
+    ids = cut(sketches.select("id", "h1", "h2").join(members.select("id").distinct(), "id", "left_semi"))
     few = ids.count() <= BROADCAST_IDS
-    multisets = cut(multisets_of(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")).dropDuplicates(["id"]))
+    named = texts.join(F.broadcast(ids) if few else ids, ["h1", "h2"])
+    multisets = cut(multisets_of(named).dropDuplicates(["id"]))
+    release(ids)
 
     most = F.max(F.struct("met", F.xxhash64("id").alias("o"), F.col("id").alias("p"), F.col("n").alias("m")))
     pivots = members.groupBy("key").agg(most.alias("top")).select("key", "top.p", "top.m")
@@ -330,33 +332,50 @@ def links(sketches: DataFrame, texts: DataFrame) -> DataFrame:
     return found
 
 
+def _classes(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, h1, h2 (the text's key), class_id, kept."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    usable = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"(?U)\S"), F.lit(False))
+    keyed = rows.select("doc_id", usable.alias("usable"), "text", *_text_key(F.col("text")))
+    distinct = sketch(keyed.where("usable")).groupBy("h1", "h2").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    # A text is a node by a number of its own, which stands once it is written: different texts may share a doc_id.
+    distinct = cut(distinct.withColumn("id", F.monotonically_increasing_id()))
+    texts = keyed.where("usable").select("h1", "h2", "text")
+    comps = links(distinct.where("n > 0").select("id", "h1", "h2", "n", "bands"), texts)
+    nodes = distinct.select("h1", "h2", "id", "least").join(comps, F.col("id") == F.col("node"), "left")
+    nodes = cut(nodes.select("h1", "h2", "least", F.coalesce("component", "id").alias("comp")))
+    release(distinct)
+    release(comps)
+    named = nodes.groupBy("comp").agg(F.min("least").alias("class_id"))
+    final = nodes.join(named, "comp").select("h1", "h2", "class_id")
+    joined = keyed.where("usable").select("doc_id", "h1", "h2").join(final, ["h1", "h2"])
+    alone = keyed.where("not usable").select("doc_id", "h1", "h2", F.col("doc_id").alias("class_id"))
+    both = joined.select("doc_id", "h1", "h2", "class_id").unionByName(alone)
+    return both.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, class_id (smallest doc_id), kept.
 
     Texts are of one class if they are equal or linked by similarities of at least 0.8. Null and
-    blank texts are each a class of their own, so are rows with a null doc_id (class_id null, kept).
-    Repeated rows are of one class and are all kept or all dropped; different texts under one doc_id
-    count as one document. An empty table gives no rows; other columns are ignored.
+    blank texts (white space alone) are each a class of their own, so are rows with a null doc_id
+    (class_id null, kept). Repeated rows are of one class and are all kept or all dropped. Different
+    texts under one doc_id are different documents: each has the class of its own text, and of a
+    class the rows under its smallest doc_id are kept. An empty table gives no rows; other columns
+    are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    usable = F.col("doc_id").isNotNull() & (F.length(F.trim(F.coalesce("text", F.lit("")))) > 0)
-    keyed = rows.select("doc_id", usable.alias("usable"), "text", *_text_key(F.col("text")))
-    distinct = sketch(keyed.where("usable")).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    distinct = cut(distinct)
-    texts = keyed.where("usable").select(F.col("doc_id").alias("id"), "text")
-    comps = links(distinct.where("n > 0").select("id", "n", "bands"), texts)
-    final = cut(distinct.select("h1", "h2", "id").join(comps, F.col("id") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "id").alias("class_id")))
-    release(distinct)
-    joined = keyed.where("usable").join(final, ["h1", "h2"]).select("doc_id", "class_id")
-    alone = keyed.where("not usable").select("doc_id", F.col("doc_id").alias("class_id"))
-    return joined.unionByName(alone).select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+    return _classes(docs).select("doc_id", "class_id", "kept")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first of their class, with all their columns; edge cases as in ``near_duplicates``."""
-    gone = fresh_name(docs, "gone")
-    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("long") == F.col(gone), "left_anti")
+    """The rows of ``docs`` that are the first of their class, with all their columns; edge cases as in ``near_duplicates``.
+
+    Rows are told apart by doc_id and text, so a class keeps a text even where its doc_id has other texts that go.
+    """
+    gone = [fresh_name(docs, n) for n in ("gone_id", "gone_h1", "gone_h2")]
+    dropped = _classes(docs).where("not kept").select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "h1", "h2"), gone)]).distinct()
+    same = [a == F.col(n) for a, n in zip((docs["doc_id"].cast("long"), *_text_key(docs["text"].cast("string"))), gone)]
+    return docs.join(dropped, same, "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

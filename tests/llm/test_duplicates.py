@@ -96,6 +96,20 @@ def prefix_pairs_of(spark, texts):
     return {(r["a"], r["b"]) for r in found.collect()}
 
 
+def test_different_texts_under_one_id(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    near = b.replace("b59", "z")
+    rows = [(1, a), (2, a), (2, b), (3, near)]
+    for order in (rows, [rows[0], rows[2], rows[1], rows[3]], rows[::-1]):
+        docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(order)], "doc_id long, text string, gone_id int").coalesce(1)
+        found = near_dedup.near_duplicates(docs).collect()
+        assert sorted(map(tuple, found)) == [(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False)]
+        kept = near_dedup.keep_one(docs)
+        assert kept.columns == docs.columns and {(r["doc_id"], r["text"]) for r in kept.collect()} == {(1, a), (2, b)}
+    blank = spark.createDataFrame([(1, "\t"), (2, "\t"), (3, "\u00a0"), (4, "\u00a0")], "doc_id long, text string")
+    assert {tuple(r) for r in near_dedup.near_duplicates(blank).collect()} == {(k, k, True) for k in (1, 2, 3, 4)}
+
+
 def test_prefix_filter_loses_no_pair_and_skips_a_common_core(spark):
     rnd = random.Random(5)
     bases = [[f"w{rnd.randrange(40)}" for _ in range(rnd.choice([6, 30, 60, 61]))] for _ in range(4)]
