@@ -23,8 +23,10 @@ from .token_counts import chunks
 
 WINDOW = 5  # template words
 LONG_WINDOW = 13  # one such window is enough
+LEAST_WORDS = 4  # words of an item that is looked for at least; one under WINDOW words must stand whole, word by word
 LEAST_COVER = 0.8  # share of an item's windows otherwise
-BROADCAST_WINDOWS = 1_000_000  # benchmark windows up to which their hashes are sent to every task
+BROADCAST_WINDOWS = 1_000_000  # benchmark windows up to which they are sent to every task
+MAP_BITS = 27  # bits, as a power of two, of the map of hashes that is sent instead of more windows
 CHUNK_CHARS = 3_000_000
 
 # Unit words.
@@ -47,7 +49,7 @@ _LITERAL, _TITLE, _END, _NUMBER, _UNIT, _BORDER = range(6)
 _SLOT = {_NUMBER: "<number>", _UNIT: "<unit>", _TITLE: "<name>"}
 _FACTOR = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
-_EXACT, _WEAK, _STRONG = range(3)
+_EXACT, _WEAK, _STRONG, _WHOLE = range(4)
 
 
 def _hash(word: str) -> int:
@@ -155,50 +157,115 @@ def window_hashes(value: np.ndarray, plain: np.ndarray, kind: np.ndarray, size:
     return hashes, mode
 
 
-def windows(table_: DataFrame, key: str, wanted: np.ndarray | None) -> DataFrame:
-    """Windows of each text: key, form, mode, size, at, hash, template, slots.
+def _whole_items(owner: np.ndarray, plain: np.ndarray, kind: np.ndarray, size: int, items: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of runs of ``size`` words within one text; of ``items`` only those that are all of it.
 
-    With ``wanted`` (sorted hashes) only those windows.
+    ``owner``, ``plain`` and ``kind`` are of the form whose words are all literal.
+    """
+    words = np.flatnonzero(kind != _BORDER)
+    owner, plain = owner[words], plain[words]
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    inside = owner[:n] == owner[size - 1 :]
+    if items:
+        many = np.bincount(owner)
+        inside &= many[owner[:n]] == size
+    sums = _sums(plain)
+    hashes = (sums[size:] - sums[:n]) * _powers(len(plain) + 1)[1][:n]
+    found = np.flatnonzero(inside)
+    return words[found], hashes[found]
+
+
+def windows(table_: DataFrame, key: str, wanted=None, items: bool = False, least_words: int = LEAST_WORDS) -> DataFrame:
+    """Windows of each text: key, part (told by the text), form, mode, size, at, hash, template, slots.
+
+    ``wanted`` tells which hashes count (``_Wanted``, as a broadcast variable), if not all. Runs of
+    ``least_words`` up to WINDOW - 1 words are windows too: those that are a whole text of
+    ``items``, and any of other texts.
     """
 
     def run(batches):
-        maybe = None
-        if wanted is not None:
-            maybe = np.zeros(1 << 20, bool)
-            maybe[wanted >> np.uint64(44)] = True
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            keys, parts, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [t or "" for t in batch.column(2).to_pylist()]
             done = 0
             for some in chunks(texts, CHUNK_CHARS):
                 forms, words = canonical(some)
-                out = {n: [] for n in ("key", "form", "mode", "size", "at", "hash", "template", "slots")}
+                out = {n: [] for n in ("key", "part", "form", "mode", "size", "at", "hash", "template", "slots")}
+
+                def add(form, size, i, mode, hash_, owner, begins, kinds, where):
+                    exact = mode in (_EXACT, _WHOLE)
+                    text = [words[k].lower() for k in where]
+                    out["key"].append(keys[done + owner])
+                    out["part"].append(parts[done + owner])
+                    out["form"].append(form)
+                    out["mode"].append(int(mode))
+                    out["size"].append(size)
+                    out["at"].append(int(i - begins))
+                    out["hash"].append(int(hash_.astype(np.int64)))
+                    out["template"].append(" ".join(text if exact else [_SLOT.get(k, w) for k, w in zip(kinds, text)]))
+                    out["slots"].append([] if exact else [w for k, w in zip(kinds, text) if k in _SLOT])
+
                 for form, (owner, value, plain, kind, where) in enumerate(forms):
                     begins = np.searchsorted(owner, np.arange(len(some)))
                     for size in (WINDOW, LONG_WINDOW):
                         hashes, mode = window_hashes(value, plain, kind, size)
-                        found = np.flatnonzero(mode >= 0 if maybe is None else (mode >= 0) & maybe[hashes >> np.uint64(44)])
-                        if wanted is not None and len(found):
-                            found = found[wanted[np.minimum(np.searchsorted(wanted, hashes[found]), len(wanted) - 1)] == hashes[found]]
+                        found = np.flatnonzero(mode >= 0)
+                        if wanted is not None:
+                            found = found[wanted.value.has(hashes[found])]
                         for i in found.tolist():
-                            exact = mode[i] == _EXACT
-                            kinds = kind[i : i + size].tolist()
-                            text = [words[k].lower() for k in where[i : i + size].tolist()]
-                            out["key"].append(keys[done + owner[i]])
-                            out["form"].append(form)
-                            out["mode"].append(int(mode[i]))
-                            out["size"].append(size)
-                            out["at"].append(int(i - begins[owner[i]]))
-                            out["hash"].append(int(hashes[i].astype(np.int64)))
-                            out["template"].append(" ".join(text if exact else [_SLOT.get(k, w) for k, w in zip(kinds, text)]))
-                            out["slots"].append([] if exact else [w for k, w in zip(kinds, text) if k in _SLOT])
+                            add(form, size, i, mode[i], hashes[i], owner[i], begins[owner[i]], kind[i : i + size].tolist(), where[i : i + size].tolist())
+                owner, value, plain, kind, where = forms[-1]
+                begins = np.searchsorted(owner, np.arange(len(some)))
+                for size in range(least_words, WINDOW):
+                    found, hashes = _whole_items(owner, plain, kind, size, items)
+                    hashes ^= np.uint64(size)  # apart from those of windows
+                    if wanted is not None:
+                        good = wanted.value.has(hashes)
+                        found, hashes = found[good], hashes[good]
+                    for i, hash_ in zip(found.tolist(), hashes):
+                        add(len(forms) - 1, size, i, _WHOLE, hash_, owner[i], begins[owner[i]], [], where[i : i + size].tolist())
                 done += len(some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["key"], pa.int64()), pa.array(out["form"], pa.int32()), pa.array(out["mode"], pa.int32()), pa.array(out["size"], pa.int32()),
+                    [pa.array(out["key"], pa.int64()), pa.array(out["part"], pa.int64()), pa.array(out["form"], pa.int32()), pa.array(out["mode"], pa.int32()), pa.array(out["size"], pa.int32()),
                      pa.array(out["at"], pa.int64()), pa.array(out["hash"], pa.int64()), pa.array(out["template"], pa.string()), pa.array(out["slots"], pa.list_(pa.string()))],
                     names=list(out))
 
-    return table_.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "key long, form int, mode int, size int, at long, hash long, template string, slots array<string>")
+    text = F.col("text").cast("string")
+    return table_.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("part"), text.alias("text")).mapInArrow(
+        run, "key long, part long, form int, mode int, size int, at long, hash long, template string, slots array<string>")
+
+
+class _Wanted:
+    """Which hashes count: sorted ones, or a map of some of their bits that lets few others through."""
+
+    def __init__(self, hashes: np.ndarray | None = None, bits: np.ndarray | None = None):
+        self.hashes, self.bits = hashes, bits
+        if hashes is not None:
+            self.bits = np.zeros(1 << 20, bool)
+            self.bits[hashes >> np.uint64(44)] = True
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        if self.hashes is None:
+            slot = (hashes & np.uint64((8 * len(self.bits)) - 1)).astype(np.int64)
+            return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool)
+        good = self.bits[hashes >> np.uint64(44)]
+        some = hashes[good]
+        good[good] = self.hashes[np.minimum(np.searchsorted(self.hashes, some), len(self.hashes) - 1)] == some
+        return good
+
+
+def _wanted_of(ours: DataFrame, small: bool) -> _Wanted:
+    if small:  # bounded: at most BROADCAST_WINDOWS numbers
+        return _Wanted(np.sort(np.array([r[0] for r in ours.select("hash").distinct().collect()], np.int64).astype(np.uint64)))
+    slots = ours.select((F.col("hash").bitwiseAND(F.lit((1 << MAP_BITS) - 1)) + 1).alias("slot"))
+    sectors = slots.groupBy(F.expr("bitmap_bucket_number(slot)").alias("sector")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
+    bits = np.zeros((1 << MAP_BITS) // 8, np.uint8)
+    for sector, packed in sectors.collect():  # at most 4,096 rows of 4 KB, whatever the benchmark's size
+        bits[(sector - 1) * 4096 : sector * 4096] = np.frombuffer(packed, np.uint8)
+    return _Wanted(bits=bits)
 
 
 def _one_to_one(pairs):
@@ -207,60 +274,62 @@ def _one_to_one(pairs):
         F.size(values) == F.size(F.array_distinct(F.transform(values, lambda p: p["slots"]))))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that hold benchmark items: doc_id, item_ids (sorted), cover (largest share of an item).
+def contaminated(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """Texts that hold benchmark items: doc_id, part (told by the text), item_ids (sorted), cover (largest share of an item).
 
-    Null ids are one more id; null texts hold nothing; items of fewer than five words are never
-    found; repeated rows and items count once. The share is of an item's windows with more literal
-    words than slots, or of all its windows, whichever is larger.
+    A document is a doc_id, null or not, and a text: different texts under one doc_id are apart.
+    Null texts hold nothing; repeated rows and items count once. The share is of an item's windows
+    with more literal words than slots, or of all its windows, whichever is larger. Items of under
+    five words must stand whole, word by word; those of under ``least_words`` are never found.
     """
-    ours = cut(windows(benchmark.where("item_id is not null"), "item_id", None)
+    ours = cut(windows(benchmark.where("item_id is not null"), "item_id", items=True, least_words=least_words)
                .select(F.col("key").alias("item_id"), "form", "mode", "size", F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots")).distinct())
     small = ours.count() <= BROADCAST_WINDOWS
-    wanted = None
-    if small:  # bounded: at most BROADCAST_WINDOWS numbers
-        wanted = np.sort(np.array([r[0] for r in ours.select("hash").distinct().collect()], np.int64).astype(np.uint64))
-    theirs = windows(docs.select("doc_id", "text"), "doc_id", wanted).withColumnRenamed("key", "doc_id")
+    wanted = docs.sparkSession.sparkContext.broadcast(_wanted_of(ours, small))
+    theirs = windows(docs.select("doc_id", "text"), "doc_id", wanted, least_words=least_words).withColumnRenamed("key", "doc_id")
     pairs = theirs.join(F.broadcast(ours) if small else ours, ["hash", "form", "mode", "size", "template"])
     strong, both = F.col("mode") == _STRONG, F.arrays_zip("item_slots", "slots")
-    aligned = pairs.groupBy("doc_id", "item_id", "form", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    aligned = pairs.groupBy("doc_id", "part", "item_id", "form", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set(F.struct("mode", "size", "item_at")).alias("found"),
         F.flatten(F.collect_set(F.when(strong, both))).alias("strong_slots"), F.flatten(F.collect_set(both)).alias("slots"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("mode") != _EXACT, F.split("template", " "))))).alias("words"))
+        F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("mode").isin(_EXACT, _WHOLE), F.split("template", " "))))).alias("words"))
     # Templates of a single literal word say too little.
     telling = F.size(F.filter("words", lambda w: ~w.startswith("<"))) >= 2
-    aligned = aligned.select("doc_id", "item_id", "form", "found", _one_to_one(F.col("strong_slots")).alias("strong_fits"), (_one_to_one(F.col("slots")) & telling).alias("fits"))
+    aligned = aligned.select("doc_id", "part", "item_id", "form", "found", _one_to_one(F.col("strong_slots")).alias("strong_fits"), (_one_to_one(F.col("slots")) & telling).alias("fits"))
     whole, mode = F.col("w.size") == WINDOW, F.col("w.mode")
-    counted = aligned.select("doc_id", "item_id", "form", "strong_fits", "fits", F.explode("found").alias("w"))
+    counted = aligned.select("doc_id", "part", "item_id", "form", "strong_fits", "fits", F.explode("found").alias("w"))
     counted = counted.where(F.when(mode == _STRONG, F.col("strong_fits")).when(mode == _WEAK, F.col("fits")).otherwise(True))
-    totals = ours.where(F.col("size") == WINDOW).groupBy("item_id", "form").agg(
+    counted = counted.withColumn("whole_item", mode == _WHOLE)
+    totals = ours.where((F.col("size") == WINDOW) | (F.col("mode") == _WHOLE)).groupBy("item_id", "form").agg(
         F.countDistinct("item_at").alias("total"), F.countDistinct(F.when(strong, F.col("item_at"))).alias("strong_total"))
-    hit = counted.groupBy("doc_id", "item_id", "form").agg(
+    hit = counted.groupBy("doc_id", "part", "item_id", "form").agg(
         F.countDistinct(F.when(whole, F.col("w.item_at"))).alias("n"), F.countDistinct(F.when(whole & (mode == _STRONG), F.col("w.item_at"))).alias("strong_n"),
-        F.max("w.size").alias("longest"))
+        F.max("w.size").alias("longest"), F.max("whole_item").alias("whole_item"))
     hit = hit.join(F.broadcast(totals) if small else totals, ["item_id", "form"])
     hit = hit.withColumn("cover", F.greatest(F.col("n") / F.col("total"), F.coalesce(F.col("strong_n") / F.nullif("strong_total", F.lit(0)), F.lit(0.0))))
+    hit = hit.withColumn("cover", F.when(F.col("whole_item"), 1.0).otherwise(F.col("cover")))
     hit = hit.where((F.col("cover") >= LEAST_COVER) | (F.col("longest") == LONG_WINDOW))
-    return hit.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("cover").alias("cover"))
+    return hit.groupBy("doc_id", "part").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("cover").alias("cover"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id isn't contaminated, with all their columns, whatever their names.
+    """The rows of ``docs`` whose text isn't contaminated, with all their columns, whatever their names.
 
-    Rows of one doc_id, and those with a null one, go or stay together; rows with a null or empty
-    text are clean by themselves; repeated rows stay repeated; an empty table stays empty, and an
-    empty benchmark leaves all rows.
+    Rows are told apart by doc_id and text, so a clean text stays whatever else has its doc_id, a
+    null one too; rows with a null or empty text are clean; repeated rows stay repeated or go
+    together; an empty table stays empty, and an empty benchmark leaves all rows.
     """
-    name = fresh_name(docs, "found_id")
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias(name))
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col(name)), "left_anti")
+    name, part = fresh_name(docs, "found_id"), fresh_name(docs, "found_part")
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias(name), F.col("part").alias(part))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(name)) & (F.xxhash64(docs["text"].cast("string")) == F.col(part))
+    return docs.join(found, same, "left_anti")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, contaminated, item_ids (empty if clean), cover."""
-    found = contaminated(docs, benchmark).withColumnRenamed("doc_id", "_found_id")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_found_id")), "left")
+    found = contaminated(docs, benchmark).withColumnsRenamed({"doc_id": "found_id", "part": "found_part"})
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("part"))
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("part") == F.col("found_part")), "left")
     return joined.select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"),
                          F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("cover", F.lit(0.0)).alias("cover"))
 
@@ -268,4 +337,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated documents, one row each: doc_id, contaminated (true), items (comma-joined), cover."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", F.lit(True).alias("contaminated"), F.array_join(F.transform("item_ids", lambda i: i.cast("string")), ",").alias("items"), "cover")
+    # Different texts under one doc_id are reported together.
+    whole = found.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.max("cover").alias("cover"))
+    return whole.select("doc_id", F.lit(True).alias("contaminated"), F.array_join(F.transform("item_ids", lambda i: i.cast("string")), ",").alias("items"), "cover")

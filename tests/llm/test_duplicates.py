@@ -266,11 +266,38 @@ def test_names_at_sentence_starts_and_changed_case(spark):
     assert found_in(spark, "What is the capital of France?", ["Paris is the capital of France."]) == [False]
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    item = "Which river runs through the old town, past the mill and under the two stone bridges to the sea?"
+    words = item.split()
+    rows = [(None, "Clean prose, nothing of the benchmark in it."), (None, "Before. " + item), (7, " ".join(words[:10])), (7, " ".join(words[10:])), (8, item), (8, "Clean text of the same id."), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("found_part", F.lit("x"))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontaminate.decontaminate(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.select("doc_id", "text").collect())) == sorted(str(r) for r in docs.select("doc_id", "text").collect() if item not in (r["text"] or ""))
+    assert {(r["doc_id"], r["contaminated"]) for r in decontaminate.report(docs, bench).collect()} == {(None, False), (None, True), (7, False), (8, True), (8, False), (9, False)}
+
+
+def test_items_of_four_words_must_stand_whole(spark):
+    assert found_in(spark, "What is two plus", ["He asked: what is two plus, and left", "What is two", "what isn't two plus", "what. is two plus", "what is twoplus four", "WHAT IS TWO PLUS"]) == [True, False, False, True, False, True]
+    assert found_in(spark, "Name the largest planet!", ["Please name the largest planet", "Name the largest red planet"]) == [True, False]
+    docs, bench = spark.createDataFrame([(1, "so short one here it is"), (2, "short one")], "doc_id long, text string"), spark.createDataFrame([(1, "short one here")], "item_id long, text string")
+    assert decontaminate.contaminated(docs, bench).count() == 0
+    assert [r["doc_id"] for r in decontaminate.contaminated(docs, bench, least_words=3).collect()] == [1]
+
+
 def test_large_benchmarks_are_joined_by_shuffle(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
     small = sorted(map(str, decontaminate.report(docs, bench).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 10)
     assert sorted(map(str, decontaminate.report(docs, bench).collect())) == small
+    # Only what the map lets through leaves its task.
+    ours = decontaminate.windows(bench, "item_id", items=True)
+    wanted = spark.sparkContext.broadcast(decontaminate._wanted_of(ours, False))
+    here = {r["hash"] for r in ours.select("hash").collect()}
+    moved = [r["hash"] for r in decontaminate.windows(docs, "doc_id", wanted).select("hash").collect()]
+    told = sum(h in here for h in moved)
+    assert 0 < told <= len(moved) <= told + 200
 
 
 def test_decontamination_equals_brute_force(spark):
