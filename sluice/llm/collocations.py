@@ -28,7 +28,7 @@ LONGEST = 3  # words of a candidate
 TOP = 2_000  # candidates of a language that are returned
 COVERED = 50  # percent of a phrase's occurrences inside a longer one from which it is left out
 SALTS = 64  # parts of a language that are ranked apart at first
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000  # bytes of text that are counted at once
 TILE = 1 << 9  # a tile has TILE x TILE places
 DENSE = TILE * TILE // 16  # entries from which a tile is counted by direct address
 WORD_BITS, PAIR_BITS = 24, 27  # bits of the bitmaps, as powers of two
@@ -172,7 +172,8 @@ def phrase_counts(chunks: DataFrame, size: int, words_map, pairs_map=None) -> Da
 
     def run(batches):
         for batch in batches:
-            for lang, codes, words in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for row in range(batch.num_rows):  # one chunk at a time: a batch may hold many
+                lang, codes, words = (batch.column(k)[row].as_py() for k in range(3))
                 codes = np.frombuffer(codes, np.int32)
                 if len(codes) < size:
                     continue
