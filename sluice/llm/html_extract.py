@@ -39,15 +39,23 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split())
 SIBLINGS = frozenset("li dt dd tr td th option".split())
-# Words in class and id that mark boilerplate, that hint at it, that mark readers' comments, and that mark the article.
+# Words in class and id that mark boilerplate wherever they stand in a name; that mark it as a name's head word;
+# that hint at it; that mark notices as whole names; that mark readers' comments; and that mark the article.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr "
-    "popup modal overlay newsletter subscribe subscription signup login sidebar menu nav navbar navigation breadcrumb "
-    "breadcrumbs footer masthead topbar toolbar share sharing social pagination".split())
+    "ad ads advert adverts advertisement advertising adsense sponsored promo cookie cookies consent gdpr "
+    "newsletter sidebar navbar breadcrumb breadcrumbs masthead topbar toolbar pagination".split())
+HEAD_MARKS = frozenset(
+    "sponsor promotion popup modal overlay subscribe subscription signup login menu nav navigation footer share sharing social".split())
 HINTS = frozenset(
     "banner notice notices alert side rail header related recommended recommendations trending discussion replies reply "
     "respond widget widgets pager skip copyright legal search".split())
+NOTICES = frozenset("notice notices alert".split())
 REMARKS = frozenset("comment comments commentlist disqus".split())
+# Words that say what kind of box a name's head word stands in.
+BOXES = frozenset(
+    "area bar block body box button buttons col column container content form group icon icons inner item items left link links list "
+    "outer panel right row section slot text title top bottom unit widget widgets wrap wrapper zone".split())
+STAYING = frozenset("sidebar footer".split()) | REMARKS  # whole names that hold for the largest part of a page too
 CONTENT_HINTS = frozenset("article post entry content story main".split())
 ARTICLE_HINTS = CONTENT_HINTS | frozenset("body text".split())
 MODIFIERS = frozenset("no has with without is hide show open closed".split())  # "no-sidebar" says how a page is laid out
@@ -57,6 +65,7 @@ SAMPLE_PAGES, SAMPLE_BLOCKS = 400, 60  # pages the classifier is fitted on at mo
 PRIOR = (0.0, 0.8, -3.0, 0.4, 0.8)
 RIDGE, STEPS = 4.0, 30
 TIE, PARENT_TIE = 0.5, 0.7
+READS = 200  # characters from which an element of an article with few links reads like text, whatever its name
 CHUNK_CHARS = 4_000_000
 
 _TAG = re.compile(
@@ -64,6 +73,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _STOP = re.compile(r"[.!?…:;]")
+_COPYRIGHT = re.compile(r"(?:copyright\b|©|\(c\))[\s©]*(?:\(c\)\s*)?\d{4}\b(?:[^.!?]{0,80}|.{0,80}\breserved\b.{0,20})\Z", re.I | re.S)
 
 
 @dataclass
@@ -74,11 +84,13 @@ class Frame:
     above: "Frame | None"
     number: int
     words: frozenset = frozenset()
+    kinds: frozenset = frozenset()  # what its names say: mark, head, notice, remarks, staying
     role: str = ""
     hidden: bool = False
     link: bool = False
     heading: bool = False
     chars: int = 0  # of text in it
+    links: int = 0  # of those in links
     mains: int = 0  # article and main elements in it
     main: int = 0  # 2: in an article or main element, 1: in one whose class or id says so
     boilerplate: bool = False
@@ -104,14 +116,32 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
-def _words(value: str) -> set[str]:
-    """Lower-cased parts of the names in a class or id; names that say how a page is laid out are left out."""
-    found = set()
-    for name in value.split():
-        parts = [w.lower() for w in _NAME_PARTS.findall(name)]
-        if parts and parts[0] not in MODIFIERS:
-            found.update(parts)
-    return found
+def _names(value: str) -> list[list[str]]:
+    """Lower-cased parts of each name in a class or id; names that say how a page is laid out are left out."""
+    names = [[w.lower() for w in _NAME_PARTS.findall(name)] for name in value.split()]
+    return [parts for parts in names if parts and parts[0] not in MODIFIERS]
+
+
+def _kinds(names: list[list[str]]) -> frozenset:
+    """What an element's names say by marks: in "share-price" the head word is price, in "share-buttons" share."""
+    kinds, words = set(), {w for parts in names for w in parts}
+    for parts in names:
+        named = [w for w in parts if not w.isdigit()]
+        while len(named) > 1 and named[-1] in BOXES:
+            named.pop()
+        head = named[-1] if named else ""
+        whole = len(parts) == 1
+        if MARKS & set(parts):
+            kinds.add("mark")
+        if head in HEAD_MARKS:
+            kinds.add("head")
+        if whole and head in NOTICES:
+            kinds.add("notice")
+        if head in REMARKS or (len(named) > 1 and named[0] in REMARKS and head not in CONTENT_HINTS):
+            kinds.add("remarks")
+        if whole and head in STAYING and not words & ARTICLE_HINTS:
+            kinds.add("staying")
+    return frozenset(kinds)
 
 
 def _open(name: str, raw: str, above: Frame, number: int) -> Frame:
@@ -119,7 +149,9 @@ def _open(name: str, raw: str, above: Frame, number: int) -> Frame:
     attributes = _attributes(raw) if "=" in raw or "hidden" in raw else {}
     frame.role = attributes.get("role", "").lower()
     if name in HINTED:
-        frame.words = frozenset(_words(attributes.get("class", "")) | _words(attributes.get("id", "")))
+        names = _names(attributes.get("class", "")) + _names(attributes.get("id", ""))
+        if names:
+            frame.words, frame.kinds = frozenset(w for parts in names for w in parts), _kinds(names)
     style = attributes.get("style", "").replace(" ", "").lower()
     frame.hidden |= "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
     return frame
@@ -129,36 +161,43 @@ def _place(frames: list[Frame]) -> None:
     """Settle what each element's place says; ``frames`` has parents before their children.
 
     What holds all article and main elements, or most of the page's text, is no boilerplate for
-    what it is called.
+    what it is called, unless it is called a sidebar, a footer or comments and nothing else. In an
+    article a name that may be a subject too (a menu, a social history) counts only for what is
+    short or mostly links.
     """
     for frame in reversed(frames):
         if frame.above:
             frame.above.chars += frame.chars
+            frame.above.links += frame.links
             frame.above.mains += frame.mains + (frame.name in MAIN or frame.role in MAIN)
     whole = frames[0]
     for frame in frames[1:]:
-        above, words = frame.above, frame.words
+        above, words, kinds = frame.above, frame.words, frame.kinds
         is_main = frame.name in MAIN or frame.role in MAIN
-        most = frame.mains == whole.mains > 0 or (2 * frame.chars > whole.chars and (frame.mains > 0 or not whole.mains))
+        mains = frame.mains == whole.mains > 0
+        most = mains or (2 * frame.chars > whole.chars and (frame.mains > 0 or not whole.mains))
+        lifted = most and "staying" not in kinds
         frame.main, frame.boilerplate, frame.firm, frame.hinted = above.main, above.boilerplate, above.firm, above.hinted
-        remarks = bool(words & REMARKS) and not most
+        remarks = "remarks" in kinds and not lifted
         if is_main:
             frame.main = 2
             if not frame.firm:
                 frame.boilerplate = frame.hinted = False
-        elif frame.name not in ("html", "body") and not most:
-            marks, hints = words & MARKS, words & HINTS
+        elif frame.name not in ("html", "body") and not lifted:
+            reads = above.main and frame.chars >= READS and 10 * frame.links < 3 * frame.chars
+            marked = "mark" in kinds or "notice" in kinds or ("head" in kinds and not reads)
+            hints = words & HINTS
             if hints == {"header"} and (words & ARTICLE_HINTS or above.main):
                 hints = set()
-            frame.boilerplate |= bool(marks) or frame.name in CONTROLS
-            frame.firm |= bool(marks)
+            frame.boilerplate |= marked or frame.name in CONTROLS
+            frame.firm |= marked
             frame.hinted |= bool(hints)
-            if not marks and not hints and not remarks and words & CONTENT_HINTS:
+            if not marked and not hints and not remarks and words & CONTENT_HINTS:
                 frame.main = max(frame.main, 1)
         elif frame.name not in ("html", "body") and words & CONTENT_HINTS and not remarks:
             frame.main = max(frame.main, 1)
         aside = frame.name in ASIDE or frame.role in ROLES or (frame.name == "header" and not above.main)
-        if remarks or (aside and not most):
+        if remarks or (aside and not (mains if frame.name == "footer" else lifted)):
             frame.boilerplate = frame.firm = True
 
 
@@ -174,6 +213,7 @@ def blocks_of(page: str) -> list[Block]:
             block.pieces.append(text)
             n = len(text.strip())
             top.chars += n
+            top.links += n * top.link
             block.chars += n
             block.link_chars += n * top.link
             block.frame = block.frame if block.chars > n else top  # the place of the first text
@@ -259,7 +299,7 @@ def leaning(block: Block, text: str, level: int, model: tuple[float, ...] = PRIO
     odds = sum(a * b for a, b in zip(model, features(block, text)))
     # In an article the text alone decides little; outside one, or on a page that marks none, it decides.
     score = 3.0 + max(-1.0, min(1.0, 0.3 * odds)) if main else (-2.0 if level else 1.0) + max(-3.0, min(3.0, odds))
-    return score - 12.0 * frame.boilerplate - 2.5 * frame.hinted
+    return score - 12.0 * (frame.boilerplate or bool(_COPYRIGHT.match(text))) - 2.5 * frame.hinted
 
 
 def minimum_cut(lean: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -339,7 +379,7 @@ def train(pages: DataFrame) -> tuple[float, ...]:
     Blocks in an article count as content, others as boilerplate. Pages are drawn by a hash of
     their id; only figures of up to ``SAMPLE_BLOCKS`` blocks a page reach the driver.
     """
-    marked = pages.where(F.lower("html").rlike(r"<(article|main)\b")).where("page_id is not null").select("page_id", F.xxhash64("page_id", F.lit(3)).alias("draw"))
+    marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)\b")).where("page_id is not null").select("page_id", F.xxhash64("page_id", F.lit(3)).alias("draw"))
     chosen = marked.distinct().orderBy("draw", "page_id").limit(SAMPLE_PAGES).select("page_id")
 
     def run(batches):

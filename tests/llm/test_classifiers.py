@@ -172,6 +172,29 @@ def test_articles_are_not_lost(page, kept):
     assert html_extract.main_text(page) == "\n".join(" ".join(x.split()) for x in kept)
 
 
+SECTION = f"<h2>Heading</h2><p>{LONG}</p>"
+
+
+@pytest.mark.parametrize("page, kept", [
+    (f'<article><p>{LONG}</p><div class="share-price">{SECTION}</div></article>', [LONG, "Heading", LONG]),
+    (f'<article><p>{LONG}</p><div class="social-history">{SECTION}</div></article>', [LONG, "Heading", LONG]),
+    (f'<article><p>{LONG}</p><div class="subscription-models">{SECTION}</div></article>', [LONG, "Heading", LONG]),
+    (f'<article><p>{LONG}</p><section id="menu">{SECTION}</section></article>', [LONG, "Heading", LONG]),
+    (f'<article><p>{LONG}</p><div class="share-buttons"><a href=x>Post</a> <a href=y>Mail</a></div><div class="menu"><a href=x>One</a></div></article>', [LONG]),
+    (f'<article><p>{LONG}</p><div class="ad-slot"><p>{LONG}</p></div><div class="newsletter-box"><p>{LONG}</p></div></article>', [LONG]),
+    (f'<article><p>{LONG}</p><div class="notice"><p>{LONG}</p></div></article>', [LONG]),
+    (f'<body><div><h1>Title here</h1><p>{LONG}</p></div><section class="comments"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section></body>', ["Title here", LONG]),
+    (f'<body><div><p>{LONG}</p></div><section id="comments"><article><p>{LONG}</p></article><article><p>{LONG}</p></article></section></body>', [LONG]),
+    (f'<body><div><p>{LONG}</p></div><div class="comment-list"><p>Nice one, thanks a lot for it.</p></div></body>', [LONG]),
+    (f'<body><div><p>{LONG}</p></div><div class="sidebar"><p>{LONG}</p><p>{LONG}</p></div><div class="footer"><p>{LONG}</p></div></body>', [LONG]),
+    (f'<body><div><p>{LONG}</p></div><p>Copyright 2020 Site</p></body>', [LONG]),
+    (f'<body><article><p>{LONG}</p><p>Copyright 2020 was a year of new laws, and courts read them in several ways. More follows.</p></article><p>© 2021 Site. All rights reserved.</p></body>',
+     [LONG, "Copyright 2020 was a year of new laws, and courts read them in several ways. More follows."]),
+])
+def test_names_that_are_subjects_stay_and_boilerplate_goes(page, kept):
+    assert html_extract.main_text(page) == "\n".join(" ".join(x.split()) for x in kept)
+
+
 def test_minimum_cut_equals_exhaustive_search():
     rnd = random.Random(7)
     for _ in range(40):
