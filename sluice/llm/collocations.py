@@ -18,6 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -201,11 +202,14 @@ def phrase_counts(chunks: DataFrame, size: int, words_map, pairs_map=None) -> Da
                 for k in range(0, len(c), 100_000):
                     part = slice(k, k + 100_000)
                     n = len(c[part])
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), *[dictionary.take(pa.array(x[part])) for x in columns], pa.array(c[part], pa.int64())],
-                                                     names=["lang", *names, "c"])
-
-    found = chunks.select("lang", "codes", "words").mapInArrow(run, "lang string, " + ", ".join(f"{n} string" for n in names) + ", c long")
-    return found.groupBy("lang", *names).agg(F.sum("c").alias("a")).where(F.col("a") >= LEAST)
+                    phrase = pc.binary_join_element_wise(*[dictionary.take(pa.array(x[part])) for x in columns], " ")
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), phrase, pa.array(c[part], pa.int64())], names=["lang", "phrase", "c"])
+
+    found = chunks.select("lang", "codes", "words").mapInArrow(run, "lang string, phrase string, c long")
+    # A chunk has counted its phrases already: dealt out at once, they need no table of a task's own. A phrase has one row a chunk.
+    found = found.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("c").alias("a")).where(F.col("a") >= LEAST)
+    words_ = F.split("phrase", " ")
+    return found.select("lang", *[F.get(words_, k).alias(n) for k, n in enumerate(names)], "a")
 
 
 def _score(a: str, low: str, rest: str) -> Column:
