@@ -79,6 +79,19 @@ def ended_snapshots(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tup
     return _carried(last, ended, list(keys), ~F.col("_switch"))
 
 
+def snapshot_changes(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER) -> DataFrame:
+    """The keys whose snapshot ended or began (``gone``: it isn't ended any more), by their last switch; reduced before the shuffle."""
+    switches = df.select(*keys, F.struct(*order).alias("at"), _switch().alias("begun")).where("begun is not null")
+    return switches.groupBy(*keys).agg(F.max_by("begun", "at").alias("gone"))
+
+
+def key_changes(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER) -> DataFrame:
+    """The keys (``keys`` and key) that changed, ``gone`` if they were deleted last; reduced before the shuffle."""
+    rows = df.select(*keys, F.col("fields")["key"].alias("key"), F.struct(*order).alias("at"), F.col("fields")["command"].alias("command"))
+    last = rows.where(F.col("command").isin(*CHANGES)).groupBy(*keys, "key").agg(F.max_by("command", "at").alias("command"))
+    return last.select(*keys, "key", (F.col("command") == "DELETE").alias("gone"))
+
+
 def _carried(last: DataFrame, before: DataFrame | None, on: list[str], holds: Column) -> DataFrame:
     """The keys that hold by their last row, and those of ``before`` that had no row."""
     now = last.where(holds).select(*on)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import is_tombstone, split_decodable
 from ..functions.paths import Formats
-from ..operators.command import auto_command, check_command_fields, ended_snapshots, enforce_command, live_keys, snapshot_control, tag_snapshot
+from ..operators.command import auto_command, check_command_fields, enforce_command, key_changes, snapshot_changes, snapshot_control, tag_snapshot
 from ..operators.errors import error_rows
 from ..operators.fields import map_fields
 from ..operators.routing import expand_templates, route
+from ..streaming.kept import LiveSubscriptions
 
 
 @dataclass(frozen=True)
@@ -51,19 +53,22 @@ def process(records: DataFrame, subs: DataFrame, spec: Spec) -> tuple[DataFrame,
 
 
 class Changes:
-    """``process`` over micro-batches: takes what command mode keeps between them, and returns it as it is afterwards.
+    """``process`` over micro-batches: takes what command mode keeps between them, and returns what changes in it.
 
     What is kept (session, item, key): in ``enforce`` mode the items whose snapshot has ended, in
-    ``auto`` mode with ``track_keys`` the keys that are there; else nothing.
+    ``auto`` mode with ``track_keys`` the keys that are there; else nothing. ``initial`` has what is
+    kept before the first batch. ``subs`` may be ``LiveSubscriptions``, which change while the
+    stream runs.
     """
 
     KEPT = "session string, item string, key string"
 
-    def __init__(self, subs: DataFrame, spec: Spec):
-        self.subs, self.spec = subs, spec
+    def __init__(self, subs: DataFrame | LiveSubscriptions, spec: Spec, initial: DataFrame | None = None):
+        self.subs, self.spec, self.initial = subs, spec, initial
 
-    def __call__(self, records: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-        return _process(records, self.subs, self.spec, before)
+    def __call__(self, records: DataFrame, before: DataFrame | None, subs: DataFrame | None = None, hold: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        """Updates, error rows, and what changes of what is kept (with ``gone``). ``hold`` keeps a frame that is read several times."""
+        return _process(records, self.subs if subs is None else subs, self.spec, before, hold)
 
 
 def _decoded(records: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame | None]:
@@ -76,18 +81,19 @@ def _decoded(records: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame | Non
     return good, bad.select(*records.columns, "stage", F.lit("malformed").alias("reason"), none.alias("expression"), "message")
 
 
-def _process(records: DataFrame, subs: DataFrame, spec: Spec, before: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def _process(records: DataFrame, subs: DataFrame, spec: Spec, before: DataFrame | None, hold: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    hold = hold or (lambda df: df)
     records, undecoded = _decoded(records, spec)
-    expanded = expand_templates(records, spec.templates, spec.formats)
+    expanded = hold(expand_templates(records, spec.templates, spec.formats))
     template_errors = error_rows(expanded)
     good = expanded.where("failure is null").drop("failure")
     mapping = {"fields": spec.fields, "discover": list(spec.discover), "skip_failed": spec.skip_failed, "map_non_scalar": spec.map_non_scalar, "formats": spec.formats}
     if spec.evaluate_fields == "always":
-        mapped = map_fields(good, **mapping)
+        mapped = hold(map_fields(good, **mapping))
         field_errors = error_rows(mapped)
         routed = route(mapped.where("failure is null").drop("failure"), subs)
     else:
-        mapped = map_fields(route(good, subs), **mapping)
+        mapped = hold(map_fields(route(good, subs), **mapping))
         # One error a record, however many subscriptions it has.
         field_errors = error_rows(mapped).select(*template_errors.columns).dropDuplicates(["topic", "partition", "offset"])
         routed = mapped.where("failure is null").drop("failure")
@@ -100,10 +106,10 @@ def _process(records: DataFrame, subs: DataFrame, spec: Spec, before: DataFrame
     if spec.command == "auto":
         routed = auto_command(routed, is_tombstone(F.col("value"), spec.formats.value), spec.track_keys, keys, live=before)
         if spec.track_keys:
-            after = live_keys(routed, keys, live=before)
+            after = key_changes(routed, keys)
     if spec.command == "enforce":
         routed, rejected = enforce_command(routed)
-        after = ended_snapshots(routed, keys, ended=before).withColumn("key", F.lit(None).cast("string"))
+        after = snapshot_changes(routed, keys).withColumn("key", F.lit(None).cast("string"))
         routed = tag_snapshot(snapshot_control(routed), keys, ended=before)
         none = F.lit(None).cast("string")
         errors = errors.unionByName(rejected.select(*[c for c in template_errors.columns if c not in ("stage", "reason", "expression", "message")], "stage", "reason", none.alias("expression"), F.lit("command discarded").alias("message")))
@@ -111,4 +117,4 @@ def _process(records: DataFrame, subs: DataFrame, spec: Spec, before: DataFrame
         routed = routed.withColumn("event_kind", F.lit("update")).withColumn("is_snapshot", F.lit(False))
     if after is not None and "session" not in keys:
         after = after.withColumn("session", F.lit(None).cast("string"))
-    return routed, errors, after.select("session", "item", "key") if after is not None else None
+    return routed, errors, after.select("session", "item", "key", "gone") if after is not None else None

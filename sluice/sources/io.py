@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.command import ORDER
 from ..operators.errors import POLICIES
+from ..streaming.kept import GONE, KeptTable, LiveSubscriptions
 from .envelope import ENVELOPE
 
 UPDATE_COLUMNS = ["session", "item", "event_kind", "is_snapshot", "fields", "topic", "partition", "offset", "timestamp"]
@@ -82,8 +83,10 @@ def stream_updates(records: DataFrame, process: Callable, updates_path: str, che
                    on_error: str = "terminate", subs: DataFrame | None = None, **trigger):
     """Run ``process`` on each micro-batch and write both sides, by batch id: a replayed batch changes nothing.
 
-    ``process`` maps records to (updates, errors), or with an attribute ``KEPT`` (records, what was
-    kept) to (updates, errors, what to keep); that is written beside the checkpoint, batch by batch.
+    ``process`` maps records to (updates, errors), or with an attribute ``KEPT`` (``Changes``) what was
+    kept too, to what changes of it; that is a ``KeptTable`` beside the checkpoint, and so are the
+    intervals of subscriptions that change. Each batch is decoded, routed and mapped once: what
+    several sinks read is held until the batch is done.
     ``terminate`` stops the query at a batch with errors before anything of it is written; ``ignore``
     leaves bad records out; ``dead_letter`` needs a path; ``force_unsubscribe`` needs ``subs``: it
     writes the updates before the first bad record and one unsubscription an item, then stops.
@@ -92,19 +95,29 @@ def stream_updates(records: DataFrame, process: Callable, updates_path: str, che
         raise ValueError(f"unknown policy {on_error!r}")
     if on_error == "dead_letter" and not dead_letter_path:
         raise ValueError("dead_letter needs a sink")
-    if on_error == "force_unsubscribe" and subs is None:
+    if on_error == "force_unsubscribe" and subs is None and not isinstance(getattr(process, "subs", None), LiveSubscriptions):
         raise ValueError("force_unsubscribe needs the subscriptions")
-    kept, stateful = f"{checkpoint.rstrip('/')}-kept", hasattr(process, "KEPT")
+    stateful = hasattr(process, "KEPT")
+    kept = f"{checkpoint.rstrip('/')}-kept"
+    state = KeptTable(kept, process.KEPT) if stateful else None
+    live = stateful and isinstance(process.subs, LiveSubscriptions)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # decoded for updates, errors and what is kept
+        spark, held = batch.sparkSession, []
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return held[-1]
+
+        batch = hold(batch)
         try:
-            after = None
+            after, wanted = None, subs
             if stateful:
-                before = batch.sparkSession.read.schema(process.KEPT).parquet(f"{kept}/{batch_id - 1}") if batch_id else None
-                updates, errors, after = process(batch, before)
-                if after is None and before is not None:
-                    after = before
+                state.start(spark, process.initial)
+                state.merge(spark, batch_id)
+                now = process.subs.at(batch, kept, batch_id) if live else None
+                wanted = process.subs.active(now) if live else subs
+                updates, errors, after = process(batch, state.read(spark, batch_id), now, hold)
             else:
                 updates, errors = process(batch)
             first = _first_error(errors) if on_error in ("terminate", "force_unsubscribe") else None
@@ -113,17 +126,17 @@ def stream_updates(records: DataFrame, process: Callable, updates_path: str, che
             if first:
                 at = first["at"]
                 updates = updates.where(F.struct(*ORDER) < F.struct(*[F.lit(at[c]).cast(updates.schema[c].dataType).alias(c) for c in ORDER]))
-                gone = subs.select(*[c for c in ("session", "item") if c in subs.columns]).distinct().withColumn("event_kind", F.lit("unsubscribed"))
+                gone = wanted.select(*[c for c in ("session", "item") if c in wanted.columns]).distinct().withColumn("event_kind", F.lit("unsubscribed"))
                 updates = updates.select(*[c for c in UPDATE_COLUMNS if c in updates.columns]).unionByName(gone, allowMissingColumns=True)
             if on_error == "dead_letter":
                 write_dead_letters(errors, dead_letter_path, batch_id=batch_id)
             write_updates(updates, updates_path, batch_id=batch_id)
             if stateful:
-                left = after if after is not None else batch.sparkSession.createDataFrame([], process.KEPT)
-                left.write.mode("overwrite").parquet(f"{kept}/{batch_id}")
+                state.write(after if after is not None else spark.createDataFrame([], f"{process.KEPT}, {GONE} boolean"), batch_id + 1)
             if first:
                 raise RuntimeError(f"record failed, items were unsubscribed: {first['message']}")
         finally:
-            batch.unpersist()
+            for df in reversed(held):
+                df.unpersist()
 
     return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
