@@ -58,14 +58,15 @@ def route_topics(df: DataFrame, mapping: DataFrame, regex: bool = False) -> Data
     With ``regex`` the mapping's topics are patterns that must match in full; a record gets the
     union of all that match. Records of other topics give no rows.
     """
-    mapping = mapping.select(F.col("topic").alias("_topic"), "item_ref").distinct()
+    topic, name = unused(df, "_topic"), unused(df, "_name")
+    mapping = mapping.select(F.col("topic").alias(topic), "item_ref").distinct()
     if not regex:
-        return df.join(sized(mapping), F.col("topic") == F.col("_topic")).drop("_topic")
+        return df.join(sized(mapping), F.col("topic") == F.col(topic)).drop(topic)
     # Patterns are matched against the distinct topics, which are few, and the records joined by topic.
-    topics = df.select(F.col("topic").alias("_name")).distinct()
+    topics = df.select(F.col("topic").alias(name)).distinct()
     matched = topics.join(F.broadcast(mapping) if mapping.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else mapping,
-                          F.expr("_name rlike concat('^(?:', _topic, ')$')")).select("_name", "item_ref").distinct()
-    return df.join(sized(matched), F.col("topic") == F.col("_name")).drop("_name")
+                          F.rlike(F.col(name), F.concat(F.lit("^(?:"), F.col(topic), F.lit(")$")))).select(name, "item_ref").distinct()
+    return df.join(sized(matched), F.col("topic") == F.col(name)).drop(name)
 
 
 def expand_templates(df: DataFrame, templates: list[str] | dict[str, list[str]], formats: Formats = Formats()) -> DataFrame:
@@ -157,32 +158,71 @@ def route(df: DataFrame, subs: DataFrame) -> DataFrame:
     names = names.withColumn("item", F.coalesce("item", F.lit(""))).drop("items")
     if not {"from_time", "to_time"} <= set(subs.columns):
         return names.join(sized(subs), "item")
-    begin, end = unused(names, "_from"), unused(names, "_to")
-    timed = subs.withColumnsRenamed({"from_time": begin, "to_time": end})
-    within = (F.col(begin).isNull() | (F.col("timestamp") >= F.col(begin))) & (F.col(end).isNull() | (F.col("timestamp") < F.col(end)))
-    return names.join(sized(timed), "item").where(within).drop(begin, end)
+    return _in_time(names, subs)
 
 
-def _by_item(df: DataFrame, subs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return df, sized(subs.select(F.col("item").alias("_item")).distinct())
+#: Widths of time buckets, in seconds: powers of RADIX.
+RADIX, LEVELS = 8, 13
 
 
-def filter_routed(df: DataFrame, subs: DataFrame) -> DataFrame:
-    """Records that at least one subscription wants."""
-    df, wanted = _by_item(df, subs)
-    return df.join(wanted, F.array_contains("items", F.col("_item")), "left_semi") if df.isStreaming else _flagged(df, wanted, True)
+def _in_time(names: DataFrame, subs: DataFrame) -> DataFrame:
+    """Records (item, timestamp, ...) with the intervals of their item that hold their time.
 
+    An interval goes to the one or two buckets of the smallest width that isn't below its length, so
+    a record meets only intervals of its item that lie near its time, one bucket a width that is in
+    use. Open intervals have one bucket an item.
+    """
+    begin, end, level, bucket = (unused(names.join(subs.limit(0), "item"), n) for n in ("_from", "_to", "_level", "_bucket"))
+    timed = subs.withColumnsRenamed({"from_time": begin, "to_time": end})
+    first, last = F.unix_micros(F.col(begin).cast("timestamp")), F.unix_micros(F.col(end).cast("timestamp"))
+    widths = [1_000_000 * RADIX**k for k in range(LEVELS)]
+    open_ = F.col(begin).isNull() | F.col(end).isNull() | (last - first > widths[-1])
+    smaller = sum((F.when(last - first > w, 1).otherwise(0) for w in widths), F.lit(0))
+    timed = timed.where(F.col(begin).isNull() | F.col(end).isNull() | (last > first)).withColumn(level, F.when(open_, F.lit(LEVELS)).otherwise(smaller))
+    levels = sorted(r[0] for r in timed.select(level).distinct().collect()) or [LEVELS]  # LEVELS + 1 numbers at most
+    width = F.get(F.array(*[F.lit(w) for w in widths]), F.col(level))
+    near = F.when(F.col(level) == LEVELS, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.floor(first / width), F.floor((last - 1) / width)))
+    timed = timed.withColumn(bucket, F.explode(near))
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    places = F.array(*[F.struct(F.lit(k).alias(level), (F.floor(at / widths[k]) if k < LEVELS else F.lit(0)).cast("long").alias(bucket)) for k in levels])
+    placed = names.select("*", F.inline(places))
+    within = (F.col(begin).isNull() | (F.col("timestamp") >= F.col(begin))) & (F.col(end).isNull() | (F.col("timestamp") < F.col(end)))
+    return placed.join(sized(timed), ["item", level, bucket]).where(within).drop(begin, end, level, bucket)
 
-def unrouted(df: DataFrame, subs: DataFrame) -> DataFrame:
-    """Records that no subscription wants."""
-    return _flagged(*_by_item(df, subs), False)
 
+def with_routed(df: DataFrame, subs: DataFrame, column: str = "routed", most_items: int | None = None) -> DataFrame:
+    """``df`` with a boolean column: whether at least one subscription wants the record.
 
-def _flagged(df: DataFrame, wanted: DataFrame, keep: bool) -> DataFrame:
-    """Records by whether one of their items is wanted; equality joins on the item, by record position."""
-    keyed = df.withColumn("_at", F.struct("topic", "partition", "offset"))
-    hit = keyed.select("_at", F.explode("items").alias("_item")).join(wanted, "_item", "left_semi").select("_at").distinct()
-    return keyed.join(hit, "_at", "left_semi" if keep else "left_anti").drop("_at")
+    With ``most_items``, the largest number of items of a record (that of the templates), and a
+    bounded number of wanted items no record moves: each place of ``items`` is looked up in what
+    every task holds. Streams need it. Otherwise only items and positions move to be compared, and
+    records are joined to the positions found.
+    """
+    at, item, hit = (unused(df, n) for n in ("_at", "_item", "_hit"))
+    items = subs.select(F.col("item").alias(item)).where(F.col(item).isNotNull()).distinct()
+    if most_items is not None and items.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        found, hits = df, []
+        for k in range(most_items):
+            hits.append(f"{hit}{k}")
+            found = found.join(F.broadcast(items.withColumn(hits[-1], F.lit(True))), F.get("items", F.lit(k)) == F.col(item), "left").drop(item)
+        return found.withColumn(column, F.coalesce(*[F.col(h) for h in hits], F.lit(False))).drop(*hits)
+    if df.isStreaming:
+        raise ValueError("on a stream the number of items of a record (most_items) and a bounded number of wanted items are needed")
+    keyed = df.withColumn(at, F.struct("topic", "partition", "offset"))
+    positions = keyed.select(at, F.explode("items").alias(item)).join(sized(items), item, "left_semi").select(at).distinct()
+    return keyed.join(positions.withColumn(hit, F.lit(True)), at, "left").withColumn(column, F.coalesce(hit, F.lit(False))).drop(at, hit)
+
+
+def filter_routed(df: DataFrame, subs: DataFrame, most_items: int | None = None) -> DataFrame:
+    """Records that at least one subscription wants; see ``with_routed``."""
+    flag = unused(df, "_routed")
+    return with_routed(df, subs, flag, most_items).where(flag).drop(flag)
+
+
+def unrouted(df: DataFrame, subs: DataFrame, most_items: int | None = None) -> DataFrame:
+    """Records that no subscription wants; see ``with_routed``."""
+    flag = unused(df, "_routed")
+    return with_routed(df, subs, flag, most_items).where(~F.col(flag)).drop(flag)
 
 
 def admit(subs: DataFrame, connections: DataFrame) -> tuple[DataFrame, DataFrame]:

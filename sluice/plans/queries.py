@@ -354,7 +354,7 @@ def d8_d9_route(spark, sf_dir):
 @query("d10_unrouted", "WITH " + _SUBS + """SELECT event_id AS "offset", event_id IN (SELECT event_id FROM names JOIN subs USING (item)) AS routed FROM events""")
 def d10_unrouted(spark, sf_dir):
     expanded, subs = R.expand_templates(event_records(spark, sf_dir), EVENT_TEMPLATES), _event_subs(spark, sf_dir)
-    return R.filter_routed(expanded, subs).select("offset", F.lit(True).alias("routed")).unionByName(R.unrouted(expanded, subs).select("offset", F.lit(False).alias("routed")))
+    return R.with_routed(expanded, subs, most_items=len(EVENT_TEMPLATES)).select("offset", "routed")
 
 
 @query("d11_evaluation_order", "WITH " + _SUBS + """SELECT 'routed' AS mode, count(DISTINCT event_id) AS n FROM names JOIN subs USING (item) WHERE event_type = 'view'

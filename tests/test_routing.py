@@ -1,5 +1,8 @@
 """Golden routing table, canonical names, templates and admission."""
 
+import random
+from collections import Counter
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +120,45 @@ def test_subscriptions_get_the_records_of_their_time(spark):
     routed = R.route(df, subs)
     assert routed.columns == ["item", "offset", "s", "timestamp", "session"]
     assert sorted((r["session"], r["offset"]) for r in routed.collect()) == [("x", 2), ("x", 3), ("x", 5), *[("y", k) for k in range(6)]]
+
+
+def test_intervals_meet_few_records_that_are_not_theirs(spark):
+    """10,000 intervals of lengths from a second to months on one item: results equal a plain comparison, candidates stay near them."""
+    rnd, day = random.Random(3), 86400
+    rows = [("s%d" % k, "a", begin := rnd.randrange(200 * day), begin + int(8 ** rnd.uniform(0, 7))) for k in range(10_000)]
+    rows += [("open", "a", None, 5 * day), ("open", "a", 190 * day, None), ("ever", "a", None, None), ("none", "a", 7, 7), ("back", "a", 9, 8), ("other", "b", 0, 200 * day)]
+    subs = spark.createDataFrame(rows, "session string, item string, f long, t long").select("session", "item", F.timestamp_seconds("f").alias("from_time"), F.timestamp_seconds("t").alias("to_time"))
+    times = [rnd.randrange(200 * day) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(times)), "offset int, s long").select("offset", F.timestamp_seconds("s").alias("timestamp"), F.array(F.lit("a")).alias("items"), F.lit(1).alias("_from"))
+    routed = R.route(df, subs)
+    assert routed.columns == ["item", "offset", "timestamp", "_from", "session"]
+    want = Counter((s, k) for s, item, f, t in rows for k, at in enumerate(times) if item == "a" and (f is None or at >= f) and (t is None or at < t) and not (f is not None and t is not None and t <= f))
+    assert Counter((r["session"], r["offset"]) for r in routed.collect()) == want
+    # Rows the equality join makes, before times are compared.
+    levels = [R.RADIX**k for k in range(R.LEVELS)]
+    met = 0
+    for _, item, f, t in rows:
+        if item == "a" and f is not None and t is not None and t > f:
+            w = next(x for x in levels if t - f <= x)
+            met += sum(f // w <= at // w <= (t - 1) // w for at in times)
+    assert met < 20 * sum(want.values()) and met < 0.2 * len(rows) * len(times)
+
+
+def test_wanted_records_do_not_move(spark, tmp_path):
+    rows = [(k, [f"i{k % 7}", f"j{k % 5}"][: k % 3] if k % 4 else None) for k in range(60)]
+    df = spark.createDataFrame(rows, "offset int, items array<string>").select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), "offset", "items", F.lit("x").alias("_hit0"), F.lit("y").alias("_item"))
+    subs = spark.createDataFrame([("i3",), ("j1",), ("i3",), (None,)], "item string")
+    wanted = {k for k, items in rows if {"i3", "j1"} & set(items or [])}
+    for most in (2, None):
+        kept, left = R.filter_routed(df, subs, most), R.unrouted(df, subs, most)
+        assert kept.columns == left.columns == df.columns
+        assert {r["offset"] for r in kept.collect()} == wanted and {r["offset"] for r in left.collect()} == set(range(60)) - wanted
+    plan = R.filter_routed(df, subs, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan and plan.count("BroadcastHashJoin") == 2
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    q = R.filter_routed(stream, subs, 2).writeStream.format("memory").queryName("wanted").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert {r["offset"] for r in spark.sql("select * from wanted").collect()} == wanted
+    with pytest.raises(ValueError):
+        R.filter_routed(stream, subs)
