@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.paths import unused
 from .fields import overlay
+from .scans import last_value
 
 CHANGES = ("ADD", "UPDATE", "DELETE")
 CONTROLS = ("CS", "EOS")
@@ -62,15 +64,19 @@ def _switch() -> Column:
     return F.when(F.col("fields")["command"] == "CS", True).when(F.col("fields")["command"] == "EOS", False)
 
 
-def tag_snapshot(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, ended: DataFrame | None = None) -> DataFrame:
+def tag_snapshot(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, ended: DataFrame | None = None, segment: int = 600) -> DataFrame:
     """``is_snapshot`` of each row: from the start or a CS until after an EOS, by item in order.
 
     Order across partitions is that of ``order``; a one-partition topic is exact. ``ended`` names
-    the keys whose snapshot had ended before the first row.
+    the keys whose snapshot had ended before the first row. Where ``order`` begins with a time,
+    an item's rows are scanned in segments of so many seconds, by several tasks.
     """
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    begun = _with_before(df, ended, list(keys), "_ended")
-    return begun.withColumn("is_snapshot", F.coalesce(F.last(_switch(), ignorenulls=True).over(w), ~F.col("_ended"))).drop("_ended")
+    timed = df.schema[order[0]].dataType.typeName().startswith("timestamp")
+    place = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / (segment * 1_000_000)) if timed else F.lit(0)
+    ended_, switched = unused(df, "_ended"), unused(df, "_switched")
+    begun = _with_before(df, ended, list(keys), ended_)
+    scanned = last_value(begun, switched, _switch(), keys, order, place, inclusive=False)
+    return scanned.withColumn("is_snapshot", F.coalesce(switched, ~F.col(ended_))).drop(ended_, switched)
 
 
 def ended_snapshots(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, ended: DataFrame | None = None) -> DataFrame:

@@ -6,11 +6,14 @@ are NaN, the count too.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import last_value, running_sum
+
 NAN = float("nan")
 #: Report order of the functions.
 FUNCTIONS = ("latest", "rate", "irate", "minimum", "maximum", "average")
@@ -28,20 +31,26 @@ def tick_grid(events: DataFrame, every: int) -> DataFrame:
     return ends.select("series", F.explode(F.sequence("a", "b", F.expr(f"interval {every} seconds"))).alias("ts"))
 
 
+#: Scrapes of a series that are scanned together.
+SCRAPES = 1024
+
+
+def _segment(every: int) -> Column:
+    return F.floor(F.unix_micros("ts") / (every * 1_000_000 * SCRAPES))
+
+
 def sample_counter(events: DataFrame, every: int) -> DataFrame:
     """A counter of events (series, ts) read once a scrape: (series, ts, value), never falling."""
     counted = events.groupBy("series", _tick(F.col("ts"), every).alias("ts")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("series").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     grid = tick_grid(events, every).join(counted, ["series", "ts"], "left")
-    return grid.select("series", "ts", F.sum(F.coalesce("n", F.lit(0))).over(w).cast("double").alias("value"))
+    return running_sum(grid, "value", F.col("n"), ["series"], ["ts"], _segment(every)).select("series", "ts", F.col("value").cast("double").alias("value"))
 
 
 def sample_gauge(events: DataFrame, every: int) -> DataFrame:
     """The latest value of (series, ts, value) at each scrape; a null value reads NaN."""
     latest = events.groupBy("series", _tick(F.col("ts"), every).alias("ts")).agg(F.max_by(F.coalesce("value", F.lit(NAN)), "ts").alias("v"))
-    w = Window.partitionBy("series").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     grid = tick_grid(events, every).join(latest, ["series", "ts"], "left")
-    return grid.select("series", "ts", F.last("v", ignorenulls=True).over(w).alias("value"))
+    return last_value(grid, "value", F.col("v"), ["series"], ["ts"], _segment(every)).select("series", "ts", "value")
 
 
 def range_select(samples: DataFrame, range_: int, step: int) -> DataFrame:
@@ -60,12 +69,6 @@ def _millis(ts: str = "ts") -> Column:
     return F.unix_millis(ts)
 
 
-def with_previous(samples: DataFrame) -> DataFrame:
-    """Each sample with the one before it in its series, for the instant rate."""
-    w = Window.partitionBy("series").orderBy("ts")
-    return samples.withColumns({"_ms": F.lag(_millis()).over(w), "_v": F.lag("value").over(w)})
-
-
 def range_functions(names=FUNCTIONS, pair: Column | None = None) -> list[Column]:
     """Aggregates of a range's samples (``ts``, ``value``); ``pair`` gives the last two as
     struct(a, u, b, v): times in milliseconds and values."""
@@ -97,19 +100,99 @@ def evaluate(samples: DataFrame, range_: int, step: int, functions=FUNCTIONS, em
         raise ValueError("range and step must be positive")
     if keep and every and range_ > keep * every:
         raise ValueError(f"Range interval cannot be greater than {keep * every * 1000} ms")
-    pair = None
-    if not samples.isStreaming and "irate" in functions:
-        # The sample before the last, if it lies in the range too.
-        samples = with_previous(samples)
-        fits = F.col("_ms") >= F.unix_millis("t") - range_ * 1000
-        pair = F.max_by(F.struct(F.when(fits, F.col("_ms")).alias("a"), F.col("_v").alias("u"), _millis().alias("b"), F.col("value").alias("v")), F.struct("ts", F.col("_ms").isNotNull(), F.coalesce("_ms", F.lit(0))))
-    out = range_select(samples, range_, step).groupBy("series", "t").agg(*range_functions(functions, pair))
-    if samples.isStreaming or not empty_steps:
-        return out
-    ends = out.groupBy("series").agg(F.min("t").alias("a"), F.max("t").alias("b"))
-    grid = ends.select("series", F.explode(F.sequence("a", "b", F.expr(f"interval {step} seconds"))).alias("t"))
-    joined = grid.join(out, ["series", "t"], "left")
-    return joined.select("series", "t", *[F.coalesce(n, F.lit(NAN)).alias(n) for n in functions])
+    unknown = set(functions) - set(FUNCTIONS) - set(MORE_FUNCTIONS)
+    if unknown:
+        raise ValueError(f"unknown functions {sorted(unknown)}")
+    if samples.isStreaming:
+        return range_select(samples, range_, step).groupBy("series", "t").agg(*range_functions(functions))
+    return _over_panes(samples, range_, step, functions, empty_steps)
+
+
+#: Panes of a series that are combined in one task, at least; a block spans some ranges.
+BLOCK_PANES, BLOCK_RANGES = 256, 4
+
+
+def panes(samples: DataFrame, width: int, functions=FUNCTIONS) -> DataFrame:
+    """Partial aggregates of each series by panes of ``width`` seconds, which combine to those of any range of panes.
+
+    series, pane (number), samples, n (values that aren't null), and as far as ``functions`` need
+    them total, low, high, last (ts, ms, v), and the slope's moments about the pane's own means:
+    mx (ms from its start), my, sxx, sxy. For ``irate`` pair: the last two samples of the pane.
+    """
+    start = F.col("pane") * (width * 1000)
+    rows = samples.withColumn("pane", F.floor(F.unix_micros("ts") / (width * 1_000_000)))
+    x, ms = (_millis() - start).cast("double"), _millis()
+    made = {"samples": F.count(F.lit(1)), "n": F.count("value")}
+    if {"total", "average"} & set(functions):
+        made["total"] = F.sum("value")
+    if "minimum" in functions:
+        made["low"] = F.min("value")
+    if "maximum" in functions:
+        made["high"] = F.max("value")
+    if "latest" in functions:
+        made["last"] = F.max_by(F.struct(F.col("ts").alias("ts"), F.col("value").alias("v")), "ts")
+    if "rate" in functions:
+        made |= {"mx": F.regr_avgx("value", x), "my": F.regr_avgy("value", x), "sxx": F.regr_sxx("value", x), "sxy": F.regr_sxy("value", x)}
+    if "irate" in functions:
+        w = Window.partitionBy("series", "pane").orderBy("ts")  # a hot series is many panes
+        rows = rows.withColumns({"a": F.lag(ms).over(w), "u": F.lag("value").over(w)})
+        made["pair"] = F.max_by(F.struct(F.col("ts").alias("ts"), F.col("a"), F.col("u"), ms.alias("b"), F.col("value").alias("v")), F.struct("ts", F.col("a").isNotNull(), F.coalesce("a", F.lit(0))))
+    return rows.groupBy("series", "pane").agg(*[c.alias(n) for n, c in made.items()])
+
+
+def _over_panes(samples: DataFrame, range_: int, step: int, functions, empty_steps: bool) -> DataFrame:
+    """Functions of sliding ranges from panes of the largest width that divides range and step.
+
+    A series is cut into blocks of evaluations; a pane goes to the one or two blocks whose ranges
+    hold it, so no series is one task and samples move once at most, most of them as panes.
+    """
+    width = math.gcd(range_, step)
+    held, stride = range_ // width, step // width  # panes of a range and of a step
+    block = max(BLOCK_RANGES * held, BLOCK_PANES)
+    parts = panes(samples, width, functions)
+    # Evaluation e is at e * width and holds the panes e - held to e - 1.
+    first, last = F.ceil((F.col("pane") + 1) / stride) * stride, F.floor((F.col("pane") + held) / stride) * stride
+    ends = parts.select("series", first.alias("first"), last.alias("last")).where("first <= last").groupBy("series").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    grid = ends.select("series", F.explode(F.sequence("first", "last", F.lit(stride).cast("long"))).alias("e"))
+    asked = grid.select("series", F.floor(F.col("e") / block).alias("block"), (F.col("e") - 1).alias("pane"), F.lit(True).alias("asked"))
+    blocks = F.array_distinct(F.array(F.floor((F.col("pane") + 1) / block), F.floor((F.col("pane") + held) / block)))
+    dealt = parts.withColumn("block", F.explode(blocks))
+    whole = Window.partitionBy("series", "block")
+    if "irate" in functions:
+        dealt = dealt.withColumn("before", F.lag("pair").over(whole.orderBy("pane")))
+    both = dealt.withColumn("asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
+    over = lambda c: c.over(whole.orderBy("pane").rangeBetween(-(held - 1), 0))
+    n, t = over(F.sum("n")), (F.col("pane") + 1) * width
+    made = {}
+    if "latest" in functions:
+        made["latest"] = over(F.max("last"))["v"]
+    if "minimum" in functions:
+        made["minimum"] = over(F.min("low"))
+    if "maximum" in functions:
+        made["maximum"] = over(F.max("high"))
+    if "total" in functions:
+        made["total"] = over(F.sum("total"))
+    if "average" in functions:
+        made["average"] = F.when(n > 0, over(F.sum("total")) / n)
+    if "count" in functions:
+        made["count"] = F.when(n > 0, n).cast("double")
+    if "rate" in functions:
+        # Places from the block's begin and values about the block's mean, so that little cancels.
+        finite = F.when(~F.isnan("my") & (F.abs(F.col("my")) < float("inf")), F.col("my"))
+        x = F.col("mx") + (F.col("pane") - F.col("block") * block) * float(width * 1000)
+        both = both.withColumns({"x": x, "y": F.col("my") - F.coalesce(F.avg(finite).over(whole), F.lit(0.0))})
+        xs, ys = over(F.sum(F.col("n") * F.col("x"))), over(F.sum(F.col("n") * F.col("y")))
+        sxx = over(F.sum(F.col("sxx") + F.col("n") * F.col("x") * F.col("x"))) - xs * xs / n
+        sxy = over(F.sum(F.col("sxy") + F.col("n") * F.col("x") * F.col("y"))) - xs * ys / n
+        # Times are whole milliseconds: two different ones have moments of a half at least.
+        made["rate"] = F.when((n >= 2) & (sxx > 0.25), sxy / F.when(sxx > 0.25, sxx) * 1000)
+    if "irate" in functions:
+        near = F.struct(F.col("pair.ts").alias("ts"), F.coalesce("pair.a", "before.b").alias("a"), F.when(F.col("pair.a").isNotNull(), F.col("pair.u")).otherwise(F.col("before.v")).alias("u"), F.col("pair.b").alias("b"), F.col("pair.v").alias("v"))
+        pair = over(F.max(F.when(F.col("pair").isNotNull(), near)))
+        apart = (pair["b"] - pair["a"]) / 1000.0
+        made["irate"] = F.when((pair["a"] >= (t - range_) * 1000) & (apart > 0), (pair["v"] - pair["u"]) / F.when(apart > 0, apart))
+    found = both.select("series", F.timestamp_seconds(t).alias("t"), "asked", over(F.sum("samples")).alias("samples"), *[F.coalesce(made[f], F.lit(NAN)).alias(f) for f in functions]).where("asked")
+    return (found if empty_steps else found.where("samples > 0")).select("series", "t", *functions)
 
 
 def evaluate_stream(samples: DataFrame, range_: int, step: int, lateness: str, functions=FUNCTIONS) -> DataFrame:
