@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.command import ORDER
 from ..operators.errors import POLICIES
-from ..streaming.kept import GONE, KeptTable, LiveSubscriptions
+from ..streaming.kept import GONE, KeptBoard, KeptTable, LiveSubscriptions
+from ..streaming.totals import RecordTotals
 from .envelope import ENVELOPE
 
 UPDATE_COLUMNS = ["session", "item", "event_kind", "is_snapshot", "fields", "topic", "partition", "offset", "timestamp"]
@@ -80,13 +81,14 @@ def _first_error(errors: DataFrame):
 
 
 def stream_updates(records: DataFrame, process: Callable, updates_path: str, checkpoint: str, dead_letter_path: str | None = None,
-                   on_error: str = "terminate", subs: DataFrame | None = None, **trigger):
+                   on_error: str = "terminate", subs: DataFrame | None = None, board: KeptBoard | None = None, totals: RecordTotals | None = None, **trigger):
     """Run ``process`` on each micro-batch and write both sides, by batch id: a replayed batch changes nothing.
 
     ``process`` maps records to (updates, errors), or with an attribute ``KEPT`` (``Changes``) what was
     kept too, to what changes of it; that is a ``KeptTable`` beside the checkpoint, and so are the
     intervals of subscriptions that change. Each batch is decoded, routed and mapped once: what
-    several sinks read is held until the batch is done.
+    several sinks read is held until the batch is done. ``board`` follows the updates; ``totals``
+    counts received records and processed updates.
     ``terminate`` stops the query at a batch with errors before anything of it is written; ``ignore``
     leaves bad records out; ``dead_letter`` needs a path; ``force_unsubscribe`` needs ``subs``: it
     writes the updates before the first bad record and one unsubscription an item, then stops.
@@ -130,7 +132,13 @@ def stream_updates(records: DataFrame, process: Callable, updates_path: str, che
                 updates = updates.select(*[c for c in UPDATE_COLUMNS if c in updates.columns]).unionByName(gone, allowMissingColumns=True)
             if on_error == "dead_letter":
                 write_dead_letters(errors, dead_letter_path, batch_id=batch_id)
-            write_updates(updates, updates_path, batch_id=batch_id)
+            counted = Observation() if totals is not None else None
+            written = updates.observe(counted, F.count(F.lit(1)).alias("n")) if counted is not None else updates
+            write_updates(written, updates_path, batch_id=batch_id)
+            if counted is not None:
+                totals.processed(batch_id, counted.get["n"])
+            if board is not None:
+                board.update(updates, batch_id)
             if stateful:
                 state.write(after if after is not None else spark.createDataFrame([], f"{process.KEPT}, {GONE} boolean"), batch_id + 1)
             if first:
@@ -139,4 +147,6 @@ def stream_updates(records: DataFrame, process: Callable, updates_path: str, che
             for df in reversed(held):
                 df.unpersist()
 
+    if totals is not None:
+        records = totals.watch(records)
     return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.command import CHANGES, ORDER
 from ..operators.routing import sized, subscription_intervals
 
 GONE = "gone"
@@ -90,11 +92,11 @@ class KeptTable:
         """What changes at a state: keys, values and ``gone``; one row a key. Written again, it replaces what was written for it."""
         changes.select(*[c.split()[0] for c in self._schema.split(", ")]).write.mode("overwrite").parquet(f"{self.path}/run-{state}-{state}")
 
-    def merge(self, spark: SparkSession, state: int) -> None:
+    def merge(self, spark: SparkSession, state: int, sieve: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """Merge runs up to a state that no batch starts before any more, and delete what is merged.
 
         A run is merged with the one before it if it has half as many rows or more. Keys that are
-        gone leave with the first run.
+        gone leave with the first run, and so do rows that ``sieve`` doesn't let through.
         """
         runs = self.runs(spark, state)
         sizes = [self._read(spark, r).count() for r in runs]
@@ -106,6 +108,7 @@ class KeptTable:
             merged = reduce(lambda newer, run: _over(newer, self._read(spark, run), self._names), parts[-2::-1], self._read(spark, parts[-1]))
             if parts[0][0] == 0:
                 merged = merged.where(f"not {GONE}")
+                merged = sieve(merged) if sieve else merged
             merged.write.mode("overwrite").parquet(f"{self.path}/run-{parts[0][0]}-{parts[-1][1]}")
         standing = set(self.runs(spark, state))
         fs, _ = _fs(spark, self.path)
@@ -193,3 +196,45 @@ class LiveSubscriptions:
     def active(self, intervals: DataFrame) -> DataFrame:
         """The subscriptions that stand at last."""
         return intervals.where("to_time is null").select(*self.KEYS)
+
+
+class KeptBoard:
+    """The boards that change streams describe, kept beside a stream: after any number of batches equal to ``materialize_board`` of all updates.
+
+    A batch writes the last change of each key it has, and one mark an item that it clears; what was
+    cleared is left out when the board is read, and goes when runs are merged. Updates of a batch
+    come after those of the batches before it in ``ORDER``, as an item's do in its partition.
+    """
+
+    def __init__(self, path: str, keys: tuple[str, ...] = ("session", "item")):
+        self.keys, names = keys, ", ".join(f"{k} string" for k in keys)
+        self.rows = KeptTable(f"{path}/rows", f"{names}, key string", "at struct<timestamp:timestamp,partition:int,offset:bigint>, fields map<string,string>")
+        self.marks = KeptTable(f"{path}/marks", names, "cleared struct<timestamp:timestamp,partition:int,offset:bigint>")
+
+    def _standing(self, rows: DataFrame, marks: DataFrame) -> DataFrame:
+        """Rows after their item's mark."""
+        renamed = marks.select(*[F.col(k).alias(f"mark_{k}") for k in self.keys], "cleared")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"mark_{k}")) for k in self.keys])
+        joined = rows.join(sized(renamed), same, "left").where(F.col("cleared").isNull() | (F.col("at") > F.col("cleared")))
+        return joined.drop("cleared", *[f"mark_{k}" for k in self.keys])
+
+    def update(self, updates: DataFrame, batch_id: int) -> None:
+        """Apply a batch's updates; applied again it changes nothing."""
+        spark = updates.sparkSession
+        for table in (self.rows, self.marks):
+            table.start(spark)
+        self.marks.merge(spark, batch_id)
+        marks = self.marks.read(spark, batch_id)
+        self.rows.merge(spark, batch_id, lambda rows: self._standing(rows, marks))
+        at = F.struct(F.col(ORDER[0]).cast("timestamp").alias("timestamp"), F.col(ORDER[1]).cast("int").alias("partition"), F.col(ORDER[2]).cast("bigint").alias("offset")).alias("at")
+        there = updates.select(*self.keys, at, F.col("fields")["command"].alias("command"), F.col("fields")["key"].alias("key"), "fields")
+        cleared = there.where("command = 'CS'").groupBy(*self.keys).agg(F.max("at").alias("cleared"))
+        self.marks.write(cleared.withColumn(GONE, F.lit(False)), batch_id + 1)
+        last = there.where(F.col("command").isin(*CHANGES)).groupBy(*self.keys, "key").agg(F.max_by(F.struct("at", "command", "fields"), "at").alias("last"))
+        kept = F.map_filter("last.fields", lambda k, v: k != "command").alias("fields")
+        self.rows.write(last.select(*self.keys, "key", "last.at", kept, (F.col("last.command") == "DELETE").alias(GONE)), batch_id + 1)
+
+    def read(self, spark: SparkSession, state: int) -> DataFrame:
+        """The boards after batch ``state - 1``: keys, key, fields."""
+        standing = self._standing(self.rows.read(spark, state), self.marks.read(spark, state))
+        return standing.select(*self.keys, "key", "fields")
