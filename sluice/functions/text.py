@@ -46,7 +46,7 @@ def unsigned_text(value: Column, bits: int) -> Column:
     if bits == 32:
         return value.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)).cast("string")
     wide = value.cast("decimal(20,0)")
-    return F.when(value < 0, wide + F.lit(2**64).cast("decimal(20,0)")).otherwise(wide).cast("decimal(20,0)").cast("string")
+    return F.when(value < 0, wide + F.lit(str(2**64)).cast("decimal(20,0)")).otherwise(wide).cast("decimal(20,0)").cast("string")
 
 
 def utf8_text(value: Column) -> Column:

@@ -22,6 +22,7 @@ from ..operators import ordering as G
 from ..operators import routing as R
 from ..operators.fields import discover, map_fields, select_fields
 from ..sources.envelope import as_envelope, read_structured
+from ..streaming.kept import KeptBoard, LiveSubscriptions, scratch_folder
 from .pipeline import Spec, process
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,6 +270,28 @@ def c25_select_fields(spark, sf_dir):
     return out.select("offset", F.col("fields")["event_type"].alias("event_type"), F.size("fields").alias("n"))
 
 
+@query("c22_scalar_wildcard", """SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS usr, 1 AS n FROM events""")
+def c22_scalar_wildcard(spark, sf_dir):
+    """A wildcard over a payload that is text finds nothing; named fields stay."""
+    out = map_fields(event_records(spark, sf_dir), {"usr": "#{KEY}"}, ["#{VALUE.*}", "#{KEY.*}"], formats=Formats(value="STRING"))
+    return out.select("offset", F.col("fields")["usr"].alias("usr"), F.size("fields").alias("n"))
+
+
+@query("c24_all_reasons", """SELECT event_id AS "offset",
+CASE event_id % 8 WHEN 0 THEN 'null_object' WHEN 1 THEN 'scalar_object' WHEN 3 THEN 'field_not_found' WHEN 4 THEN 'non_scalar' WHEN 5 THEN NULL ELSE 'array_object' END AS named,
+CASE event_id % 8 WHEN 0 THEN 'null_object' WHEN 1 THEN 'not_indexed' WHEN 2 THEN 'index_out_of_bounds' WHEN 6 THEN NULL WHEN 7 THEN 'non_scalar' ELSE 'non_array_object' END AS indexed,
+CASE WHEN event_id % 8 IN (5, 6) THEN CAST(event_id AS VARCHAR) END AS text FROM events""")
+def c24_all_reasons(spark, sf_dir):
+    """All eight reasons, of one payload a record stepped into by name and by index."""
+    n = F.col("event_id").cast("string")
+    shapes = ["null", "5", F.concat(F.lit("["), n, F.lit("]")), '{"c":1}', '{"b":{"x":1}}', F.concat(F.lit('{"b":'), n, F.lit("}")), F.concat(F.lit("[1,"), n, F.lit("]")), "[1,[2]]"]
+    value = F.concat(F.lit('{"a":'), F.coalesce(*[F.when(F.col("event_id") % 8 == k, F.lit(x) if isinstance(x, str) else x) for k, x in enumerate(shapes)]), F.lit("}"))
+    r = event_records(spark, sf_dir, value)
+    named = map_fields(r, {"x": "#{VALUE.a.b}"}).select("offset", F.col("failure.reason").alias("named"), F.col("fields")["x"].alias("x"))
+    indexed = map_fields(r, {"y": "#{VALUE.a[1]}"}).select("offset", F.col("failure.reason").alias("indexed"), F.col("fields")["y"].alias("y"))
+    return named.join(indexed, "offset").select("offset", "named", "indexed", F.coalesce("x", "y").alias("text"))
+
+
 # -- routing -------------------------------------------------------------------------------------
 
 
@@ -402,12 +425,41 @@ def d14_active(spark, sf_dir):
 WHERE ts >= TIMESTAMP '2024-01-01' + to_days(CAST(substr(session, 2) AS INTEGER)) AND (session = 's0' OR ts < TIMESTAMP '2024-01-03' + to_days(2 * CAST(substr(session, 2) AS INTEGER)))""")
 def d14_in_time(spark, sf_dir):
     """Session n subscribes n days after New Year and leaves later; the first stays. Records before and after aren't for it."""
+    subs = R.subscription_intervals(_event_log(spark, sf_dir), "at", ("session", "item"), ("from_time", "to_time"))
+    return R.route(R.expand_templates(event_records(spark, sf_dir), EVENT_TEMPLATES), subs).select("offset", "session", "item")
+
+
+def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _event_subs(spark, sf_dir).withColumn("n", F.substring("session", 2, 9).cast("int"))
     day, start = 86400, 1704067200
-    log = asked.select("session", "item", F.lit("subscribe").alias("action"), F.timestamp_seconds(start + F.col("n") * day).alias("at")).unionByName(
+    return asked.select("session", "item", F.lit("subscribe").alias("action"), F.timestamp_seconds(start + F.col("n") * day).alias("at")).unionByName(
         asked.where("n > 0").select("session", "item", F.lit("unsubscribe").alias("action"), F.timestamp_seconds(start + 2 * day + F.col("n") * 2 * day).alias("at")))
-    subs = R.subscription_intervals(log, "at", ("session", "item"), ("from_time", "to_time"))
-    return R.route(R.expand_templates(event_records(spark, sf_dir), EVENT_TEMPLATES), subs).select("offset", "session", "item")
+
+
+def _quarters(df: DataFrame, column: str) -> list[tuple]:
+    """Four spans of a time column, the last one open."""
+    a, b = df.agg(F.min(column).cast("timestamp"), F.max(column).cast("timestamp")).first()
+    return [(a + (b - a) * k / 4, a + (b - a) * (k + 1) / 4 if k < 3 else None) for k in range(4)] if a else []
+
+
+def _within(column: str, span: tuple) -> Column:
+    return (F.col(column) >= F.lit(span[0])) & (F.lit(True) if span[1] is None else F.col(column) < F.lit(span[1]))
+
+
+@query("d14_live", ORACLES["d14_in_time"])
+def d14_live(spark, sf_dir):
+    """``d14_in_time`` in four batches, the log growing before each: equal to reading all of it at once."""
+    folder = scratch_folder(spark)
+    records, log, live = R.expand_templates(event_records(spark, sf_dir), EVENT_TEMPLATES), _event_log(spark, sf_dir), LiveSubscriptions(f"{folder}/log", "at")
+    log.limit(0).write.parquet(f"{folder}/log")
+    log.limit(0).select(F.lit(0).cast("bigint").alias("offset"), "session", "item").write.parquet(f"{folder}/out")
+    spans, before = _quarters(load(spark, sf_dir, "events"), "ts"), None
+    for k, span in enumerate(spans):
+        seen = F.lit(True) if span[1] is None else F.col("at") < F.lit(span[1])
+        log.where(seen if before is None else seen & (F.col("at") >= F.lit(before))).write.mode("append").parquet(f"{folder}/log")
+        before, batch = span[1], records.where(_within("timestamp", span))
+        R.route(batch, live.at(batch, f"{folder}/kept", k)).select("offset", "session", "item").write.mode("append").parquet(f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out")
 
 
 @query("d15_items_by_session", f"""SELECT session, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT session, item, arg_max(action, seq) AS action FROM ({_LOG}) GROUP BY 1, 2)
@@ -530,6 +582,17 @@ def f8_board(spark, sf_dir):
     return C.materialize_board(_commands(spark, sf_dir)).select("item", "key", F.col("fields")["v"].alias("v"))
 
 
+@query("f8_kept_board", _BOARD)
+def f8_kept_board(spark, sf_dir):
+    """The board kept over four batches of changes: equal to the one of all changes at once."""
+    board, changes = KeptBoard(scratch_folder(spark), ("item",)), _commands(spark, sf_dir)
+    spans = _quarters(changes, "timestamp")
+    for k, span in enumerate(spans):
+        board.update(changes.where(_within("timestamp", span)), k)
+    rows = board.read(spark, len(spans)) if spans else C.materialize_board(changes)
+    return rows.select("item", "key", F.col("fields")["v"].alias("v"))
+
+
 @query("f9_sorted_board", _BOARD)
 def f9_sorted_board(spark, sf_dir):
     return C.sorted_board(C.materialize_board(_commands(spark, sf_dir)), "v").select("item", "key", F.col("fields")["v"].alias("v"))
@@ -604,6 +667,10 @@ g AS (SELECT series, unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS
 """
 
 
+_RATE_SQL = "CASE WHEN count(value) >= 2 THEN regr_slope(value, epoch_us(ts) // 1000 - 1704067200000) * 1000 END"
+_IRATE_SQL = "CASE WHEN arg_max(epoch_us(pts) // 1000, ts) >= epoch_ms(g.t) - 21600000 THEN (arg_max(value, ts) - arg_max(pv, ts)) / ((max(epoch_us(ts) // 1000) - arg_max(epoch_us(pts) // 1000, ts)) / 1000.0) END"
+
+
 def _hours(spark: SparkSession, sf_dir: str, *functions: str) -> DataFrame:
     return plain_times(H.evaluate(_samples(spark, sf_dir), 6 * 3600, 3600, functions), "t").select("series", "t", *[F.round(n, 6).alias(n) for n in functions])
 
@@ -637,12 +704,12 @@ def h4_h9_aggregates(spark, sf_dir):
     return _hours(spark, sf_dir, "latest", "average", "maximum", "minimum", "total", "count")
 
 
-@query("h10_rate", _range_sql(rate="CASE WHEN count(value) >= 2 THEN regr_slope(value, epoch_us(ts) // 1000 - 1704067200000) * 1000 END"))
+@query("h10_rate", _range_sql(rate=_RATE_SQL))
 def h10_rate(spark, sf_dir):
     return _hours(spark, sf_dir, "rate")
 
 
-@query("h11_irate", _range_sql(irate="CASE WHEN arg_max(epoch_us(pts) // 1000, ts) >= epoch_ms(g.t) - 21600000 THEN (arg_max(value, ts) - arg_max(pv, ts)) / ((max(epoch_us(ts) // 1000) - arg_max(epoch_us(pts) // 1000, ts)) / 1000.0) END"))
+@query("h11_irate", _range_sql(irate=_IRATE_SQL))
 def h11_irate(spark, sf_dir):
     return _hours(spark, sf_dir, "irate")
 
@@ -664,6 +731,19 @@ def h14_h16_report(spark, sf_dir):
     return plain_times(H.report(H.evaluate(_samples(spark, sf_dir), 6 * 3600, 3600, names), 6 * 3600, names), "t")
 
 
+@query("h14_h16_all_functions", _RANGES + "SELECT g.series, g.t, g.series || ' [360m]: ' || " + " || ', ' || ".join(
+    f"'{n}=' || coalesce(printf('%.7f', {e}), 'n/a')" for n, e in (("latest", "arg_max(value, ts)"), ("rate", _RATE_SQL), ("irate", _IRATE_SQL), ("minimum", "min(value)"), ("maximum", "max(value)"), ("average", "avg(value)")))
+    + " AS line FROM g LEFT JOIN r ON g.series = r.series AND g.t = r.t GROUP BY 1, 2")
+def h14_h16_all_functions(spark, sf_dir):
+    return plain_times(H.report(H.evaluate(_samples(spark, sf_dir), 6 * 3600, 3600), 6 * 3600, precision=7), "t")
+
+
+@query("j5_custom_formatter", """SELECT o_orderkey, 'price=' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || ' whole' AS shown FROM orders""")
+def j5_custom_formatter(spark, sf_dir):
+    shown = H.format_metric(F.col("o_totalprice"), name="price", formatter=lambda v: F.concat(F.floor(v).cast("string"), F.lit(" whole")))
+    return load(spark, sf_dir, "orders").select("o_orderkey", shown.alias("shown"))
+
+
 @query("h15_format", """SELECT o_orderkey, CASE WHEN o_totalprice >= 1000 THEN printf('%.5fk EUR', o_totalprice / 1000) ELSE printf('%.5f EUR', o_totalprice) END AS shown FROM orders""")
 def h15_format(spark, sf_dir):
     return load(spark, sf_dir, "orders").select("o_orderkey", H.format_metric(F.col("o_totalprice"), 5, "EUR").alias("shown"))
@@ -685,6 +765,21 @@ def h17_record_rates(spark, sf_dir):
 # -- functions and hooks -------------------------------------------------------------------------
 
 
+@query("i4_unsigned_64", """SELECT event_id, CAST(18446744073709551616::HUGEINT - event_id AS VARCHAR) AS below, CAST(event_id AS VARCHAR) AS above FROM events WHERE event_id > 0""")
+def i4_unsigned_64(spark, sf_dir):
+    e = load(spark, sf_dir, "events").where("event_id > 0")
+    return e.select("event_id", X.unsigned_text(-F.col("event_id"), 64).alias("below"), X.unsigned_text(F.col("event_id"), 64).alias("above"))
+
+
+@query("j4_custom_format", """SELECT event_id AS "offset", event_type AS kind, CAST(user_id AS VARCHAR) AS usr FROM events""")
+def j4_custom_format(spark, sf_dir):
+    """A format of the user's own: two parts between semicolons, stepped into like any other."""
+    parts = lambda payload: F.split(payload.cast("string"), ";")
+    D.register_format("two_parts", lambda payload: F.struct(F.get(parts(payload), 0).alias("kind"), F.get(parts(payload), 1).cast("bigint").alias("user")))
+    r = event_records(spark, sf_dir, F.concat("event_type", F.lit(";"), F.col("user_id").cast("string")))
+    return fields_as(map_fields(r, {"kind": "#{VALUE.kind}", "usr": "#{VALUE.user}"}, formats=Formats(value="TWO_PARTS")), "kind", "usr")
+
+
 @query("i1_i8_functions", """SELECT event_id, [event_type, '', CAST(user_id AS VARCHAR)][1] || '|' || CAST(user_id AS VARCHAR) AS parts, CAST(CASE WHEN event_id % 2 = 1 THEN 4294967296 - event_id ELSE event_id END AS VARCHAR) AS unsigned,
 '{t=' || event_type || ', u=' || user_id || '}' AS map_text, '[' || list_aggregate(list_transform(string_split(event_type, ''), lambda c: CAST(ascii(c) AS VARCHAR)), 'string_agg', ', ') || ']' AS bytes,
 CAST(epoch_us(ts) // 1000 AS VARCHAR) AS millis, 1 AS n FROM events""")

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import re
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -25,6 +27,16 @@ GONE = "gone"
 _RUN = re.compile(r"run-(\d+)-(\d+)$")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share: below ``spark.checkpoint.dir``; one of our own only in local mode."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return f"{named.rstrip('/')}/kept-{uuid.uuid4().hex}"
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError("executors can't read the driver's folders: set spark.checkpoint.dir to a shared one")
+    return tempfile.mkdtemp(prefix="kept-")
+
+
 def _fs(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
