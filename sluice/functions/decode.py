@@ -226,9 +226,12 @@ def split_decodable(df: DataFrame, sides: dict[str, str], on_decode_error: str =
     if on_decode_error not in ("fail", "dead_letter"):
         raise ValueError(f"unknown policy {on_decode_error}")
     reason = decode_failure(df, sides, schemas)
-    marked = df.withColumn("_decode_failure", reason)
+    name = "_decode_failure"
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    marked, why = df.withColumn(name, reason), F.col(name)
     if on_decode_error == "fail":
-        checked = marked.where(F.when(F.col("_decode_failure").isNotNull(), F.raise_error(F.col("_decode_failure")).cast("boolean")).otherwise(F.lit(True)))
-        return checked.drop("_decode_failure"), marked.where(F.lit(False)).select(*df.columns, F.lit("decode").alias("stage"), F.col("_decode_failure").alias("message"))
-    bad = marked.where("_decode_failure is not null").select(*df.columns, F.lit("decode").alias("stage"), F.col("_decode_failure").alias("message"))
-    return marked.where("_decode_failure is null").drop("_decode_failure"), bad
+        checked = marked.where(F.when(why.isNotNull(), F.raise_error(why).cast("boolean")).otherwise(F.lit(True)))
+        return checked.drop(name), marked.where(F.lit(False)).select(*df.columns, F.lit("decode").alias("stage"), why.alias("message"))
+    bad = marked.where(why.isNotNull()).select(*df.columns, F.lit("decode").alias("stage"), why.alias("message"))
+    return marked.where(why.isNull()).drop(name), bad

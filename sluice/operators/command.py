@@ -38,10 +38,11 @@ def command_validity(fields: Column) -> Column:
 
 def enforce_command(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid updates, and discarded ones with ``stage`` and ``reason``."""
-    marked = df.withColumn("_valid", command_validity(F.col("fields")))
+    valid = unused(df, "_valid")
+    marked = df.withColumn(valid, command_validity(F.col("fields")))
     reason = (F.when(F.coalesce(F.trim(F.col("fields")["key"]), F.lit("")) == "", "missing_key").when(F.col("fields")["command"].isNull(), "missing_command").otherwise("invalid_command"))
-    bad = marked.where("not _valid").withColumn("stage", F.lit("command")).withColumn("reason", reason)
-    return marked.where("_valid").drop("_valid"), bad.drop("_valid")
+    bad = marked.where(~F.col(valid)).withColumn("stage", F.lit("command")).withColumn("reason", reason)
+    return marked.where(valid).drop(valid), bad.drop(valid)
 
 
 def snapshot_control(df: DataFrame) -> DataFrame:
@@ -54,9 +55,10 @@ def _with_before(df: DataFrame, before: DataFrame | None, on: list[str], name: s
     """``df`` with the boolean ``name``: whether its ``on`` columns stand in ``before``."""
     if before is None:
         return df.withColumn(name, F.lit(False))
-    there = before.select(*[F.col(c).alias(f"_b_{c}") for c in on], F.lit(True).alias(name)).distinct()
-    match = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in on]
-    return df.join(there, match, "left").drop(*[f"_b_{c}" for c in on]).withColumn(name, F.coalesce(name, F.lit(False)))
+    stem = unused(df, "_b")
+    there = before.select(*[F.col(c).alias(f"{stem}{k}") for k, c in enumerate(on)], F.lit(True).alias(name)).distinct()
+    match = [F.col(c).eqNullSafe(F.col(f"{stem}{k}")) for k, c in enumerate(on)]
+    return df.join(there, match, "left").drop(*[f"{stem}{k}" for k in range(len(on))]).withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def _switch() -> Column:
@@ -113,18 +115,19 @@ def auto_command(df: DataFrame, tombstone: Column, track_keys: bool = False, key
     With ``track_keys`` a key seen since its last deletion is updated instead of added; ``live``
     has those (``keys`` and key) that were seen before the first row.
     """
-    check = df.withColumn("_gone", tombstone).withColumn("_key", F.col("fields")["key"])
+    gone, key, seen, lived = (unused(df, n) for n in ("_gone", "_key", "_seen", "_live"))
+    check = df.withColumn(gone, tombstone).withColumn(key, F.col("fields")["key"])
     command = F.lit("ADD")
     if track_keys:
-        before = Window.partitionBy(*keys, "_key").orderBy(*order).rowsBetween(-1, -1)
-        known = live.withColumnRenamed("key", "_key") if live is not None else None
-        check = _with_before(check, known, [*keys, "_key"], "_live")
-        check = check.withColumn("_seen", F.coalesce(~F.last("_gone").over(before), F.col("_live"))).drop("_live")
-        command = F.when(F.col("_seen"), "UPDATE").otherwise("ADD")
+        before = Window.partitionBy(*keys, key).orderBy(*order).rowsBetween(-1, -1)
+        known = live.withColumnRenamed("key", key) if live is not None else None
+        check = _with_before(check, known, [*keys, key], lived)
+        check = check.withColumn(seen, F.coalesce(~F.last(gone).over(before), F.col(lived))).drop(lived)
+        command = F.when(F.col(seen), "UPDATE").otherwise("ADD")
     added = overlay(F.col("fields"), F.create_map(F.lit("command"), command))
-    deleted = F.create_map(F.lit("key"), F.col("_key"), F.lit("command"), F.lit("DELETE"))
-    out = check.withColumn("fields", F.when(F.col("_gone"), deleted).otherwise(added))
-    return out.drop("_gone", "_key", *(["_seen"] if track_keys else []))
+    deleted = F.create_map(F.lit("key"), F.col(key), F.lit("command"), F.lit("DELETE"))
+    out = check.withColumn("fields", F.when(F.col(gone), deleted).otherwise(added))
+    return out.drop(gone, key, *([seen] if track_keys else []))
 
 
 def live_keys(df: DataFrame, keys: tuple[str, ...] = ("item",), order: tuple[str, ...] = ORDER, live: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.paths import unused
 from .routing import split_items
 
 
@@ -17,8 +18,9 @@ def remap_items(requests: DataFrame, remap: Callable[[DataFrame], DataFrame], co
 
 def on_subscription(subs: DataFrame, allowed: Column) -> tuple[DataFrame, DataFrame]:
     """Subscriptions the user's predicate lets through, and vetoed ones with ``reason``."""
-    marked = subs.withColumn("_allowed", F.coalesce(allowed, F.lit(False)))
-    return marked.where("_allowed").drop("_allowed"), marked.where("not _allowed").drop("_allowed").withColumn("reason", F.lit("vetoed"))
+    name = unused(subs, "_allowed")
+    marked = subs.withColumn(name, F.coalesce(allowed, F.lit(False)))
+    return marked.where(name).drop(name), marked.where(~F.col(name)).drop(name).withColumn("reason", F.lit("vetoed"))
 
 
 def on_unsubscription(log: DataFrame, react: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.paths import unused
 from .scans import last_value, running_sum
 
 NAN = float("nan")
@@ -56,8 +57,8 @@ def sample_gauge(events: DataFrame, every: int) -> DataFrame:
 def range_select(samples: DataFrame, range_: int, step: int) -> DataFrame:
     """Each sample once for every evaluation time ``t`` whose range holds it (seconds)."""
     if step <= range_ and range_ % step == 0:
-        w = F.window("ts", f"{range_} seconds", f"{step} seconds")
-        return samples.withColumn("_w", w).withColumn("t", F.col("_w.end")).drop("_w")
+        w, name = F.window("ts", f"{range_} seconds", f"{step} seconds"), unused(samples, "_w")
+        return samples.withColumn(name, w).withColumn("t", F.col(f"{name}.end")).drop(name)
     first = (F.floor(F.unix_micros("ts") / (step * 1_000_000)) + 1) * step
     # t - range <= ts < t
     last = F.floor((F.unix_micros("ts") + range_ * 1_000_000) / (step * 1_000_000)) * step
@@ -206,7 +207,8 @@ def evaluate_stream(samples: DataFrame, range_: int, step: int, lateness: str, f
 def keep_last(samples: DataFrame, n: int = 120) -> DataFrame:
     """The latest ``n`` samples of each series."""
     rank = F.row_number().over(Window.partitionBy("series").orderBy(F.col("ts").desc()))
-    return samples.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    name = unused(samples, "_rank")
+    return samples.withColumn(name, rank).where(F.col(name) <= n).drop(name)
 
 
 def time_range(samples: DataFrame) -> DataFrame:

@@ -52,19 +52,23 @@ def parse_template(text: str) -> Template:
     return Template(text, m[1], tuple(sorted(params.items())))
 
 
-def route_topics(df: DataFrame, mapping: DataFrame, regex: bool = False) -> DataFrame:
+def route_topics(df: DataFrame, mapping: DataFrame, regex: bool = False, topics: list[str] | None = None) -> DataFrame:
     """Records with each item reference of their topic: ``mapping`` (topic, item_ref).
 
     With ``regex`` the mapping's topics are patterns that must match in full; a record gets the
-    union of all that match. Records of other topics give no rows.
+    union of all that match. ``topics`` lists the topics there are, as the cluster tells them; else
+    the records are read once more for theirs. Records of other topics give no rows.
     """
     topic, name = unused(df, "_topic"), unused(df, "_name")
     mapping = mapping.select(F.col("topic").alias(topic), "item_ref").distinct()
     if not regex:
         return df.join(sized(mapping), F.col("topic") == F.col(topic)).drop(topic)
     # Patterns are matched against the distinct topics, which are few, and the records joined by topic.
-    topics = df.select(F.col("topic").alias(name)).distinct()
-    matched = topics.join(F.broadcast(mapping) if mapping.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else mapping,
+    if topics is None:
+        there = df.select(F.col("topic").alias(name)).distinct()
+    else:
+        there = df.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(topics)], f"{name} string")
+    matched = there.join(F.broadcast(mapping) if mapping.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else mapping,
                           F.rlike(F.col(name), F.concat(F.lit("^(?:"), F.col(topic), F.lit(")$")))).select(name, "item_ref").distinct()
     return df.join(sized(matched), F.col("topic") == F.col(name)).drop(name)
 
@@ -138,12 +142,12 @@ def match_templates(subs: DataFrame, templates: list[str], column: str = "item_t
     One is admitted if its prefix and its set of parameter names equal a template's.
     """
     schemas = sorted({(t.prefix, tuple(n for n, _ in t.params)) for t in map(parse_template, templates)})
-    c = canonical_item(F.col(column))
-    marked = subs.withColumn("_c", c)
-    admitted = F.coalesce(*[F.when((F.col("_c.prefix") == p) & (F.col("_c.params") == F.array(*[F.lit(n) for n in names]).cast("array<string>")), F.lit(True)) for p, names in schemas], F.lit(False))
-    marked = marked.withColumn("_ok", admitted).withColumn("item", F.col("_c.item"))
-    good = marked.where("_ok").drop("_c", "_ok")
-    bad = marked.where("not _ok").withColumn("reason", F.when(F.col("_c.valid"), "no_template").otherwise("invalid_item")).drop("_c", "_ok", "item")
+    c, ok = unused(subs, "_c"), unused(subs, "_ok")
+    marked = subs.withColumn(c, canonical_item(F.col(column)))
+    admitted = F.coalesce(*[F.when((F.col(f"{c}.prefix") == p) & (F.col(f"{c}.params") == F.array(*[F.lit(n) for n in names]).cast("array<string>")), F.lit(True)) for p, names in schemas], F.lit(False))
+    marked = marked.withColumn(ok, admitted).withColumn("item", F.col(f"{c}.item"))
+    good = marked.where(ok).drop(c, ok)
+    bad = marked.where(~F.col(ok)).withColumn("reason", F.when(F.col(f"{c}.valid"), "no_template").otherwise("invalid_item")).drop(c, ok, "item")
     return good, bad
 
 
@@ -231,11 +235,12 @@ def admit(subs: DataFrame, connections: DataFrame) -> tuple[DataFrame, DataFrame
     ``connections``: connection, enabled, command_mode. With command mode only COMMAND
     subscriptions are allowed.
     """
-    known = connections.select(F.col("connection").alias("_c"), "enabled", "command_mode")
-    joined = subs.join(sized(known), F.col("connection") == F.col("_c"), "left")
-    reason = (F.when(F.col("_c").isNull(), "unknown_connection").when(~F.coalesce("enabled", F.lit(False)), "connection_disabled")
-              .when(F.coalesce("command_mode", F.lit(False)) & (F.coalesce("mode", F.lit("")) != "COMMAND"), "command_mode_required"))
-    marked = joined.withColumn("reason", reason).drop("_c", "enabled", "command_mode")
+    c, enabled, command = (unused(subs, n) for n in ("_c", "_enabled", "_command"))
+    known = connections.select(F.col("connection").alias(c), F.col("enabled").alias(enabled), F.col("command_mode").alias(command))
+    joined = subs.join(sized(known), F.col("connection") == F.col(c), "left")
+    reason = (F.when(F.col(c).isNull(), "unknown_connection").when(~F.coalesce(enabled, F.lit(False)), "connection_disabled")
+              .when(F.coalesce(command, F.lit(False)) & (F.coalesce("mode", F.lit("")) != "COMMAND"), "command_mode_required"))
+    marked = joined.withColumn("reason", reason).drop(c, enabled, command)
     return marked.where("reason is null").drop("reason"), marked.where("reason is not null")
 
 
