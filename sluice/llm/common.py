@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -49,6 +49,16 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def without(df: DataFrame, gone: DataFrame, same: list[Column], most: int = 400_000) -> DataFrame:
+    """The rows of ``df`` that no row of ``gone`` equals by ``same``.
+
+    ``gone`` is written first: up to ``most`` rows of it are sent to every task, so that ``df``
+    isn't shuffled; more are joined by shuffle.
+    """
+    written = cut(gone)
+    return df.join(F.broadcast(written) if written.count() <= most else written, same, "left_anti")
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """A column name that no column of ``df`` has, whatever the case."""
     taken = {c.lower() for c in df.columns}

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_name, table
+from .common import cut, fresh_name, table, without
 from .token_counts import chunks
 
 WINDOW = 5  # template words
@@ -27,7 +27,7 @@ LEAST_WORDS = 4  # words of an item that is looked for at least; one under WINDO
 LEAST_COVER = 0.8  # share of an item's windows otherwise
 BROADCAST_WINDOWS = 1_000_000  # benchmark windows up to which they are sent to every task
 MAP_BITS = 27  # bits, as a power of two, of the map of hashes that is sent instead of more windows
-CHUNK_CHARS = 3_000_000
+CHUNK_CHARS = 1_000_000
 
 # Unit words.
 UNITS = frozenset(
@@ -321,8 +321,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     name, part = fresh_name(docs, "found_id"), fresh_name(docs, "found_part")
     found = contaminated(docs, benchmark).select(F.col("doc_id").alias(name), F.col("part").alias(part))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col(name)) & (F.xxhash64(docs["text"].cast("string")) == F.col(part))
-    return docs.join(found, same, "left_anti")
+    return without(docs, found, [docs["doc_id"].cast("long").eqNullSafe(F.col(name)), F.xxhash64(docs["text"].cast("string")) == F.col(part)])
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -29,14 +29,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, fresh_name, release, table
+from .common import components, cut, fresh_name, release, table, without
 from .token_counts import chunks
 
 SHINGLE = 5
 SIMILARITY = 0.8
 COMPONENTS, ROWS, DEALS = 315, 9, 2
 BANDS = DEALS * COMPONENTS // ROWS  # the signature's components are dealt into bands of 9 twice
-BROADCAST_IDS = 400_000  # ids up to which a list of texts is sent to every executor
+BROADCAST_IDS = 400_000  # rows up to which a list of texts is sent to every executor
 CHUNK_CHARS = 2_000_000
 MEMO_TEXTS = 3_000  # sketches a worker keeps
 MEMO_WORDS = 200_000  # hashes of words a worker keeps
@@ -375,7 +375,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = [fresh_name(docs, n) for n in ("gone_id", "gone_h1", "gone_h2")]
     dropped = _classes(docs).where("not kept").select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "h1", "h2"), gone)]).distinct()
     same = [a == F.col(n) for a, n in zip((docs["doc_id"].cast("long"), *_text_key(docs["text"].cast("string"))), gone)]
-    return docs.join(dropped, same, "left_anti")
+    return without(docs, dropped, same, BROADCAST_IDS)
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
