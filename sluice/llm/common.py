@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +63,44 @@ def without(df: DataFrame, gone: DataFrame, same: list[Column], most: int = 400_
     return df.join(F.broadcast(written) if written.count() <= most else written, same, "left_anti")
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int):
+    """Runs of neighbouring rows with about so many bytes of text (or of binary) in ``column``, and their texts (null: empty).
+
+    Only one run's texts are Python strings at a time, however many rows the batch has.
+    """
+    texts = batch.column(column)
+    if pa.types.is_null(texts.type):
+        texts = texts.cast(pa.string())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        to = min(len(ends), int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size)) + 1)
+        yield batch.slice(at, to - at), [t or "" for t in texts.slice(at, to - at).to_pylist()]
+        at = to
+
+
+def tidy(run):
+    """``run``, a function for mapInArrow, that at a task's end gives back to the system what it has freed.
+
+    Workers serve many tasks, of this and other stages; what the allocators keep would add to the next one's.
+    """
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return tidied
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library alone
+    if trim:
+        trim(0)
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """A column name that no column of ``df`` has, whatever the case."""
     taken = {c.lower() for c in df.columns}

@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_name, table, without
-from .token_counts import chunks
+from .common import cut, fresh_name, slices, table, tidy, without
 
 WINDOW = 5  # template words
 LONG_WINDOW = 13  # one such window is enough
@@ -187,17 +186,16 @@ def windows(table_: DataFrame, key: str, wanted=None, items: bool = False, least
 
     def run(batches):
         for batch in batches:
-            keys, parts, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [t or "" for t in batch.column(2).to_pylist()]
-            done = 0
-            for some in chunks(texts, CHUNK_CHARS):
+            for rows, some in slices(batch, 2, CHUNK_CHARS):
+                keys, parts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
                 forms, words = canonical(some)
                 out = {n: [] for n in ("key", "part", "form", "mode", "size", "at", "hash", "template", "slots")}
 
                 def add(form, size, i, mode, hash_, owner, begins, kinds, where):
                     exact = mode in (_EXACT, _WHOLE)
                     text = [words[k].lower() for k in where]
-                    out["key"].append(keys[done + owner])
-                    out["part"].append(parts[done + owner])
+                    out["key"].append(keys[owner])
+                    out["part"].append(parts[owner])
                     out["form"].append(form)
                     out["mode"].append(int(mode))
                     out["size"].append(size)
@@ -225,7 +223,6 @@ def windows(table_: DataFrame, key: str, wanted=None, items: bool = False, least
                         found, hashes = found[good], hashes[good]
                     for i, hash_ in zip(found.tolist(), hashes):
                         add(len(forms) - 1, size, i, _WHOLE, hash_, owner[i], begins[owner[i]], [], where[i : i + size].tolist())
-                done += len(some)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out["key"], pa.int64()), pa.array(out["part"], pa.int64()), pa.array(out["form"], pa.int32()), pa.array(out["mode"], pa.int32()), pa.array(out["size"], pa.int32()),
                      pa.array(out["at"], pa.int64()), pa.array(out["hash"], pa.int64()), pa.array(out["template"], pa.string()), pa.array(out["slots"], pa.list_(pa.string()))],
@@ -233,7 +230,7 @@ def windows(table_: DataFrame, key: str, wanted=None, items: bool = False, least
 
     text = F.col("text").cast("string")
     return table_.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("part"), text.alias("text")).mapInArrow(
-        run, "key long, part long, form int, mode int, size int, at long, hash long, template string, slots array<string>")
+        tidy(run), "key long, part long, form int, mode int, size int, at long, hash long, template string, slots array<string>")
 
 
 class _Wanted:

@@ -29,8 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, fresh_name, release, table, without
-from .token_counts import chunks
+from .common import components, cut, fresh_name, release, slices, table, tidy, without
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -176,10 +175,8 @@ def sketch(rows: DataFrame) -> DataFrame:
     def run(batches):
         memo: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
         for batch in batches:
-            texts, done = batch.column(1).to_pylist(), 0
-            keys = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()))
-            for some in chunks(texts, CHUNK_CHARS):
-                mine = keys[done : done + len(some)]
+            for part, some in slices(batch, 1, CHUNK_CHARS):
+                mine = list(zip(part.column(2).to_pylist(), part.column(3).to_pylist()))
                 fresh = {k: t for k, t in zip(mine, some) if k not in memo}
                 found = dict(zip(fresh, bands_of(list(fresh.values())))) if fresh else {}
                 rows_ = [found.get(k) or memo[k] for k in mine]
@@ -188,11 +185,11 @@ def sketch(rows: DataFrame) -> DataFrame:
                 memo.update(found)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(np.concatenate([r[1] for r in rows_])))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(done, len(some)) for c in (0, 2, 3)), pa.array([r[0] for r in rows_], pa.int64()), lists],
+                    [*(part.column(c) for c in (0, 2, 3)), pa.array([r[0] for r in rows_], pa.int64()), lists],
                     names=["id", "h1", "h2", "n", "bands"])
-                done += len(some)
+        _known.clear()  # the worker serves other stages too
 
-    return rows.select("doc_id", "text", "h1", "h2").mapInArrow(run, "id long, h1 long, h2 long, n long, bands array<long>")
+    return rows.select("doc_id", "text", "h1", "h2").mapInArrow(tidy(run), "id long, h1 long, h2 long, n long, bands array<long>")
 
 
 def bands_of(texts: list[str]) -> list[tuple[int, np.ndarray]]:
@@ -213,15 +210,14 @@ def multisets_of(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts, done = batch.column(1).to_pylist(), 0
-            for some in chunks(texts, CHUNK_CHARS):
+            for part, some in slices(batch, 1, CHUNK_CHARS):
                 owner, shingle, count = shingles(some)
                 cuts = np.searchsorted(owner, np.arange(len(some) + 1))
                 packed = [pack(shingle[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(some)), pa.array(packed, pa.binary())], names=["id", "packed"])
-                done += len(some)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], names=["id", "packed"])
+        _known.clear()
 
-    return rows.select("id", "text").mapInArrow(run, "id long, packed binary")
+    return rows.select("id", "text").mapInArrow(tidy(run), "id long, packed binary")
 
 
 def occurrences_of(multisets: DataFrame) -> DataFrame:
@@ -240,7 +236,7 @@ def occurrences_of(multisets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                                              names=["id", "n", "tokens"])
 
-    return multisets.select("id", "packed").mapInArrow(run, "id long, n long, tokens array<long>").select("id", "n", F.explode("tokens").alias("token"))
+    return multisets.select("id", "packed").mapInArrow(tidy(run), "id long, n long, tokens array<long>").select("id", "n", F.explode("tokens").alias("token"))
 
 
 def verified(pairs: DataFrame, multisets: DataFrame) -> DataFrame:
@@ -248,12 +244,12 @@ def verified(pairs: DataFrame, multisets: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            good = [overlap(x, y) >= SIMILARITY for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            good = [overlap(x.as_py(), y.as_py()) >= SIMILARITY for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = multisets.select(F.col("id").alias("a"), F.col("packed").alias("pa"))
     right = multisets.select(F.col("id").alias("b"), F.col("packed").alias("pb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "pa", "pb").mapInArrow(tidy(run), "a long, b long")
 
 
 def _parts(rows: DataFrame, key: str) -> DataFrame:

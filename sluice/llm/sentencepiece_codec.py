@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import slices, table, tidy
 from .piece_model import DEFAULT_MODEL, load
 from .token_counts import chunks
 
@@ -192,23 +192,19 @@ def encode(docs: DataFrame, path: str = DEFAULT_MODEL) -> DataFrame:
         matcher = SuffixMatcher(path)
         decode = matcher.model.decode
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            done = 0
-            for some in chunks(texts, 2_000_000):
+            for rows, some in slices(batch, 1, 2_000_000):
                 found = matcher.encode(some)
                 sizes = np.fromiter(map(len, found), np.int64, len(found))
                 flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[done : done + len(some)], pa.int64()), pa.array(sizes),
+                    [rows.column(0), pa.array(sizes),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                      pa.array([decode(x) == t for x, t in zip(found, some)], pa.bool_())],
                     names=["doc_id", "n_tokens", "ids", "round_trip"])
-                done += len(some)
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+        tidy(run), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decode(tokens: DataFrame, path: str = DEFAULT_MODEL) -> DataFrame:
