@@ -69,6 +69,7 @@ class PieceModel:
         self.segment = re.compile(rf"{SPACE}*{others}*{letters}+|{SPACE}*{others}+|{SPACE}+", re.S).findall
         self.memo = memo
         self.pairs: dict[int, bool] = {}
+        self.sorted_pairs = None  # the same facts as arrays, for those who ask for many at once
 
     def words(self, text: str) -> list[str]:
         """The text's parts; joined they are the text with its dummy prefix and marked spaces."""
@@ -88,13 +89,17 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def stays(self, a: int, b: int) -> bool:
+        """As ``fits``, worked out anew."""
+        left, right = self.text_of[a], self.text_of[b]
+        return self.merge(left + right) == [left, right]
+
     def fits(self, a: int, b: int) -> bool:
         """Whether pieces ``a`` and ``b`` stay as they are when their texts stand side by side."""
         key = a << 20 | b
         known = self.pairs.get(key)
         if known is None:
-            left, right = self.text_of[a], self.text_of[b]
-            known = self.merge(left + right) == [left, right]
+            known = self.stays(a, b)
             if len(self.pairs) >= self.memo:
                 self.pairs.clear()
             self.pairs[key] = known

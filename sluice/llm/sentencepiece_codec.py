@@ -20,8 +20,9 @@ from .common import slices, table, tidy
 from .piece_model import DEFAULT_MODEL, load
 from .token_counts import chunks
 
-INDEX_CHARS = 500_000
-MEMO_WORDS = 250_000
+INDEX_CHARS = 250_000  # an index of so many has some six times as many edges
+TEXT_BYTES = 1_000_000
+MEMO_WORDS = 120_000
 MEMO_PAIRS = 600_000
 SHORT = 48  # characters of a part that is relaxed with others and may be kept
 GAP, UNKNOWN, FIRST = 1, 2, 3  # codes of the gap between parts and of characters without pieces
@@ -46,7 +47,8 @@ class SuffixMatcher:
         self.high = np.array([coded[k] + chr(0x10FFFF) for k in order], f"<U{width + 1}")
         self.width = width
         self.memo: dict[str, list[int]] = {}
-        self.pair, self.pair_ok = np.array([-1], np.int64), np.zeros(1, bool)
+        self.numbers = np.arange(len(self.model.pieces)).astype(object)  # one object for each token, wherever it stands
+        self.pair, self.pair_ok = self.model.sorted_pairs or (np.array([-1], np.int64), np.zeros(1, bool))
 
     def edges(self, text: np.ndarray):
         """All occurrences of all pieces in the coded text: starts, sizes, pieces."""
@@ -80,13 +82,13 @@ class SuffixMatcher:
         ok, known = self.pair_ok[place].copy(), self.pair[place] == distinct
         fresh = distinct[~known]
         if len(fresh):
-            fits = self.model.fits
-            ok[~known] = found = np.array([fits(k >> 20, k & 0xFFFFF) for k in fresh.tolist()], bool)
+            stays = self.model.stays
+            ok[~known] = found = np.array([stays(k >> 20, k & 0xFFFFF) for k in fresh.tolist()], bool)
             if len(self.pair) > MEMO_PAIRS:
                 self.pair, self.pair_ok = self.pair[:1], self.pair_ok[:1]
             joined = np.concatenate([self.pair, fresh])
             order = np.argsort(joined)
-            self.pair, self.pair_ok = joined[order], np.concatenate([self.pair_ok, found])[order]
+            self.pair, self.pair_ok = self.model.sorted_pairs = joined[order], np.concatenate([self.pair_ok, found])[order]
         return ok[where]
 
     def relax(self, text, first, start, size, piece):
@@ -155,7 +157,7 @@ class SuffixMatcher:
         place = np.flatnonzero(ends_token)
         token = last[place]
         by_bytes = np.flatnonzero(token == -1)
-        ids = token.tolist()
+        ids = self.numbers[token].tolist()
         counts = np.ones(len(place), np.int64)
         for k in by_bytes.tolist():
             raw = chr(points[place[k] - 1]).encode("utf-8", "surrogatepass")
@@ -192,7 +194,7 @@ def encode(docs: DataFrame, path: str = DEFAULT_MODEL) -> DataFrame:
         matcher = SuffixMatcher(path)
         decode = matcher.model.decode
         for batch in batches:
-            for rows, some in slices(batch, 1, 2_000_000):
+            for rows, some in slices(batch, 1, TEXT_BYTES):
                 found = matcher.encode(some)
                 sizes = np.fromiter(map(len, found), np.int64, len(found))
                 flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
