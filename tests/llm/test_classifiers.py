@@ -311,6 +311,60 @@ def test_a_text_has_one_score_in_any_batch():
     assert len(found) == 1
 
 
+def test_toxicity_learns_from_rows_beyond_any_sample(spark):
+    # A draw of 6,000 rows with 2,000 toxic ones, as made before, holds no row with the word "vile".
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6 < 0.85
+    bad = F.col("doc_id") % 4 == 0
+    words = [F.concat(F.lit("word"), (F.xxhash64("doc_id", F.lit(k)) % 90 + 90).cast("string")) for k in range(6)]
+    docs = spark.range(12_600).withColumnRenamed("id", "doc_id").select("doc_id", F.concat_ws(" ", *words, F.when(bad, F.when(drawn, "nasty").otherwise("vile"))).alias("text"))
+    labels = docs.select("doc_id", bad.cast("int").alias("toxic"))
+    odd = spark.createDataFrame([(12_600, None, 0), (12_601, "word1 vile", 1), (12_601, "vile word2", 1), (12_601, "vile word2", 1), (None, "word3", 1), (12_602, "word4", None)], "doc_id long, text string, toxic int")
+    docs, labels = docs.unionByName(odd.select("doc_id", "text")), labels.unionByName(odd.select("doc_id", "toxic"))
+    rows = [(r["doc_id"], r["text"], r["toxic"]) for r in docs.join(labels.where("toxic is not null and doc_id is not null").distinct(), "doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    model = toxicity.train(docs, labels)
+    scores = toxicity.Scorer(model).scores(["word5 word6 vile word7", "word5 word6 nasty word7", "word5 word6 word7"])
+    assert scores[0] >= 0.5 and scores[1] >= 0.5 and scores[2] < 0.5
+    # The same model however the rows are dealt, and as from a list of all rows; there are two shards.
+    again = toxicity.train(docs.repartition(7), labels.repartition(3, "toxic"))
+    assert (again.lines() == model.lines()).all() and again.thresholds == model.thresholds
+    assert toxicity.shards_of(len(rows), 1) == 1 and toxicity.shards_of(2 * len(rows), 1) == 2
+    local = toxicity.fit(random.Random(1).sample(rows, len(rows)))
+    assert np.allclose(local.lines(), model.lines(), atol=1e-3) and local.thresholds == pytest.approx(model.thresholds, abs=0.02)
+
+
+def test_toxicity_shards_are_averaged_in_any_order(spark):
+    docs = spark.createDataFrame(toy(), "doc_id long, text string, toxic int")
+    docs = docs.crossJoin(spark.range(40).withColumnRenamed("id", "copy")).selectExpr("doc_id + 1000 * copy doc_id", "text", "toxic")
+    models = [toxicity.train(d.select("doc_id", "text"), d.select("doc_id", "toxic")) for d in (docs, docs.repartition(5, "doc_id"))]
+    assert toxicity.shards_of(round(docs.count() * 0.8), 1) == 2
+    assert (models[0].lines() == models[1].lines()).all() and models[0].thresholds == models[1].thresholds
+    assert [int(s >= 0.5) for s in toxicity.Scorer(models[0]).scores([t for _, t, _ in toy()])] == [y for _, _, y in toy()]
+
+
+def test_toxicity_learns_from_texts_of_any_length(spark):
+    # All that is toxic stands in texts of more than 40,000 characters, which weren't used for training before.
+    plain = "calm words of the day and more of them, as it is with words. "
+    rows = [(k, plain * 600 + "vile " + plain * 80 if k % 20 == 0 else plain * (k % 7 + 1), int(k % 20 == 0)) for k in range(200)]
+    assert len(rows[0][1]) > 40_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scorer = toxicity.Scorer(toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")))
+    assert [s >= 0.5 for s in scorer.scores(["calm vile words", "calm words", rows[0][1], rows[1][1]])] == [True, False, True, False]
+
+
+def test_toxicity_pools_long_texts_span_by_span(monkeypatch):
+    rnd, model = random.Random(3), toxicity.Cnn.fresh(2)
+    shard = toxicity.Shard()
+    for n in (0, 1, 2, 30, 700, 49, 50, 47):
+        shard.add(" ".join(f"w{chr(97 + rnd.randrange(26))}{chr(97 + rnd.randrange(26))}" for _ in range(n)), 0)
+    codes, begins = np.concatenate(shard.coded), np.cumsum([0, *map(len, shard.coded[:-1])])
+    whole = model.winners(codes, begins)
+    pooled = model.pool(model.embed(codes) @ model.filters, begins)[1]
+    assert np.allclose(whole[0], pooled, atol=1e-6)
+    monkeypatch.setattr(toxicity, "SPAN", 50)
+    spans = model.winners(codes, begins)
+    assert np.allclose(spans[0], whole[0], atol=1e-6) and np.mean(spans[1] == whole[1]) > 0.95
+
+
 def test_toxicity_keeps_repeated_rows_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a text", 0.5, 9), (1, "a text", 0.5, 9), (None, None, None, None)], "doc_id long, text string, score double, predicted int")
     model = toxicity.fit([])
