@@ -196,6 +196,25 @@ def _over_panes(samples: DataFrame, range_: int, step: int, functions, empty_ste
     return (found if empty_steps else found.where("samples > 0")).select("series", "t", *functions)
 
 
+def settle_averages(evaluated: DataFrame, samples: DataFrame, range_: int, step: int, digits: int) -> DataFrame:
+    """``evaluated`` (with minimum, maximum, average and count) as SQL rounds it: an average whose last of ``digits`` decimals
+    hangs on the order of adding is that of the samples added one by one in order of time.
+
+    Panes add doubles in another order. Two orders differ by a known bound, so only the ranges that lie as near to the
+    middle between two decimals are added again; a sample moves once, and once for each of these ranges that holds it.
+    """
+    width = math.gcd(range_, step)
+    pane = lambda ts: F.floor(F.unix_micros(ts) / (width * 1_000_000))
+    bound = (F.col("count") + 4) * 2.0**-52 * F.greatest(F.abs("minimum"), F.abs("maximum")) * 10.0**digits
+    near = evaluated.where(~F.isnan("average") & (F.abs(F.abs(F.col("average") * 10.0**digits) % 1 - 0.5) <= bound))
+    asked = near.select("series", "t", F.explode(F.sequence(pane("t") - range_ // width, pane("t") - 1)).alias("pane"))
+    held = samples.where("value is not null").select("series", "ts", "value", pane("ts").alias("pane")).join(asked, ["series", "pane"])
+    so_far = Window.partitionBy("series", "t").orderBy("ts", "value").rowsBetween(Window.unboundedPreceding, 0)
+    added = held.select("series", "t", F.struct(F.count("value").over(so_far).alias("n"), F.sum("value").over(so_far).alias("total")).alias("sum"))
+    again = added.groupBy("series", "t").agg(F.max("sum").alias("sum")).select("series", "t", (F.col("sum.total") / F.col("sum.n")).alias("again"))
+    return evaluated.join(again, ["series", "t"], "left").withColumn("average", F.coalesce("again", "average")).select(*evaluated.columns)
+
+
 def evaluate_stream(samples: DataFrame, range_: int, step: int, lateness: str, functions=FUNCTIONS) -> DataFrame:
     """``evaluate`` over a stream: late samples count up to ``lateness``."""
     if range_ % step:
@@ -217,20 +236,28 @@ def time_range(samples: DataFrame) -> DataFrame:
 
 
 def format_metric(value: Column, precision: int = 2, unit: str = "", name: str | None = None, formatter: Callable[[Column], Column] | None = None) -> Column:
-    """``1.23k unit``: thousands, millions and billions by letter, NaN as ``n/a``.
+    """``1.23k unit``: thousands, millions and billions by letter, negative values as they are, NaN as ``n/a``.
 
     ``formatter`` is the user's own; ``name`` puts ``name=`` before.
     """
     def shown(x: Column, letter: str) -> Column:
         return F.concat(F.format_string(f"%.{precision}f", x), F.lit(letter + (f" {unit}" if unit else "")))
 
-    size = F.abs(value)
     text = formatter(value) if formatter else (
-        F.when(F.isnan(value) | value.isNull(), "n/a").when(size >= 1e9, shown(value / 1e9, "G")).when(size >= 1e6, shown(value / 1e6, "M"))
-        .when(size >= 1e3, shown(value / 1e3, "k")).otherwise(shown(value, "")))
+        F.when(F.isnan(value) | value.isNull(), "n/a").when(value >= 1e9, shown(value / 1e9, "G")).when(value >= 1e6, shown(value / 1e6, "M"))
+        .when(value >= 1e3, shown(value / 1e3, "k")).otherwise(shown(value, "")))
     return F.concat(F.lit(f"{name}="), text) if name else text
 
 
+def unscaled(precision: int = 2) -> Callable[[Column], Column]:
+    """A formatter of plain decimals without letters: the double's own value rounded, ties to even, as SQL's ``printf`` does; NaN as ``n/a``.
+
+    Spark's ``format_string`` rounds the shortest decimal that reads as the double, ties up.
+    """
+    shown = F.udf(lambda x: None if x is None else f"{x:.{precision}f}", "string", useArrow=True)
+    return lambda value: F.when(F.isnan(value) | value.isNull(), "n/a").otherwise(shown(value))
+
+
 def report(evaluated: DataFrame, range_: int, functions=FUNCTIONS, precision: int = 2, unit: str = "", formatter: Callable[[Column], Column] | None = None) -> DataFrame:
     """``series [30s]: latest=..., rate=...`` of each evaluation, functions in report order."""
     span = f"{range_ // 60}m" if range_ >= 60 else f"{range_}s"

@@ -1,8 +1,10 @@
 """Ordered scans in segments, and ranges put together from panes, against plain loops."""
 
+import datetime as dt
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from sluice.operators import command as C
 from sluice.operators import metrics as H
 from sluice.operators import scans
+from sluice.plans.queries import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("segment", [1, 7, 1000])
@@ -98,3 +101,45 @@ def test_samples_move_as_panes(spark):
     assert out.count() == 205
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and "BLOCK" not in plan
+
+
+def added(values):
+    total = 0.0
+    for v in values:
+        total += v
+    return total / len(values)
+
+
+def test_averages_near_a_tie_are_added_in_order_of_time(spark):
+    rnd = random.Random(4)
+    rows = [(f"s{k}", ts, rnd.choice([-1, 1]) * rnd.randrange(1, 60_000) / 100) for k in range(100) for ts in rnd.sample(range(600), 64)] + [("null", 5, None), ("nan", 5, math.nan), ("big", 5, 1e300)]
+    df = spark.createDataFrame(rows, "series string, s long, value double").withColumn("ts", F.timestamp_seconds("s")).repartition(5)
+    found = H.evaluate(df, 600, 100, (*H.FUNCTIONS, "count"))
+    settled = H.settle_averages(found, df, 600, 100, 7)
+    assert settled.columns == found.columns and settled.count() == found.count()
+    want = {f"s{k}": added([v for s, ts, v in sorted(rows, key=lambda r: r[1]) if s == f"s{k}"]) for k in range(100)}
+    shown = settled.where("t = timestamp_seconds(600)").select("series", H.unscaled(7)(F.col("average")).alias("average")).collect()
+    assert {r["series"]: r["average"] for r in shown} == {s: f"{v:.7f}" for s, v in want.items()} | {"null": "n/a", "nan": "n/a", "big": f"{1e300:.7f}"}
+
+
+def test_plain_and_scaled_metrics(spark):
+    values = [53.19640625, 53.196406249999995, 0.5, 1.5, 2.5, -1811.8867925, 1e15 / 3, 1e22 / 3, -0.0, math.nan, None]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    for digits in (0, 7):
+        want = ["n/a" if v is None or math.isnan(v) else duckdb.execute(f"select printf('%.{digits}f', ?::DOUBLE)", [v]).fetchone()[0] for v in values]
+        assert [r[0] for r in df.orderBy("k").select(H.unscaled(digits)(F.col("v"))).collect()] == want
+    # The reference scales from a thousand up only.
+    assert df.where("k = 5").select(H.format_metric(F.col("v"))).first()[0] == "-1811.89"
+
+
+def test_report_of_all_functions_equals_its_sql(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = [(f"s{k}", dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=ms), rnd.randrange(1, 60_000) / 100) for k in range(40) for ms in sorted(rnd.sample(range(6 * 3_600_000), 64))]
+    rows += [(s, dt.datetime(2024, 1, 2, 0, 0, 0, us), v) for s, pair in (("up", (1.0, 301.25)), ("down", (301.25, 1.0))) for us, v in zip((0, 40_000), pair)]
+    spark.createDataFrame(rows, "event_type string, ts timestamp_ntz, value double").repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute("set threads = 1")  # with more, the order in which it adds is open
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    want = sorted(con.execute(ORACLES["h14_h16_all_functions"]).fetchall())
+    assert sorted(map(tuple, QUERIES["h14_h16_all_functions"](spark, str(tmp_path)).collect())) == want
+    assert any("irate=7506.2500000" in line for *_, line in want) and any("irate=-7506.2500000" in line for *_, line in want)
